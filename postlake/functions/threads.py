@@ -6,8 +6,9 @@ emitted so far. Everything happens inside the row, so a walk needs no shuffle an
 datasets, and Catalyst drops it when no comment column is used.
 
 The JSON parser rejects more than 1,000 nested brackets, and a comment level takes five of them, so
-a payload that parses has at most 199 levels. Each level also takes more than 50 characters. The two
-bounds together give the number of steps; both are limits of the data, not cut-offs.
+a payload that parses has at most 199 levels: a limit of the data, not a cut-off. Spark copies the
+state on every step, also on idle ones, so a short walk goes first and only threads that still have
+replies below it go on.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _PARSER_LEVELS = 200
-_LEVEL_CHARS = 50
+_USUAL_LEVELS = 6
 
 _NODE = "struct<path:array<int>,author:string,body:string,score:bigint>"
 _FRONTIER = "array<struct<path:array<int>,node:variant>>"
@@ -62,7 +63,7 @@ def _emitted(level: Column) -> Column:
     return F.transform(level, row)
 
 
-def comment_nodes(thread: Column, payload: Column) -> Column:
+def comment_nodes(thread: Column) -> Column:
     """``array<struct<path, author, body, score>>`` of all comments, level by level.
 
     ``path`` holds the position of the comment and of its ancestors among their siblings, so sorting
@@ -81,8 +82,15 @@ def comment_nodes(thread: Column, payload: Column) -> Column:
         )
         return F.when(F.size(state["level"]) == 0, state).otherwise(deeper)
 
-    steps = F.least(F.lit(_PARSER_LEVELS), F.floor(F.length(payload) / _LEVEL_CHARS).cast("int") + 2)
-    return F.aggregate(F.sequence(F.lit(1), F.coalesce(steps, F.lit(1))), start, step, lambda state: state["seen"])
+    def walk(state: Column, levels: int) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), state, step)
+
+    def finish(state: Column) -> Column:
+        deep = walk(state, _PARSER_LEVELS)["seen"]
+        return F.when(F.size(state["level"]) == 0, state["seen"]).otherwise(deep)
+
+    # The lambda binds the state, which would otherwise be computed again for every use.
+    return F.transform(F.array(walk(start, _USUAL_LEVELS)), finish)[0]
 
 
 def comments_json(nodes: Column) -> Column:

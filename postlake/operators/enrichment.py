@@ -34,7 +34,7 @@ def ingest_details(details: DataFrame) -> DataFrame:
     )
     return (
         _readable(details)
-        .withColumn("comments", comment_nodes(F.col("_thread"), F.col("payload")))
+        .withColumn("comments", comment_nodes(F.col("_thread")))
         .select(
             *kept,
             field("title").alias("title"),
@@ -48,7 +48,7 @@ def ingest_details(details: DataFrame) -> DataFrame:
 def flatten_comments(details: DataFrame, max_depth: int | None = None) -> DataFrame:
     """One row per comment: ``(…, path, depth, author, body, score)``. Row-local, so no shuffle."""
     kept = [c for c in details.columns if c != "payload"]
-    nodes = comment_nodes(F.col("_thread"), F.col("payload"))
+    nodes = comment_nodes(F.col("_thread"))
     flat = _readable(details).select(*kept, F.inline(nodes)).withColumn("depth", F.size("path"))
     if max_depth is not None:
         flat = flat.filter(F.col("depth") <= max_depth)
@@ -58,7 +58,7 @@ def flatten_comments(details: DataFrame, max_depth: int | None = None) -> DataFr
 def nest_comments(details: DataFrame) -> DataFrame:
     """The comments of every payload as one nested JSON text, for document-style output."""
     kept = [c for c in details.columns if c != "payload"]
-    nodes = comment_nodes(F.col("_thread"), F.col("payload"))
+    nodes = comment_nodes(F.col("_thread"))
     return _readable(details).select(*kept, comments_json(nodes).alias("comments_json"))
 
 
