@@ -1,26 +1,33 @@
 """Reading one captured post-detail payload: a JSON array ``[post listing, comment listing]``.
 
 A comment's ``replies`` is either ``""`` or another listing, so the payload is held as VARIANT. The
-tree is walked level by level with ``aggregate``: the state is the current level and the nodes
-emitted so far. Everything happens inside the row, so a walk needs no shuffle and no recursion over
-datasets, and Catalyst drops it when no comment column is used.
+first levels are cast in one go to nested structs (a cast that does not fit, such as ``""``, gives
+null) and walked level by level; threads that go on below them are walked with ``aggregate``, whose
+state is the current level and the comments emitted so far. Everything happens inside the row, so a
+walk needs no shuffle and no recursion over datasets, and Catalyst drops it when no comment column
+is used.
 
 The JSON parser rejects more than 1,000 nested brackets, and a comment level takes five of them, so
-a payload that parses has at most 199 levels: a limit of the data, not a cut-off. Spark copies the
-state on every step, also on idle ones, so a short walk goes first and only threads that still have
-replies below it go on.
+a payload that parses has at most 199 levels: a limit of the data, not a cut-off.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _PARSER_LEVELS = 200
-_USUAL_LEVELS = 6
+_STRUCT_LEVELS = 5
+
+_COMMENTS = "array<struct<path:array<int>,author:string,body:string,score:bigint>>"
 
-_NODE = "struct<path:array<int>,author:string,body:string,score:bigint>"
-_FRONTIER = "array<struct<path:array<int>,node:variant>>"
+
+def _listing_type(levels: int) -> str:
+    """Children of a listing with ``levels`` more levels as structs and the rest as VARIANT."""
+    replies = f"struct<data:struct<children:{_listing_type(levels - 1)}>>" if levels else "variant"
+    return f"array<struct<kind:string,data:struct<author:string,body:string,score:bigint,replies:{replies}>>>"
 
 
 def readable_threads(payload: Column) -> Column:
@@ -37,60 +44,88 @@ def readable_threads(payload: Column) -> Column:
     return F.filter(F.array(F.try_parse_json(payload)), has_both)
 
 
-def _comments_under(listing: Column, path) -> Column:
-    """Comment nodes of a listing; other kinds go, and with them all that hangs below them."""
-    placed = F.transform(listing, lambda node, i: F.struct(path(i).alias("path"), node.alias("node")))
-    return F.filter(placed, lambda c: F.try_variant_get(c["node"], "$.kind", "string") == "t1")
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: a lambda holds it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _comments_under(listing: Column, path: Callable[[Column], Column]) -> Column:
+    """Comments of a listing; nodes of other kinds go, and with them all that hangs below them."""
+    placed = F.transform(
+        listing, lambda n, i: F.struct(path(i).alias("path"), n["kind"].alias("kind"), n["data"].alias("data"))
+    )
+    return F.filter(placed, lambda c: c["kind"] == "t1")
 
 
-def _children(level: Column) -> Column:
+def _children(level: Column, listing: Callable[[Column], Column], levels: int) -> Column:
     def replies(parent: Column) -> Column:
-        listing = F.try_variant_get(parent["node"], "$.data.replies.data.children", "array<variant>")
-        listing = F.coalesce(listing, F.array().cast("array<variant>"))
-        return _comments_under(listing, lambda i: F.array_append(parent["path"], i))
+        children = F.coalesce(listing(parent["data"]["replies"]), F.array().cast(_listing_type(levels)))
+        return _comments_under(children, lambda i: F.array_append(parent["path"], i))
 
     return F.flatten(F.transform(level, replies))
 
 
+def _replies_as_structs(replies: Column) -> Column:
+    return replies["data"]["children"]
+
+
+def _replies_as_variant(replies: Column) -> Column:
+    return F.try_variant_get(replies, "$.data.children", _listing_type(0))
+
+
 def _emitted(level: Column) -> Column:
     def row(c: Column) -> Column:
-        text = lambda field: F.coalesce(F.try_variant_get(c["node"], f"$.data.{field}", "string"), F.lit(""))
-        score = F.try_variant_get(c["node"], "$.data.score", "bigint")
+        data = c["data"]
         return F.struct(
-            c["path"].alias("path"), text("author").alias("author"), text("body").alias("body"), score.alias("score")
+            c["path"].alias("path"),
+            F.coalesce(data["author"], F.lit("")).alias("author"),
+            F.coalesce(data["body"], F.lit("")).alias("body"),
+            data["score"].alias("score"),
         )
 
     return F.transform(level, row)
 
 
-def comment_nodes(thread: Column) -> Column:
-    """``array<struct<path, author, body, score>>`` of all comments, level by level.
-
-    ``path`` holds the position of the comment and of its ancestors among their siblings, so sorting
-    by it gives reading order and its size is the depth.
-    """
-    top = _comments_under(F.try_variant_get(thread, "$[1].data.children", "array<variant>"), lambda i: F.array(i))
-    start = F.struct(
-        F.coalesce(top, F.array().cast(_FRONTIER)).cast(_FRONTIER).alias("level"),
-        F.array().cast(f"array<{_NODE}>").alias("seen"),
-    )
+def _walk_deep(level: Column) -> Column:
+    """Comments of a level held as VARIANT and of all levels below it."""
 
     def step(state: Column, _: Column) -> Column:
         deeper = F.struct(
-            _children(state["level"]).cast(_FRONTIER).alias("level"),
+            _children(state["level"], _replies_as_variant, 0).alias("level"),
             F.concat(state["seen"], _emitted(state["level"])).alias("seen"),
         )
         return F.when(F.size(state["level"]) == 0, state).otherwise(deeper)
 
-    def walk(state: Column, levels: int) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), F.lit(levels)), state, step)
+    start = F.struct(level.alias("level"), F.array().cast(_COMMENTS).alias("seen"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_PARSER_LEVELS)), start, step)["seen"]
+
+
+def _walk(level: Column, levels: int) -> Column:
+    """Comments of a level that has ``levels`` more levels as structs, and of all levels below it."""
+
+    def comments(here: Column) -> Column:
+        if levels:
+            below = _walk(_children(here, _replies_as_structs, levels - 1), levels - 1)
+        else:
+            below = _bound(_children(here, _replies_as_variant, 0), lambda rest: _if_any(rest, _walk_deep(rest)))
+        return _if_any(here, F.concat(_emitted(here), below))
+
+    return _bound(level, comments)
+
 
-    def finish(state: Column) -> Column:
-        deep = walk(state, _PARSER_LEVELS)["seen"]
-        return F.when(F.size(state["level"]) == 0, state["seen"]).otherwise(deep)
+def _if_any(level: Column, comments: Column) -> Column:
+    return F.when(F.size(level) > 0, comments).otherwise(F.array().cast(_COMMENTS))
 
-    # The lambda binds the state, which would otherwise be computed again for every use.
-    return F.transform(F.array(walk(start, _USUAL_LEVELS)), finish)[0]
+
+def comment_nodes(thread: Column) -> Column:
+    """``array<struct<path, author, body, score>>`` of all comments, level by level.
+
+    ``path`` holds the position of the comment and of its ancestors among their siblings, so sorting
+    by it gives reading order and its size is the depth.
+    """
+    top = F.try_variant_get(thread, "$[1].data.children", _listing_type(_STRUCT_LEVELS))
+    top = F.coalesce(top, F.array().cast(_listing_type(_STRUCT_LEVELS)))
+    return _walk(_comments_under(top, lambda i: F.array(i)), _STRUCT_LEVELS)
 
 
 def comments_json(nodes: Column) -> Column:
@@ -120,5 +155,4 @@ def comments_json(nodes: Column) -> Column:
         texts = F.transform(ordered, lambda c, i: written(ordered, c, i))
         return F.concat(F.lit("["), F.array_join(texts, ""), F.lit("]"))
 
-    # The lambda binds the sorted array, which would otherwise be sorted again for every comment.
-    return F.transform(F.array(F.array_sort(nodes)), document)[0]
+    return _bound(F.array_sort(nodes), document)

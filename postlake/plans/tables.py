@@ -18,14 +18,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents, spread over the cores when the input has fewer splits than there are cores.
+
+    That is so for a small single file only; a large table has far more splits and stays as it is.
+    """
+    docs = table(spark, folder, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Searchable posts; copies of a text share an id."""
-    return table(spark, folder, "documents").withColumn("id", F.md5("text"))
+    return _texts(spark, folder).withColumn("id", F.md5("text"))
 
 
 def posts_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Raw posts with null and empty ids, empty permalinks and duplicate ids."""
-    return table(spark, folder, "documents").selectExpr(
+    return _texts(spark, folder).selectExpr(
         "doc_id",
         "CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 13 = 0 THEN '' ELSE md5(text) END AS id",
         "concat('t3_', doc_id) AS name",
@@ -61,7 +71,7 @@ def details_raw(spark: SparkSession, folder: str) -> DataFrame:
         '[{{"data":{{"children":[{{"data":', to_json(named_struct('title', title, 'selftext', text)), '}}]}}}},',
         '{{"data":{{"children":[', array_join(transform(split(text, '\\n'), (l, i) -> {line}), ','), ']}}}}]')"""
     return (
-        table(spark, folder, "documents")
+        _texts(spark, folder)
         .filter("doc_id % 10 <> 3")
         .withColumn("title", F.expr("split_part(text, '\\n', 1)"))
         .selectExpr(
@@ -80,13 +90,20 @@ def search_pages(spark: SparkSession, folder: str) -> DataFrame:
         "num_comments",
     ]
     placed = posts_raw(spark, folder).select(
-        F.expr(f"doc_id div {PAGE_ROWS}").alias("page_no"), "doc_id", F.struct(*fields).alias("data")
+        F.expr(f"doc_id div {PAGE_ROWS}").alias("page_no"),
+        "doc_id",
+        F.to_json(F.struct(F.struct(*fields).alias("data"))).alias("child"),
+    )
+    pages = placed.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct("doc_id", "child"))).alias("rows"))
+    after = F.when(F.col("page_no") % 5 != 4, F.concat(F.lit('"t3_'), F.col("page_no"), F.lit('"')))
+    payload = F.concat(
+        F.lit('{"data":{"after":'),
+        F.coalesce(after, F.lit("null")),
+        F.lit(',"children":['),
+        F.array_join(F.transform("rows", lambda r: r["child"]), ","),
+        F.lit("]}}"),
     )
-    pages = placed.groupBy("page_no").agg(F.sort_array(F.collect_list(F.struct("doc_id", "data"))).alias("rows"))
-    children = F.transform("rows", lambda r: F.struct(r["data"].alias("data")))
-    after = F.when(F.col("page_no") % 5 != 4, F.concat(F.lit("t3_"), F.col("page_no")))
-    listing = F.struct(F.struct(after.alias("after"), children.alias("children")).alias("data"))
-    return pages.select("page_no", F.to_json(listing).alias("payload"))
+    return pages.select("page_no", payload.alias("payload"))
 
 
 def page_headers(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,9 +18,9 @@ def ingest_search_pages(pages: DataFrame) -> DataFrame:
     """
     kept = [c for c in pages.columns if c != "payload"]
     page = pages.select(*kept, F.from_json("payload", SEARCH_PAGE).alias("_page"))
-    rows = page.select(
-        *kept, F.col("_page.data.after").alias("after"), F.posexplode("_page.data.children").alias("pos", "_child")
-    )
+    # Only the token goes along with every post; carrying the page would copy it once per post.
+    parts = page.select(*kept, F.col("_page.data.after").alias("after"), F.col("_page.data.children").alias("_children"))
+    rows = parts.select(*kept, "after", F.posexplode("_children").alias("pos", "_child"))
     return normalize_posts(rows.select(*kept, "after", "pos", "_child.data.*"), keep=[*kept, "after", "pos"])
 
 
