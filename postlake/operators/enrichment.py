@@ -9,8 +9,6 @@ from postlake.functions import comment_nodes, comments_json, detail_url, present
 from postlake.functions.expressions import LINK_HOST
 from postlake.operators.ranking import first_per_key
 
-_NO_PERMALINK_SALTS = 1024
-
 
 def _readable(details: DataFrame) -> DataFrame:
     return details.select("*", F.explode(readable_threads(F.col("payload"))).alias("_thread"))
@@ -82,18 +80,14 @@ def enrich_posts(posts: DataFrame, details: DataFrame, with_comments: bool = Fal
 
     ``details`` comes from :func:`ingest_details` with one row per permalink, so no post is
     multiplied. Posts that have details already keep them, and posts that match nothing pass
-    unchanged. Posts without a permalink can match nothing; they are spread over salts of their own
-    so that they do not pile up in one join partition. A permalink that many posts share stays exact
+    unchanged. Posts without a permalink can match nothing; their join
+    key is made from their input partition, so that they do not pile up in one join partition. A permalink that many posts share stays exact
     because details are unique; adaptive skew joins split such a partition on the posts' side.
     """
-    hashable = [c for c, kind in posts.dtypes if "map<" not in kind and "variant" not in kind]
-    salt_of_missing = F.pmod(F.xxhash64(*hashable), F.lit(_NO_PERMALINK_SALTS)) + 1
-    left = posts.withColumn(
-        "_salt", F.when(present(F.col("permalink")), F.lit(0).cast("bigint")).otherwise(salt_of_missing)
-    )
+    spread = F.concat(F.lit("\x00"), F.spark_partition_id())
+    left = posts.withColumn("_key", F.when(present(F.col("permalink")), F.col("permalink")).otherwise(spread))
     right = details.filter(present(F.col("permalink"))).select(
-        "permalink",
-        F.lit(0).cast("bigint").alias("_salt"),
+        F.col("permalink").alias("_key"),
         F.col("body").alias("_body"),
         F.col("n_comments").alias("_n_comments"),
         F.lit(True).alias("_matched"),
@@ -106,7 +100,7 @@ def enrich_posts(posts: DataFrame, details: DataFrame, with_comments: bool = Fal
         found = F.col(f"_{name}")
         return F.when(had, F.col(name)).otherwise(found) if name in posts.columns else found
 
-    joined = left.join(right, ["permalink", "_salt"], "left")
+    joined = left.join(right, "_key", "left")
     plain = [c for c in posts.columns if c not in {*added, "has_details"}]
     return joined.select(
         *plain,

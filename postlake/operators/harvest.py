@@ -1,64 +1,83 @@
 """Replaying the page loop of a paged harvest over captured pages.
 
 The loop takes the pages of a query in order until it has ``limit`` new posts, a page carries no
-continuation token, or a page is empty (``tolerant``: the second empty page in a row). The accepted
-pages are therefore those up to a cut page, the smaller of
+continuation token, or a page is empty (``tolerant``: the second empty page in a row). So a page is
+accepted when the pages before it hold fewer than ``limit`` new posts and none of them stopped the
+loop; a post is new on the first page of its query that holds it.
 
-* the page where the number of new posts reaches the limit, and
-* the first page that stops the loop,
-
-and a post is new on the first page of its query that holds it. Both cuts are minima that combine
-before the shuffle, so a query with very many pages needs no window over all of them.
+Running sums over all pages of a query would put a query with very many pages into one task. They
+are taken inside chunks of pages, and once more over one summary row per chunk.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions import present
 from postlake.operators.posts import with_key
-from postlake.operators.ranking import top_per_group
 
 _CHUNK_PAGES = 1024
+_PAGE = ["query", "page_no"]
+_CHUNK = ["query", "chunk"]
+
 
+def _or_false(flag: Column) -> Column:
+    return F.coalesce(flag, F.lit(False))
 
-def _limit_cut(new_per_page: DataFrame, limit: int) -> DataFrame:
-    """Page on which the limit is reached; a page with news adds at least one, so ``limit`` pages do."""
-    leading = top_per_group(new_per_page, ["query"], ["page_no"], limit)
-    running = F.sum("new_cnt").over(Window.partitionBy("query").orderBy("page_no"))
-    reached = leading.withColumn("_sum", running).filter(F.col("_sum") >= limit)
-    return reached.groupBy("query").agg(F.min("page_no").alias("limit_page"))
-
-
-def _strict_stop(pages: DataFrame) -> DataFrame:
-    stops = ~present(F.col("after_token")) | F.col("is_empty")
-    return pages.filter(stops).groupBy("query").agg(F.min("page_no").alias("stop_page"))
-
-
-def _tolerant_stop(pages: DataFrame) -> DataFrame:
-    """The previous page is looked up inside chunks of pages; chunk ends are then linked per query."""
-    chunked = pages.withColumn("chunk", F.floor(F.col("page_no") / _CHUNK_PAGES))
-    inside = Window.partitionBy("query", "chunk").orderBy("page_no")
-    twice = F.col("is_empty") & F.coalesce(F.lag("is_empty").over(inside), F.lit(False))
-    stops = ~present(F.col("after_token")) | F.col("_twice")
-    chunks = (
-        chunked.withColumn("_twice", twice)
-        .groupBy("query", "chunk")
-        .agg(
-            F.min(F.when(stops, F.col("page_no"))).alias("_stop"),
-            F.min("page_no").alias("_first"),
-            F.min_by("is_empty", "page_no").alias("_opens_empty"),
-            F.max_by("is_empty", "page_no").alias("_ends_empty"),
+
+def _captured_pages(headers: DataFrame, posts: DataFrame) -> DataFrame:
+    """``(query, page_no, after_token, is_empty, new_cnt)``."""
+    held = posts.groupBy(*_PAGE).agg(F.count("*").alias("_rows"))
+    first_page = with_key(posts).groupBy("query", "key").agg(F.min("page_no").alias("page_no"))
+    new_per_page = first_page.groupBy(*_PAGE).agg(F.count("*").alias("new_cnt"))
+    return (
+        headers.join(held, _PAGE, "left")
+        .join(new_per_page, _PAGE, "left")
+        .select(
+            *_PAGE,
+            "after_token",
+            F.col("_rows").isNull().alias("is_empty"),
+            F.coalesce("new_cnt", F.lit(0)).alias("new_cnt"),
         )
     )
+
+
+def _with_running(pages: DataFrame, tolerant: bool) -> DataFrame:
+    """Add the chunk, and what the earlier pages of the same chunk add up to."""
+    inside = Window.partitionBy(*_CHUNK).orderBy("page_no")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    stops_if_empty = _or_false(F.lag("is_empty").over(inside)) if tolerant else F.lit(True)
+    return (
+        pages.withColumn("chunk", F.floor(F.col("page_no") / _CHUNK_PAGES))
+        .withColumn("_stops", ~present(F.col("after_token")) | (F.col("is_empty") & stops_if_empty))
+        .withColumn("_new_before", F.coalesce(F.sum("new_cnt").over(earlier), F.lit(0)))
+        .withColumn("_stopped", _or_false(F.max("_stops").over(earlier)))
+    )
+
+
+def _chunk_starts(running: DataFrame, tolerant: bool) -> DataFrame:
+    """Per chunk: new posts and a stop before it, and whether its first page is a second empty one."""
+    chunks = running.groupBy(*_CHUNK).agg(
+        F.sum("new_cnt").alias("_new"),
+        F.max("_stops").alias("_stops_inside"),
+        F.min("page_no").alias("_first"),
+        F.min_by("is_empty", "page_no").alias("_opens_empty"),
+        F.max_by("is_empty", "page_no").alias("_ends_empty"),
+    )
     linked = Window.partitionBy("query").orderBy("chunk")
-    across = F.col("_opens_empty") & F.coalesce(F.lag("_ends_empty").over(linked), F.lit(False))
+    earlier = linked.rowsBetween(Window.unboundedPreceding, -1)
+    second_empty = F.col("_opens_empty") & _or_false(F.lag("_ends_empty").over(linked)) & F.lit(tolerant)
     return (
-        chunks.withColumn("_across", across)
-        .withColumn("_stop", F.least("_stop", F.when(F.col("_across"), F.col("_first"))))
-        .groupBy("query")
-        .agg(F.min("_stop").alias("stop_page"))
+        chunks.withColumn("_second_empty", second_empty)
+        .withColumn("_stops_any", F.col("_stops_inside") | F.col("_second_empty"))
+        .select(
+            *_CHUNK,
+            "_first",
+            "_second_empty",
+            F.coalesce(F.sum("_new").over(earlier), F.lit(0)).alias("_new_earlier"),
+            _or_false(F.max("_stops_any").over(earlier)).alias("_stopped_earlier"),
+        )
     )
 
 
@@ -69,22 +88,14 @@ def harvest_replay(headers: DataFrame, posts: DataFrame, limit: int, mode: str =
     """
     if mode not in ("strict", "tolerant"):
         raise ValueError("mode is 'strict' or 'tolerant'")
-    page = ["query", "page_no"]
-    held = posts.groupBy(*page).agg(F.count("*").alias("_rows"))
-    first_page = with_key(posts).groupBy("query", "key").agg(F.min("page_no").alias("page_no"))
-    new_per_page = first_page.groupBy(*page).agg(F.count("*").alias("new_cnt"))
-    pages = (
-        headers.join(held, page, "left")
-        .join(new_per_page, page, "left")
-        .select(
-            *page,
-            "after_token",
-            F.col("_rows").isNull().alias("is_empty"),
-            F.coalesce("new_cnt", F.lit(0)).alias("new_cnt"),
-        )
+    tolerant = mode == "tolerant"
+    running = _with_running(_captured_pages(headers, posts), tolerant)
+    stopped = (
+        F.col("_stopped")
+        | F.col("_stopped_earlier")
+        | (F.col("_second_empty") & (F.col("page_no") > F.col("_first")))
+    )
+    accepted = (F.col("_new_earlier") + F.col("_new_before") < limit) & ~stopped
+    return running.join(_chunk_starts(running, tolerant), _CHUNK).select(
+        *_PAGE, "new_cnt", accepted.alias("accepted")
     )
-    stop = _strict_stop(pages) if mode == "strict" else _tolerant_stop(pages)
-    cuts = stop.join(_limit_cut(new_per_page, max(limit, 1)), "query", "full")
-    last = F.least("stop_page", "limit_page")
-    accepted = (F.col("page_no") <= F.coalesce(last, F.col("page_no"))) & F.lit(limit > 0)
-    return pages.join(cuts, "query", "left").select(*page, "new_cnt", accepted.alias("accepted"))

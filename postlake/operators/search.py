@@ -97,43 +97,58 @@ def search_multi(hits: DataFrame) -> DataFrame:
     return first_per_key(hits, ["id"], ["q_idx", "pos"])
 
 
-def query_stats(hits: DataFrame) -> DataFrame:
-    """Hits per query, and how many of them no other query found.
+def _counts(hits: DataFrame, queries: Sequence[str] | DataFrame | None) -> DataFrame:
+    """``(q_idx, query, total, unique_cnt, new_cnt)`` per query, zeros for queries without hits.
 
     An id occurs at most once per query, so a window over an id holds no more rows than there are
     queries; one shuffle of the (already limited) hits replaces the pairwise set differences.
     """
-    shared = F.count("*").over(Window.partitionBy("id"))
-    return (
+    same_post = Window.partitionBy("id")
+    counts = (
         hits.select("q_idx", "query", "id")
-        .withColumn("_queries", shared)
+        .withColumn("_queries", F.count("*").over(same_post))
+        .withColumn("_earliest", F.min("q_idx").over(same_post))
         .groupBy("q_idx", "query")
-        .agg(F.count("*").alias("total"), F.count_if(F.col("_queries") == 1).alias("unique_cnt"))
+        .agg(
+            F.count("*").alias("total"),
+            F.count_if(F.col("_queries") == 1).alias("unique_cnt"),
+            F.count_if(F.col("_earliest") == F.col("q_idx")).alias("new_cnt"),
+        )
     )
+    if queries is None:
+        return counts
+    asked = queries if isinstance(queries, DataFrame) else query_list(hits.sparkSession, queries)
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total", "unique_cnt", "new_cnt")]
+    return asked.join(counts, ["q_idx", "query"], "left").select("q_idx", "query", *zero)
+
+
+def query_stats(hits: DataFrame, queries: Sequence[str] | DataFrame | None = None) -> DataFrame:
+    """Hits per query, and how many of them no other query found.
+
+    ``queries`` adds those that found nothing.
+    """
+    return _counts(hits, queries).select("q_idx", "query", "total", "unique_cnt")
 
 
-def search_new_in_order(hits: DataFrame) -> DataFrame:
+def search_new_in_order(hits: DataFrame, queries: Sequence[str] | DataFrame | None = None) -> DataFrame:
     """How many posts each query adds to those of the queries before it."""
-    owned = hits.groupBy("id").agg(F.min("q_idx").alias("owner"))
-    added = owned.groupBy("owner").agg(F.count("*").alias("_new"))
-    asked = hits.select("q_idx", "query").distinct()
-    return (
-        asked.join(added, asked["q_idx"] == added["owner"], "left")
-        .select("q_idx", "query", F.coalesce("_new", F.lit(0)).alias("new_cnt"))
-    )
+    return _counts(hits, queries).select("q_idx", "query", "new_cnt")
+
 
+def run_manifest(
+    hits: DataFrame, run_ts: Column | str, queries: Sequence[str] | DataFrame | None = None
+) -> DataFrame:
+    """One row ``(timestamp, total_posts, queries)``; ``queries`` lists the stats in query order.
 
-def run_manifest(hits: DataFrame, run_ts: Column | str) -> DataFrame:
-    """One row ``(timestamp, total_posts, queries)``; ``queries`` lists the stats in query order."""
-    stats = query_stats(hits)
-    # Every distinct post is new for exactly one query, so the total needs no second pass over ids.
-    counted = stats.join(search_new_in_order(hits).select("q_idx", "new_cnt"), "q_idx", "left")
+    Every distinct post is new for exactly one query, so the total needs no second pass over ids.
+    """
     entry = F.struct(
         F.col("query"), F.col("total").alias("posts_collected"), F.col("unique_cnt").alias("unique_posts")
     )
     listed = F.array_sort(F.collect_list(F.struct(F.col("q_idx"), entry.alias("entry"))))
     stamp = F.date_format(F.lit(run_ts).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
-    return counted.agg(
+    totals = _counts(hits, queries).agg(
         F.coalesce(F.sum("new_cnt"), F.lit(0)).alias("total_posts"),
         F.transform(listed, lambda e: e["entry"]).alias("queries"),
-    ).select(stamp.alias("timestamp"), "total_posts", "queries")
+    )
+    return totals.select(stamp.alias("timestamp"), "total_posts", "queries")

@@ -35,8 +35,9 @@ owned AS (
   SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY id ORDER BY q_idx, pos) = 1),
 nq AS (SELECT id, count(DISTINCT term) AS queries FROM hits GROUP BY id),
 stats AS (
-  SELECT q_idx, term, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (queries = 1) AS BIGINT) AS unique_cnt
-  FROM hits JOIN nq USING (id) GROUP BY q_idx, term)"""
+  SELECT t.q_idx, t.term, CAST(count(h.id) AS BIGINT) AS total,
+    CAST(count(*) FILTER (queries = 1) AS BIGINT) AS unique_cnt
+  FROM terms t LEFT JOIN hits h USING (term) LEFT JOIN nq USING (id) GROUP BY t.q_idx, t.term)"""
 
 
 def _harvest(stop: str) -> str:

@@ -77,15 +77,15 @@ def search_multi(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def query_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return search.query_stats(_hits(spark, folder)).select(F.col("query").alias("term"), "total", "unique_cnt")
+    return search.query_stats(_hits(spark, folder), TERMS).select(F.col("query").alias("term"), "total", "unique_cnt")
 
 
 def search_new_in_order(spark: SparkSession, folder: str) -> DataFrame:
-    return search.search_new_in_order(_hits(spark, folder)).select(F.col("query").alias("term"), "new_cnt")
+    return search.search_new_in_order(_hits(spark, folder), TERMS).select(F.col("query").alias("term"), "new_cnt")
 
 
 def run_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    manifest = search.run_manifest(_hits(spark, folder), RUN_AT)
+    manifest = search.run_manifest(_hits(spark, folder), RUN_AT, TERMS)
     return manifest.select("timestamp", "total_posts", F.to_json("queries").alias("queries_json"))
 
 
@@ -256,7 +256,7 @@ def write_run_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated posts of a run, written per run and read back."""
     path = shared_folder(spark, "runs")
     kept = search.search_multi(_hits(spark, folder))
-    sources.write_run(kept, search.run_manifest(_hits(spark, folder), RUN_AT), path, "run-1")
+    sources.write_run(kept, search.run_manifest(_hits(spark, folder), RUN_AT, TERMS), path, "run-1")
     written = spark.read.parquet(f"{path}/posts")
     manifest = spark.read.parquet(f"{path}/runs").select("run_id", "total_posts")
     return (
