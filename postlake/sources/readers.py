@@ -74,6 +74,6 @@ def read_ledger(spark: SparkSession, path: str, whole_file: bool = False) -> Dat
 
     ``whole_file`` is for one (pretty-printed) map per file; ours have one map per line.
     """
-    text = spark.read.option("wholetext", whole_file).text(path)
+    text = spark.read.text(path, wholetext=whole_file)
     entries = text.select(F.explode(F.from_json("value", LEDGER_MAP)).alias("endpoint", "_state"))
     return entries.select("endpoint", "_state.*")

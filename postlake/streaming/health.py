@@ -19,6 +19,7 @@ from postlake.streaming.running import drain
 
 _LOG_FIELDS = ("endpoint", "ts", "event_id", "ok", "status")
 _SETTLED = -1
+_NO_MARK = -(10**15)
 
 
 def _version(folder: str, table: str, batch: int) -> str:
@@ -32,23 +33,27 @@ def _with_settled(history: DataFrame | None, rows: DataFrame) -> DataFrame:
 
 def stream_endpoint_history(log: DataFrame, folder: str, delay: timedelta) -> None:
     """Fold the request outcomes at hand into the history in ``folder``."""
+    slack = delay // timedelta(microseconds=1)
 
     def fold(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         read = lambda table: spark.read.parquet(_version(folder, table, number - 1))
         write = lambda frame, table: frame.write.mode("overwrite").parquet(_version(folder, table, number))
-        rows = batch.select(*_LOG_FIELDS)
-        before = read("mark").first()["mark"] if number else None
-        newest = rows.agg(F.max("ts")).first()[0]
-        mark = max(m for m in (before, newest and newest - delay) if m is not None)
-        history, waiting = None, rows
+        upto = lambda mark: F.col("ts") <= F.timestamp_micros(F.lit(mark))
+        rows = batch.select(*_LOG_FIELDS).persist()
+        # Marks are micros; an instant before all data stands for "no watermark yet".
+        before = read("mark").first()["mark"] if number else _NO_MARK
+        newest = rows.agg(F.max(F.unix_micros("ts"))).first()[0]
+        mark = before if newest is None else max(before, newest - slack)
+        write(rows.filter(upto(before)), "late")
+        history = read("history") if number else None
+        waiting = rows.filter(~upto(before))
         if number:
-            write(rows.filter(F.col("ts") <= F.lit(before)), "late")
-            history = read("history")
-            waiting = read("pending").unionByName(rows.filter(F.col("ts") > F.lit(before)))
-        write(_with_settled(history, waiting.filter(F.col("ts") <= F.lit(mark))), "history")
-        write(waiting.filter(F.col("ts") > F.lit(mark)), "pending")
-        write(spark.range(1).select(F.lit(mark).alias("mark")), "mark")
+            waiting = read("pending").unionByName(waiting)
+        write(_with_settled(history, waiting.filter(upto(mark))), "history")
+        write(waiting.filter(~upto(mark)), "pending")
+        write(spark.range(1).select(F.lit(mark).cast("bigint").alias("mark")), "mark")
+        rows.unpersist()
 
     drain(log, fold, folder)
 

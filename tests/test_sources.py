@@ -1,0 +1,124 @@
+"""Readers and writers: document shapes, lists, ledgers, runs."""
+
+import json
+
+from pyspark.sql import functions as F
+
+from postlake import sources
+from postlake.operators.posts import POST_FIELDS
+from postlake.sources.readers import page_headers, read_lines
+
+
+def post(i, **more):
+    return {
+        "id": f"i{i}", "name": f"t3_{i}", "title": "é😀", "author": None, "subreddit": "s", "permalink": f"/p/{i}/",
+        "link": "l", "description": "", "created_utc": 1.5e9, "score": i, "num_comments": 0, **more,
+    }
+
+
+def test_both_document_shapes_pretty_printed(spark, tmp_path):
+    (tmp_path / "doc").mkdir()
+    with_details = post(1, body="b", comments=[{"author": "x", "replies": []}])
+    (tmp_path / "doc/a.json").write_text(json.dumps({"metadata": {"n": 2}, "posts": [post(0), with_details]}, indent=2))
+    (tmp_path / "doc/b.json").write_text(json.dumps([post(2), post(3, comments=[])], indent=2))
+    (tmp_path / "doc/c.json").write_text(json.dumps({"metadata": {}, "posts": []}))
+    rows = {r["id"]: r for r in sources.read_posts(spark, str(tmp_path / "doc")).drop("comments").collect()}
+    assert {i: r["has_details"] for i, r in rows.items()} == {"i0": False, "i1": True, "i2": False, "i3": True}
+    assert rows["i2"]["title"] == "é😀" and rows["i2"]["score"] == 2 and rows["i1"]["body"] == "b"
+
+
+def test_documents_are_valid_json_with_nulls(spark, tmp_path):
+    posts = spark.createDataFrame([post(i) for i in range(25)], sources_schema())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        sources.write_documents(posts, str(tmp_path / "d"), metadata_json='{"k":1}', summary_json='{"total":25}')
+        sources.write_documents(posts, str(tmp_path / "bare"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    documents = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "d")).collect()]
+    assert max(len(d["posts"]) for d in documents) <= 4
+    assert all(list(d) == ["enrichment_summary", "metadata", "posts"] for d in documents)
+    assert sorted(p["id"] for d in documents for p in d["posts"]) == sorted(f"i{i}" for i in range(25))
+    assert all("author" in p for d in documents for p in d["posts"])
+    assert all(isinstance(json.loads(r[0]), list) for r in spark.read.text(str(tmp_path / "bare")).collect())
+    both = sources.read_posts(spark, [str(tmp_path / "d"), str(tmp_path / "bare")], multi_line=False)
+    assert both.count() == 50
+
+
+def sources_schema():
+    from postlake.sources.schemas import POST
+
+    return POST
+
+
+def test_enriched_documents_have_details_only_where_known(spark, tmp_path):
+    rows = spark.createDataFrame([post(i) for i in range(2)], sources_schema()).withColumns(
+        {
+            "has_details": F.col("score") == 1,
+            "body": F.when(F.col("score") == 1, 'say "hi"'),
+            "comments_json": F.when(F.col("score") == 1, '[{"author":"a","body":"b","score":1,"replies":[]}]'),
+        }
+    )
+    sources.write_enriched(rows, str(tmp_path / "e"))
+    found = {p["id"]: p for r in spark.read.text(str(tmp_path / "e")).collect() for p in json.loads(r[0])}
+    assert set(found["i0"]) == set(POST_FIELDS)
+    assert found["i1"]["body"] == 'say "hi"' and found["i1"]["comments"][0]["author"] == "a"
+
+
+def test_line_numbers_over_files_and_splits(spark, tmp_path):
+    lines = [f"line {i}" if i % 7 else "" for i in range(500)]
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l/1.txt").write_text("\n".join(lines[:300]) + "\n")
+    (tmp_path / "l/2.txt").write_text("\r\n".join(lines[300:]) + "\r\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = read_lines(spark, str(tmp_path / "l")).orderBy("pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["line"] for r in rows] == lines
+    assert [r["pos"] for r in rows] == list(range(500))
+
+
+def test_endpoint_list_roundtrip(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("\n h1:80 \nhttps://h2\nh1:80\n\nhttp://h3\n")
+    listed = sources.load_endpoints(spark, str(tmp_path / "in.txt"))
+    assert [r["endpoint"] for r in listed.orderBy("pos").collect()] == ["http://h1:80", "https://h2", "http://h3"]
+    sources.write_endpoints(listed, str(tmp_path / "out"))
+    again = sources.load_endpoints(spark, str(tmp_path / "out")).orderBy("pos").collect()
+    assert [(r["endpoint"], r["pos"]) for r in again] == [("http://h1:80", 0), ("https://h2", 1), ("http://h3", 2)]
+
+
+def test_ledger_files(spark, tmp_path):
+    (tmp_path / "ledger.json").write_text(
+        json.dumps({'http://h"1': {"last_ok": 5, "ok_streak": 1, "fail_streak": 0}}, indent=2)
+    )
+    (tmp_path / "broken.json").write_text("{nope")
+    ledger = sources.read_ledger(spark, str(tmp_path / "ledger.json"), whole_file=True)
+    assert [tuple(r) for r in ledger.collect()] == [('http://h"1', 5, 1, 0)]
+    assert sources.read_ledger(spark, str(tmp_path / "broken.json"), whole_file=True).count() == 0
+    sources.write_ledger(ledger, str(tmp_path / "out"))
+    assert [tuple(r) for r in sources.read_ledger(spark, str(tmp_path / "out")).collect()] == [('http://h"1', 5, 1, 0)]
+
+
+def test_rerun_replaces_only_its_own_run(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    for run, n in (("a", 3), ("b", 5), ("a", 2)):
+        posts = spark.range(n).selectExpr("id", "CAST(NULL AS STRING) AS title")
+        sources.write_run(posts, spark.createDataFrame([(n,)], "total_posts bigint"), path, run)
+    counts = {r[0]: r[1] for r in spark.read.parquet(f"{path}/posts").groupBy("run_id").count().collect()}
+    assert counts == {"a": 2, "b": 5}
+    assert {r[0] for r in spark.read.parquet(f"{path}/runs").filter("run_id = 'a'").collect()} == {2}
+    sources.write_run(spark.range(1).selectExpr("id", "CAST(NULL AS STRING) AS title"),
+                      spark.createDataFrame([(1,)], "total_posts bigint"), str(tmp_path / "j"), "x", fmt="json")
+    text = spark.read.text(str(tmp_path / "j/posts")).first()[0]
+    assert json.loads(text) == {"id": 0, "title": None}
+
+
+def test_search_pages(spark):
+    page = json.dumps({"data": {"after": "tok", "children": [{"data": {"id": "1", "selftext": "é😀" * 200, "url": "u"}}]}})
+    empty = json.dumps({"data": {"after": None, "children": []}})
+    pages = spark.createDataFrame([("q", 0, page), ("q", 1, empty), ("q", 2, "{bad")], "query string, page_no int, payload string")
+    row = sources.ingest_search_pages(pages).collect()
+    assert len(row) == 1 and row[0]["after"] == "tok" and row[0]["link"] == "u" and row[0]["permalink"] == ""
+    assert row[0]["description"] == ("é😀" * 200)[:269]
+    assert {r["page_no"]: r["after_token"] for r in page_headers(pages).collect()} == {0: "tok", 1: None, 2: None}
