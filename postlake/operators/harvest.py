@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import present
 from postlake.operators.posts import with_key
+from postlake.operators.ranking import first_per_key
 
 _CHUNK_PAGES = 1024
 _PAGE = ["query", "page_no"]
@@ -99,3 +100,17 @@ def harvest_replay(headers: DataFrame, posts: DataFrame, limit: int, mode: str =
     return running.join(_chunk_starts(running, tolerant), _CHUNK).select(
         *_PAGE, "new_cnt", accepted.alias("accepted")
     )
+
+
+def harvest_hits(
+    headers: DataFrame, posts: DataFrame, queries: DataFrame, limit: int, mode: str = "strict"
+) -> DataFrame:
+    """The posts a harvest collects: ``(q_idx, query, id, page_no, pos)``, each once per query.
+
+    ``id`` is the post's key and ``pos`` its place on the page. The rows feed ``search_multi`` (ordered
+    by query, page and place) and ``query_stats``. A page bounds the rows per join key.
+    """
+    accepted = harvest_replay(headers, posts, limit, mode).filter("accepted AND new_cnt > 0").select(*_PAGE)
+    collected = with_key(posts).join(accepted, _PAGE, "left_semi").select("query", "key", "page_no", "pos")
+    firsts = first_per_key(collected, ["query", "key"], ["page_no", "pos"])
+    return firsts.join(queries, "query").select("q_idx", "query", F.col("key").alias("id"), "page_no", "pos")

@@ -92,9 +92,9 @@ def search_page(hits: DataFrame, batch_size: int, after: str | None = None) -> D
     )
 
 
-def search_multi(hits: DataFrame) -> DataFrame:
+def search_multi(hits: DataFrame, order: Sequence[str] = ("q_idx", "pos")) -> DataFrame:
     """Distinct posts over all queries; each belongs to the earliest query that found it."""
-    return first_per_key(hits, ["id"], ["q_idx", "pos"])
+    return first_per_key(hits, ["id"], order)
 
 
 def _counts(hits: DataFrame, queries: Sequence[str] | DataFrame | None) -> DataFrame:

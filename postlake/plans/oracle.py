@@ -47,7 +47,8 @@ hdr AS (
   SELECT query, page_no, CASE WHEN page_no = max(page_no) OVER (PARTITION BY query) THEN NULL
     WHEN query = 'src5' AND page_no = 3 THEN NULL ELSE concat(query, '_', page_no) END AS after_token FROM hdr0),
 held AS (
-  SELECT * FROM (SELECT source AS query, doc_id // 200 AS page_no, concat('p', n_chars % 37) AS id FROM documents)
+  SELECT * FROM (SELECT source AS query, doc_id // 200 AS page_no, doc_id AS pos, concat('p', n_chars % 37) AS id
+    FROM documents)
   WHERE NOT (query = 'src7' AND page_no = 1) AND NOT (query = 'src8' AND page_no IN (1, 2))),
 firsts AS (SELECT query, id, min(page_no) AS page_no FROM held GROUP BY query, id),
 pages AS (
@@ -63,11 +64,20 @@ run AS (
     coalesce(sum(new_cnt) OVER w, 0) AS before,
     coalesce(bool_or(stops) OVER w, false) AS stopped
   FROM marked WINDOW w AS (
-    PARTITION BY query ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT query, page_no, CAST(new_cnt AS BIGINT) AS new_cnt, before < {HARVEST_LIMIT} AND NOT stopped AS accepted
-FROM run"""
+    PARTITION BY query ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+replay AS (
+  SELECT query, page_no, CAST(new_cnt AS BIGINT) AS new_cnt, before < {HARVEST_LIMIT} AND NOT stopped AS accepted
+  FROM run)"""
 
 
+_REPLAY_OUT = " SELECT query, page_no, new_cnt, accepted FROM replay"
+
+_HARVEST_HITS = _harvest("n_rows = 0") + """,
+harvested AS (
+  SELECT CAST(substring(query, 4) AS INT) AS q_idx, query, id, page_no, pos
+  FROM held JOIN replay USING (query, page_no) WHERE accepted
+  QUALIFY row_number() OVER (PARTITION BY query, id ORDER BY page_no, pos) = 1)"""
+
 # Text of a document as lines, sentences and clauses, as the payloads have them.
 _COMMENTS = """valid AS (
   SELECT * FROM documents WHERE doc_id % 10 <> 3 AND doc_id % 9 NOT IN (4, 7)),
@@ -185,8 +195,16 @@ SELECT '{RUN_AT}' AS timestamp, (SELECT CAST(count(*) AS BIGINT) FROM owned) AS
   concat('[', string_agg(concat('{{"query":"', term, '","posts_collected":', total, ',"unique_posts":', unique_cnt, '}}'),
     ',' ORDER BY q_idx), ']') AS queries_json
 FROM stats""",
-    "harvest_replay": _harvest("n_rows = 0"),
-    "harvest_replay_tolerant": _harvest("n_rows = 0 AND coalesce(prev_rows, 1) = 0"),
+    "harvest_replay": _harvest("n_rows = 0") + _REPLAY_OUT,
+    "harvest_replay_tolerant": _harvest("n_rows = 0 AND coalesce(prev_rows, 1) = 0") + _REPLAY_OUT,
+    "harvest_hits": _HARVEST_HITS + " SELECT q_idx, query, id, page_no, pos FROM harvested",
+    "harvest_stats": _HARVEST_HITS + """,
+owned AS (
+  SELECT * FROM harvested QUALIFY row_number() OVER (PARTITION BY id ORDER BY q_idx, page_no, pos) = 1),
+spread AS (SELECT id, count(*) AS queries FROM harvested GROUP BY id)
+SELECT query, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (queries = 1) AS BIGINT) AS unique_cnt,
+  (SELECT CAST(count(*) AS BIGINT) FROM owned o WHERE o.query = h.query) AS owned
+FROM harvested h JOIN spread USING (id) GROUP BY query""",
     "ingest_search_pages": f"""WITH {_POSTS_RAW}
 SELECT doc_id // 100 AS page_no, CAST(doc_id % 100 AS INT) AS pos,
   CASE WHEN (doc_id // 100) % 5 <> 4 THEN concat('t3_', doc_id // 100) END AS after, {_POST_FIELDS}

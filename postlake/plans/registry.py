@@ -95,6 +95,23 @@ def harvest_replay(spark: SparkSession, folder: str, mode: str) -> DataFrame:
     )
 
 
+def _harvest_hits(spark: SparkSession, folder: str) -> DataFrame:
+    headers = tables.page_headers(spark, folder)
+    asked = headers.select("query").distinct().withColumn("q_idx", F.expr("CAST(substring(query, 4) AS INT)"))
+    return harvest.harvest_hits(headers, tables.page_posts(spark, folder), asked, HARVEST_LIMIT)
+
+
+def harvest_hits(spark: SparkSession, folder: str) -> DataFrame:
+    return _harvest_hits(spark, folder)
+
+
+def harvest_stats(spark: SparkSession, folder: str) -> DataFrame:
+    hits = _harvest_hits(spark, folder)
+    owned = search.search_multi(hits, ("q_idx", "page_no", "pos")).groupBy("query").agg(F.count("*").alias("owned"))
+    stats = search.query_stats(hits).select("query", "total", "unique_cnt")
+    return stats.join(owned, "query", "left").withColumn("owned", F.coalesce("owned", F.lit(0)))
+
+
 def ingest_search_pages(spark: SparkSession, folder: str) -> DataFrame:
     return sources.ingest_search_pages(tables.search_pages(spark, folder))
 
@@ -331,6 +348,8 @@ QUERIES: dict[str, Query] = {
     "run_manifest": run_manifest,
     "harvest_replay": partial(harvest_replay, mode="strict"),
     "harvest_replay_tolerant": partial(harvest_replay, mode="tolerant"),
+    "harvest_hits": harvest_hits,
+    "harvest_stats": harvest_stats,
     "ingest_search_pages": ingest_search_pages,
     "search_page_headers": search_page_headers,
     "flatten_comments": flatten_comments,

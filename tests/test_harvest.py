@@ -5,6 +5,7 @@ import random
 import pytest
 
 from postlake.operators import harvest
+from postlake.operators.search import query_list
 
 
 def loop(pages, limit, tolerant):
@@ -56,6 +57,31 @@ def test_same_as_loop(spark, monkeypatch, chunk, mode):
         assert got == {q: loop(pages, limit, mode == "tolerant") for q, pages in runs.items()}
 
 
+@pytest.mark.parametrize("mode", ["strict", "tolerant"])
+def test_collected_posts(spark, mode):
+    runs = captured(11)
+    headers = spark.createDataFrame(
+        [(q, n, t) for q, pages in runs.items() for n, (t, _) in pages.items()],
+        "query string, page_no bigint, after_token string",
+    )
+    posts = spark.createDataFrame(
+        [(q, n, p, i) for q, pages in runs.items() for n, (_, ids) in pages.items() for p, i in enumerate(ids)],
+        "query string, page_no bigint, pos int, id string",
+    )
+    asked = query_list(spark, list(runs))
+    want = set()
+    for q, pages in runs.items():
+        seen = set()
+        for number in sorted(loop(pages, 20, mode == "tolerant")):
+            for place, post in enumerate(pages[number][1]):
+                if post and post not in seen:
+                    seen.add(post)
+                    want.add((q, post, number, place))
+    rows = harvest.harvest_hits(headers, posts, asked, 20, mode).collect()
+    assert len(rows) == len(want)
+    assert {(r["query"], r["id"], r["page_no"], r["pos"]) for r in rows} == want
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         harvest.harvest_replay(None, None, 1, "other")
