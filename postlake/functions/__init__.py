@@ -1,5 +1,4 @@
 from postlake.functions.expressions import (  # noqa: F401
-    as_utc_timestamp,
     classify_failure,
     clamp_page_size,
     cooldown_seconds,

@@ -70,8 +70,3 @@ def clamp_page_size(size: int) -> int:
 def words(text: Column) -> Column:
     """Lower-case ASCII words of a text; everything else separates words."""
     return F.split(F.lower(text), "[^a-z0-9]+")
-
-
-def as_utc_timestamp(column: Column) -> Column:
-    """An instant from a zone-less timestamp that holds UTC wall time (session zone must be UTC)."""
-    return column.cast("timestamp")

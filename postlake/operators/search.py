@@ -12,10 +12,14 @@ from postlake.functions import clamp_page_size, present, words
 from postlake.operators.ranking import first_per_key, top_per_group
 
 _BROADCAST_BYTES = 8 << 20
+# A query of n characters has at most n / 2 words of some 24 bytes each, besides its characters.
+_BYTES_PER_CHARACTER = 13
 
 
-def query_list(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
-    """``(q_idx, query)`` in list order, counted from 1; a repeated text keeps its first place."""
+def _asked(spark: SparkSession, queries: Sequence[str] | DataFrame) -> tuple[DataFrame, bool]:
+    """The query table, and whether it is known to be small enough for a broadcast."""
+    if isinstance(queries, DataFrame):
+        return queries, False
     distinct = list(dict.fromkeys(queries))
     table = pa.table(
         {
@@ -23,15 +27,12 @@ def query_list(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
             "query": pa.array(distinct, pa.string()),
         }
     )
-    frame = spark.createDataFrame(table)
-    if table.nbytes <= _BROADCAST_BYTES:
-        frame = frame.hint("broadcast")
-    return frame
+    return spark.createDataFrame(table), table.nbytes * _BYTES_PER_CHARACTER <= _BROADCAST_BYTES
 
 
-def _query_words(queries: DataFrame) -> DataFrame:
-    exploded = queries.select("q_idx", "query", F.explode(F.array_distinct(words(F.col("query")))).alias("word"))
-    return exploded.filter("word <> ''")
+def query_list(spark: SparkSession, queries: Sequence[str]) -> DataFrame:
+    """``(q_idx, query)`` in list order, counted from 1; a repeated text keeps its first place."""
+    return _asked(spark, queries)[0]
 
 
 def keyword_search(
@@ -44,27 +45,28 @@ def keyword_search(
 ) -> DataFrame:
     """Best ``limit`` distinct posts per query: ``(q_idx, query, id, <ordinal>, tf, pos)``.
 
-    The score is the number of occurrences of the query's words, ties go to the lower ordinal. Words
-    are matched against the (size-checked, broadcast) query words before anything is shuffled, so the
-    shuffle carries hits only and the cost of scanning a text does not depend on the number of
-    queries. A query list given as a DataFrame is joined the way Spark picks from its size.
+    The score is the number of occurrences of the query's words, ties go to the lower ordinal, which
+    must tell posts apart. Words are matched against the query words before anything is shuffled, so
+    the shuffle carries hits only and scanning a text costs the same for any number of queries. The
+    query words are broadcast when their size allows it; otherwise, and for a query table, Spark
+    picks the join from the sizes it sees and splits skewed words.
     """
-    given = isinstance(queries, DataFrame)
-    terms = _query_words(queries if given else query_list(posts.sparkSession, queries))
-    if not given and len(set(queries)) * (max(map(len, queries), default=0) + 16) <= _BROADCAST_BYTES:
-        terms = F.broadcast(terms)
+    asked, small = _asked(posts.sparkSession, queries)
+    sized = F.broadcast if small else lambda frame: frame
+    terms = asked.select("q_idx", F.explode(F.array_distinct(words(F.col("query")))).alias("word")).filter("word <> ''")
     if extra_filters is not None:
         posts = posts.filter(extra_filters)
     found = (
         posts.filter(present(F.col("id")))
         .select("id", ordinal, F.explode(words(F.col(text))).alias("word"))
-        .join(terms, "word")
-        .groupBy("q_idx", "query", "id", ordinal)
+        .join(sized(terms), "word")
+        .groupBy("q_idx", "id", ordinal)
         .agg(F.count("*").alias("tf"))
     )
     best = [F.desc("tf"), F.asc(ordinal)]
-    distinct = first_per_key(found, ["q_idx", "query", "id"], best)
-    return top_per_group(distinct, ["q_idx", "query"], best, limit)
+    distinct = first_per_key(found, ["q_idx", "id"], best)
+    hits = top_per_group(distinct, ["q_idx"], best, limit)
+    return hits.join(sized(asked), "q_idx").select("q_idx", "query", "id", ordinal, "tf", "pos")
 
 
 def search_page(hits: DataFrame, batch_size: int, after: str | None = None) -> DataFrame:

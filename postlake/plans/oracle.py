@@ -212,6 +212,21 @@ FROM posts_raw""",
     "search_page_headers": """SELECT DISTINCT doc_id // 100 AS page_no,
   CASE WHEN (doc_id // 100) % 5 <> 4 THEN concat('t3_', doc_id // 100) END AS after_token FROM documents""",
     "flatten_comments": f"WITH {_COMMENTS} SELECT doc_id, path, depth, author, body, score FROM comments",
+    "nest_comments": f"""WITH {_COMMENTS},
+clause_json AS (
+  SELECT doc_id, i, j, string_agg(concat('{{"author":"","body":', CAST(to_json(c) AS VARCHAR),
+    ',"score":null,"replies":[]}}'), ',' ORDER BY k) AS r FROM clauses WHERE k % 3 <> 2 GROUP BY doc_id, i, j),
+sentence_json AS (
+  SELECT doc_id, i, string_agg(concat('{{"author":', CAST(to_json(lang) AS VARCHAR), ',"body":',
+    CAST(to_json(s) AS VARCHAR), ',"score":', j, ',"replies":[', coalesce(r, ''), ']}}'), ',' ORDER BY j) AS r
+  FROM sentences LEFT JOIN clause_json USING (doc_id, i, j) GROUP BY doc_id, i),
+line_json AS (
+  SELECT doc_id, string_agg(concat('{{"author":', CAST(to_json(source) AS VARCHAR), ',"body":',
+    CAST(to_json(l) AS VARCHAR), ',"score":', CASE WHEN i % 3 <> 1 THEN CAST(length(l) AS VARCHAR) ELSE 'null' END,
+    ',"replies":[', coalesce(r, ''), ']}}'), ',' ORDER BY i) AS r
+  FROM kept_lines LEFT JOIN sentence_json USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, concat('/r/', lang, '/comments/', doc_id, '/') AS permalink, concat('[', coalesce(r, ''), ']') AS comments_json
+FROM valid LEFT JOIN line_json USING (doc_id)""",
     "comment_stats": f"""WITH {_COMMENTS}
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_comments, CAST(max(depth) AS BIGINT) AS max_depth
 FROM comments GROUP BY doc_id""",

@@ -4,7 +4,8 @@ Each micro-batch turns into segments that are combined with the stored history,
 endpoint. Streaks depend on order, so rows newer than the watermark wait in a pending table until
 nothing earlier can arrive any more. Batch N reads version N-1 and writes version N, so replaying a
 batch after a failure gives the same tables. Rows behind the watermark cannot be placed exactly;
-they are set aside in a ``late`` table instead of being dropped.
+they are set aside in a ``late`` table instead of being dropped. Versions before the last two are
+never read again (``late`` aside) and may be removed at any time.
 """
 
 from __future__ import annotations
