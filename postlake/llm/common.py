@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,27 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def text_slices(texts: pa.Array, most_bytes: int) -> Iterator[pa.Array]:
+    """Consecutive slices of a binary column with some ``most_bytes`` each, or one longer text."""
+    sizes = texts.fill_null(b"")
+    ends = np.cumsum(pc.binary_length(sizes).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(texts):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most_bytes, side="right")))
+        yield texts.slice(begin, end - begin)
+        begin = end
+
+
+def batch_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with some ``most_bytes`` of ``column`` each."""
+    for batch in batches:
+        begin = 0
+        for some in text_slices(batch.column(column).cast(pa.binary()), most_bytes):
+            yield batch.slice(begin, len(some))
+            begin += len(some)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     """Cut a stream that is sorted by non-null ``keys`` anew, so that no group is split."""
     held: list[pa.RecordBatch] = []

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import stored
+from postlake.llm.common import batch_slices, stored
 from postlake.llm.tokens import crc_of, encode_column
 
 END_ID = 1
@@ -79,7 +79,7 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int, end_id: int = END_ID)
     """``(doc_id, piece, start, length, ids_crc32, ids)``: the ids of every text in pieces of ``longest``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batch_slices(batches, "text"):
             ids, sizes = encode_column(batch.column("text"), tokenizer, end_id)
             many = -(-sizes // longest)
             row = np.repeat(np.arange(len(sizes)), many)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import stored
+from postlake.llm.common import batch_slices, stored
 
 #: A sentence ends after its stops or line breaks and the space that follows; sentences add up to the text.
 _SENTENCE = re.compile(rb"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
@@ -55,7 +55,7 @@ def _runs_of(docs: DataFrame, least_sentences: int, least_words: int) -> DataFra
     """``(id, version, first, end, high, low)``: the runs of all rows with both halves of their hash."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batch_slices(batches, "text"):
             row, first, end, high, low = [], [], [], [], []
             for place, text in enumerate(batch.column("text").cast(pa.binary())):
                 for a, b, h in runs(text.as_py() or b"", least_sentences, least_words):

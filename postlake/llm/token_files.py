@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlake.llm.common import totals_before
+from postlake.llm.common import batch_slices, totals_before
 from postlake.llm.tokens import encode_column
 
 END_ID = 1
@@ -51,7 +51,7 @@ def write_tokens(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in batch_slices(batches, "text"):
             ids, sizes = encode_column(batch.column("text"), tokenizer, end_id)
             ends = np.cumsum(sizes)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))

@@ -3,15 +3,23 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WORDS_KEPT = 400_000
+from postlake.llm.common import text_slices
+
+_WORDS_KEPT = 1_000_000
+_WORDS_AT_ONCE = 20_000
+_BYTES_AT_ONCE = 2 << 20
+# Between an ASCII letter and an ASCII sign or digit, apostrophes aside.
+_BORDER = re.compile(rb"(?<=[a-z])(?=[!-&(-@\[-`{-~])|(?<=[!-&(-@\[-`{-~])(?=[a-z])")
 
 
 def vocabulary(name: str) -> str:
@@ -21,12 +29,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _kept_whole(text: bytes) -> bool:
+    """Whether there may be a special token, or a mark that combines with the letter before it."""
+    return b"<|" in text or b"\xcc" in text or b"\xcd" in text
+
+
 class WordEncoder:
     """Ids of texts, each distinct word sent to the tokenizers library once.
 
-    For tokenizers that drop white space and never join across it, so that the ids of a text are those
-    of its words; ``word_bpe_49k.json`` is one. Texts are cut at ASCII white space only, so other
-    spaces stay within what the library sees. The cache of words is emptied when it is full.
+    For tokenizers that lower the case, drop white space, never join a letter with what is none, and
+    mark the end of a word in its last id, so that the ids of a text are those of its parts;
+    ``word_bpe_49k.json`` is one. Texts are cut at ASCII white space, and a word that is new also between
+    ASCII letters and ASCII signs or digits; other characters and apostrophes stay within what the
+    library sees. What may hold special tokens or combining marks keeps its case and is not cut further.
+    The cache of words is emptied when it is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -34,6 +50,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
+        size = self._library.get_vocab_size()
+        self._ends = np.array([(self._library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self._forget()
 
     def _forget(self) -> None:
@@ -42,30 +60,61 @@ class WordEncoder:
         self._size = np.empty(0, np.int64)
         self._start = np.empty(0, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
-        encoded = self._library.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ids = [e.ids for e in encoded]
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their number for words that should have one end mark each, or None if they don't."""
+        ids = np.array(self._library.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
+        sizes = np.diff(np.flatnonzero(self._ends[ids]), prepend=-1)
+        return (ids, sizes) if len(sizes) == len(words) else None
+
+    def _apart(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self._library.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for x in lists for i in x), np.int32, sizes.sum()), sizes
+
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self._place.update(zip(words, range(len(self._place), len(self._place) + len(words)), strict=True))
-        self._size = np.append(self._size, np.fromiter(map(len, ids), np.int64, len(ids)))
-        self._ids = np.append(self._ids, np.fromiter((i for x in ids for i in x), np.int32))
+        self._ids, self._size = np.append(self._ids, ids), np.append(self._size, sizes)
         self._start = np.cumsum(self._size) - self._size
 
+    def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after another, and where each word's ids end, from 0 on."""
+        sizes = self._size[at]
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        return self._ids[np.arange(total[-1]) + np.repeat(self._start[at] - total[:-1], sizes)], total
+
+    def _learn(self, words: list[bytes]) -> None:
+        parts = {w: [w] if _kept_whole(w) else _BORDER.sub(b" ", w).split(b" ") for w in words}
+        unknown = dict.fromkeys(p for cut in parts.values() for p in cut if p not in self._place)
+        plain, rest = [], []
+        for part in unknown:
+            text = part.decode()
+            (plain if text.isalpha() and max(text) < "\u0250" else rest).append((part, text))
+        for some, encode in ((plain, self._together), (rest, self._apart)):
+            for begin in range(0, len(some), _WORDS_AT_ONCE):
+                names, texts = map(list, zip(*some[begin : begin + _WORDS_AT_ONCE], strict=True))
+                self._add(names, *(encode(texts) or self._apart(texts)))
+        joined = [w for w, cut in parts.items() if len(cut) > 1]
+        if joined:
+            at = np.array([self._place[p] for w in joined for p in parts[w]])
+            ids, total = self._gathered(at)
+            self._add(joined, ids, np.diff(total[np.cumsum([0, *[len(parts[w]) for w in joined]])]))
+
     def encode(self, texts: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many belong to each text; every text ends with ``end_id``."""
-        words = [t.split() for t in texts]
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        flat = [w for text in words for w in text]
+        flat: list[bytes] = []
+        ends_of_texts = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            flat += (text if _kept_whole(text) else text.lower()).split()
+            ends_of_texts[i] = len(flat)
         if len(self._place) > _WORDS_KEPT:
             self._forget()
-        new = list(dict.fromkeys(w for w in flat if w not in self._place))
+        at = np.fromiter(map(self._place.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(at < 0).tolist()
         if new:
-            self._learn(new)
-        at = np.fromiter(map(self._place.__getitem__, flat), np.int64, len(flat))
-        sizes = self._size[at]
-        placed = np.cumsum(sizes) - sizes
-        ids = self._ids[np.arange(sizes.sum()) + np.repeat(self._start[at] - placed, sizes)]
-        total = np.concatenate(([0], np.cumsum(sizes)))
-        ends = total[np.cumsum(counts)]
+            self._learn(list(dict.fromkeys(map(flat.__getitem__, new))))
+            at[new] = [self._place[flat[i]] for i in new]
+        ids, total = self._gathered(at)
+        ends = total[ends_of_texts]
         lengths = np.diff(ends, prepend=0)
         if end_id is not None:
             ids = np.insert(ids, ends, end_id)
@@ -80,8 +129,14 @@ def encoder(path: str) -> WordEncoder:
 
 
 def encode_column(texts: pa.Array, path: str, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """As :meth:`WordEncoder.encode` for an Arrow column of texts; null counts as empty."""
-    return encoder(path).encode([t.as_py() or b"" for t in texts.cast(pa.binary())], end_id)
+    """As :meth:`WordEncoder.encode` for an Arrow column of texts, some MB at a time; null counts as empty."""
+    parts = [
+        encoder(path).encode([t.as_py() or b"" for t in some], end_id)
+        for some in text_slices(texts.cast(pa.binary()), _BYTES_AT_ONCE)
+    ]
+    nothing = (np.empty(0, np.int32), np.empty(0, np.int64))
+    ids, lengths = zip(*[nothing, *parts], strict=True)
+    return np.concatenate(ids), np.concatenate(lengths)
 
 
 def crc_of(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[int]:
