@@ -20,10 +20,15 @@ _EXACT_IN_DOUBLES = float(1 << 53)
 
 
 def scaled(embedding: Column, factor: int = 1024) -> Column:
-    """Components as whole numbers: ``floor(factor * x)``, each within a long; null for unusable vectors."""
+    """Components as whole numbers ``floor(factor * x)``; null for unusable vectors.
+
+    Those are vectors with null or non-finite components, and with components so large that a score might
+    not fit a long (for 64 dimensions, whole numbers beyond 379 million).
+    """
     whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * factor).cast("bigint"))
-    finite = F.forall(embedding, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    return F.when(finite, whole)
+    most = F.floor(F.sqrt(F.lit(float((1 << 63) - 1)) / F.size(embedding))) - 1
+    fits = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double") * factor) < most), F.lit(False))
+    return F.when(F.forall(embedding, fits), whole)
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -91,8 +96,8 @@ def top_scores(
     Third phase: rows that did not come from every slice get their exact score, and the best ``k`` stay.
 
     Queries and rows meet in blocks and cells of bounded size, so no task holds all of either. Vectors
-    that are null or hold null or non-finite components take no part, and vectors of other lengths do
-    not meet. Rows with the query's own id are left out; null ids can be found, after all others in
+    that are null or hold null, non-finite or huge components (see :func:`scaled`) take no part, and
+    vectors of other lengths do not meet. Rows with the query's own id are left out; null ids can be found, after all others in
     ties, but do not ask; repeated rows are found as often as they are there; other columns are ignored.
     """
     usable = vectors.select("vec_id", scaled(F.col("embedding"), factor).alias("whole"), queries.alias("asks"))
