@@ -10,4 +10,4 @@ from postlake.functions.expressions import (  # noqa: F401
     present,
     words,
 )
-from postlake.functions.threads import comment_nodes, comments_json, readable_threads  # noqa: F401
+from postlake.functions.threads import comment_count, comment_nodes, comments_json, readable_threads  # noqa: F401

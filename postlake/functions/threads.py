@@ -14,6 +14,7 @@ a payload that parses has at most 199 levels: a limit of the data, not a cut-off
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,10 +25,19 @@ _STRUCT_LEVELS = 5
 _COMMENTS = "array<struct<path:array<int>,author:string,body:string,score:bigint>>"
 
 
-def _listing_type(levels: int) -> str:
-    """Children of a listing with ``levels`` more levels as structs and the rest as VARIANT."""
-    replies = f"struct<data:struct<children:{_listing_type(levels - 1)}>>" if levels else "variant"
-    return f"array<struct<kind:string,data:struct<author:string,body:string,score:bigint,replies:{replies}>>>"
+@dataclass(frozen=True)
+class _Kind:
+    """What a walk takes from a level of comments, and how levels add up."""
+
+    fields: str
+    none: Callable[[], Column]
+    emitted: Callable[[Column], Column]
+    plus: Callable[[Column, Column], Column]
+
+    def listing(self, levels: int) -> str:
+        """Children of a listing with ``levels`` more levels as structs and the rest as VARIANT."""
+        replies = f"struct<data:struct<children:{self.listing(levels - 1)}>>" if levels else "variant"
+        return f"array<struct<kind:string,data:struct<{self.fields}replies:{replies}>>>"
 
 
 def readable_threads(payload: Column) -> Column:
@@ -57,9 +67,9 @@ def _comments_under(listing: Column, path: Callable[[Column], Column]) -> Column
     return F.filter(placed, lambda c: c["kind"] == "t1")
 
 
-def _children(level: Column, listing: Callable[[Column], Column], levels: int) -> Column:
+def _children(kind: _Kind, level: Column, listing: Callable[[Column], Column], levels: int) -> Column:
     def replies(parent: Column) -> Column:
-        children = F.coalesce(listing(parent["data"]["replies"]), F.array().cast(_listing_type(levels)))
+        children = F.coalesce(listing(parent["data"]["replies"]), F.array().cast(kind.listing(levels)))
         return _comments_under(children, lambda i: F.array_append(parent["path"], i))
 
     return F.flatten(F.transform(level, replies))
@@ -69,10 +79,6 @@ def _replies_as_structs(replies: Column) -> Column:
     return replies["data"]["children"]
 
 
-def _replies_as_variant(replies: Column) -> Column:
-    return F.try_variant_get(replies, "$.data.children", _listing_type(0))
-
-
 def _emitted(level: Column) -> Column:
     def row(c: Column) -> Column:
         data = c["data"]
@@ -86,35 +92,56 @@ def _emitted(level: Column) -> Column:
     return F.transform(level, row)
 
 
-def _walk_deep(level: Column) -> Column:
-    """Comments of a level held as VARIANT and of all levels below it."""
+_NODES = _Kind(
+    "author:string,body:string,score:bigint,", lambda: F.array().cast(_COMMENTS), _emitted, lambda a, b: F.concat(a, b)
+)
+_COUNT = _Kind("", lambda: F.lit(0).cast("bigint"), lambda level: F.size(level).cast("bigint"), lambda a, b: a + b)
+
+
+def _deeper(kind: _Kind, level: Column) -> Column:
+    """The next level of one held as VARIANT."""
+    as_variant = lambda replies: F.try_variant_get(replies, "$.data.children", kind.listing(0))
+    return _children(kind, level, as_variant, 0)
+
+
+def _walk_deep(kind: _Kind, level: Column) -> Column:
+    """What a level held as VARIANT and all levels below it emit."""
 
     def step(state: Column, _: Column) -> Column:
-        deeper = F.struct(
-            _children(state["level"], _replies_as_variant, 0).alias("level"),
-            F.concat(state["seen"], _emitted(state["level"])).alias("seen"),
-        )
+        seen = kind.plus(state["seen"], kind.emitted(state["level"]))
+        deeper = F.struct(_deeper(kind, state["level"]).alias("level"), seen.alias("seen"))
         return F.when(F.size(state["level"]) == 0, state).otherwise(deeper)
 
-    start = F.struct(level.alias("level"), F.array().cast(_COMMENTS).alias("seen"))
+    start = F.struct(level.alias("level"), kind.none().alias("seen"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(_PARSER_LEVELS)), start, step)["seen"]
 
 
-def _walk(level: Column, levels: int) -> Column:
-    """Comments of a level that has ``levels`` more levels as structs, and of all levels below it."""
+def _walk(kind: _Kind, level: Column, levels: int) -> Column:
+    """What a level that has ``levels`` more levels as structs, and all levels below it, emit."""
 
-    def comments(here: Column) -> Column:
+    def found(here: Column) -> Column:
         if levels:
-            below = _walk(_children(here, _replies_as_structs, levels - 1), levels - 1)
+            below = _walk(kind, _children(kind, here, _replies_as_structs, levels - 1), levels - 1)
         else:
-            below = _bound(_children(here, _replies_as_variant, 0), lambda rest: _if_any(rest, _walk_deep(rest)))
-        return _if_any(here, F.concat(_emitted(here), below))
+            below = _bound(_deeper(kind, here), lambda rest: _if_any(kind, rest, _walk_deep(kind, rest)))
+        return _if_any(kind, here, kind.plus(kind.emitted(here), below))
+
+    return _bound(level, found)
+
+
+def _if_any(kind: _Kind, level: Column, found: Column) -> Column:
+    return F.when(F.size(level) > 0, found).otherwise(kind.none())
+
 
-    return _bound(level, comments)
+def _walk_thread(kind: _Kind, thread: Column) -> Column:
+    listing = kind.listing(_STRUCT_LEVELS)
+    top = F.coalesce(F.try_variant_get(thread, "$[1].data.children", listing), F.array().cast(listing))
+    return _walk(kind, _comments_under(top, lambda i: F.array(i)), _STRUCT_LEVELS)
 
 
-def _if_any(level: Column, comments: Column) -> Column:
-    return F.when(F.size(level) > 0, comments).otherwise(F.array().cast(_COMMENTS))
+def comment_count(thread: Column) -> Column:
+    """The number of comments, from kinds and replies alone."""
+    return _walk_thread(_COUNT, thread)
 
 
 def comment_nodes(thread: Column) -> Column:
@@ -123,9 +150,7 @@ def comment_nodes(thread: Column) -> Column:
     ``path`` holds the position of the comment and of its ancestors among their siblings, so sorting
     by it gives reading order and its size is the depth.
     """
-    top = F.try_variant_get(thread, "$[1].data.children", _listing_type(_STRUCT_LEVELS))
-    top = F.coalesce(top, F.array().cast(_listing_type(_STRUCT_LEVELS)))
-    return _walk(_comments_under(top, lambda i: F.array(i)), _STRUCT_LEVELS)
+    return _walk_thread(_NODES, thread)
 
 
 def comments_json(nodes: Column) -> Column:

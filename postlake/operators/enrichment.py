@@ -5,42 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.functions import comment_nodes, comments_json, detail_url, present, readable_threads
+from postlake.functions import comment_count, comment_nodes, comments_json, detail_url, present, readable_threads
 from postlake.functions.expressions import LINK_HOST
 from postlake.operators.ranking import first_per_key
 
 
 def _readable(details: DataFrame) -> DataFrame:
+    # Of a repeated JSON key the last one counts.
+    details.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return details.select("*", F.explode(readable_threads(F.col("payload"))).alias("_thread"))
 
 
-def latest_details(details: DataFrame) -> DataFrame:
-    """One capture per permalink, the latest; without ``fetched_at`` any one of them."""
+def rejected_details(details: DataFrame) -> DataFrame:
+    """``(…, reason)`` of the captures that no other operator here can read; the payload is left out.
+
+    ``json``: no JSON text, or one beyond the parser's limits (1,000 nested brackets, 16 MiB of values);
+    ``listings``: JSON without a post and a comment listing.
+    """
+    details.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    reason = F.when(F.try_parse_json("payload").isNull(), "json").otherwise("listings")
+    unread = details.filter(F.coalesce(F.size(readable_threads(F.col("payload"))), F.lit(0)) < 1)
+    return unread.withColumn("reason", reason).drop("payload")
+
+
+def latest_details(details: DataFrame, with_comments: bool = False) -> DataFrame:
+    """The parsed fields of the latest readable capture of every permalink; without ``fetched_at`` of any one.
+
+    Captures are parsed before they are compared, so a later broken one hides nothing, and only parsed
+    fields are shuffled.
+    """
     order = [F.desc("fetched_at")] if "fetched_at" in details.columns else []
-    return first_per_key(details.filter(present(F.col("permalink"))), ["permalink"], [*order, "payload"])
+    named = details.filter(present(F.col("permalink"))).withColumn("_tie", F.xxhash64("payload"))
+    return first_per_key(ingest_details(named, with_comments), ["permalink"], [*order, "_tie"]).drop("_tie")
 
 
-def ingest_details(details: DataFrame) -> DataFrame:
-    """``(…, title, body, comments, n_comments)`` of the readable payloads, one row per payload.
+def ingest_details(details: DataFrame, with_comments: bool = True) -> DataFrame:
+    """``(…, title, body, n_comments[, comments])`` of the readable payloads, one row per payload.
 
-    Input is ``(permalink, payload, …)``; further columns are kept. Unreadable payloads give no row,
-    so their posts stay without details.
+    Input is ``(permalink, payload, …)``; further columns are kept. Unreadable payloads give no row, so
+    their posts stay without details; :func:`rejected_details` lists them. Without comments they are
+    only counted.
     """
     kept = [c for c in details.columns if c != "payload"]
     field = lambda name: F.try_variant_get(
         F.col("_thread"), f"$[0].data.children[0].data.{name}", "string"
     )
-    return (
-        _readable(details)
-        .withColumn("comments", comment_nodes(F.col("_thread")))
-        .select(
-            *kept,
-            field("title").alias("title"),
-            F.coalesce(field("selftext"), F.lit("")).alias("body"),
-            "comments",
-            F.size("comments").cast("bigint").alias("n_comments"),
-        )
-    )
+    base = [*kept, field("title").alias("title"), F.coalesce(field("selftext"), F.lit("")).alias("body")]
+    threads = _readable(details)
+    if not with_comments:
+        return threads.select(*base, comment_count(F.col("_thread")).alias("n_comments"))
+    named = threads.withColumn("comments", comment_nodes(F.col("_thread")))
+    return named.select(*base, "comments", F.size("comments").cast("bigint").alias("n_comments"))
 
 
 def flatten_comments(details: DataFrame, max_depth: int | None = None) -> DataFrame:
@@ -60,7 +75,17 @@ def nest_comments(details: DataFrame) -> DataFrame:
     return _readable(details).select(*kept, comments_json(nodes).alias("comments_json"))
 
 
+def thread_stats(details: DataFrame) -> DataFrame:
+    """``(…, n_comments, max_depth)`` of every payload with comments; row-local, so no shuffle."""
+    kept = [c for c in details.columns if c != "payload"]
+    nodes = _readable(details).select(*kept, comment_nodes(F.col("_thread")).alias("_nodes"))
+    depth = F.array_max(F.transform("_nodes", lambda c: F.size(c["path"])))
+    stats = [F.size("_nodes").cast("bigint").alias("n_comments"), depth.cast("bigint").alias("max_depth")]
+    return nodes.select(*kept, *stats).filter("n_comments > 0")
+
+
 def comment_stats(comments: DataFrame, key: str = "permalink") -> DataFrame:
+    """As :func:`thread_stats`, for comments of which several payloads share a key."""
     return comments.groupBy(key).agg(
         F.count("*").alias("n_comments"), F.max("depth").cast("bigint").alias("max_depth")
     )
@@ -78,11 +103,11 @@ def detail_worklist(posts: DataFrame, done: DataFrame, host: str = LINK_HOST) ->
 def enrich_posts(posts: DataFrame, details: DataFrame, with_comments: bool = False) -> DataFrame:
     """Posts with ``body``, ``n_comments`` and ``has_details`` (and ``comments_json`` on request).
 
-    ``details`` comes from :func:`ingest_details` with one row per permalink, so no post is
+    ``details`` comes from :func:`latest_details`, one row per permalink, so no post is
     multiplied. Posts that have details already keep them, and posts that match nothing pass
     unchanged. Posts without a permalink can match nothing; their join
-    key is made from their input partition, so that they do not pile up in one join partition. A permalink that many posts share stays exact
-    because details are unique; adaptive skew joins split such a partition on the posts' side.
+    key is made from their input partition, so that they do not pile up in one join partition. A
+    permalink that many posts share stays exact because details are unique; adaptive skew joins split such a partition on the posts' side.
     """
     spread = F.concat(F.lit("\x00"), F.spark_partition_id())
     left = posts.withColumn("_key", F.when(present(F.col("permalink")), F.col("permalink")).otherwise(spread))
@@ -114,7 +139,10 @@ def _succeeded():
 
 
 def enrichment_summary(enriched: DataFrame) -> DataFrame:
-    """One row ``(total, success, failed)``. The failed ids are a table: :func:`failed_posts`."""
+    """One row ``(total, success, failed)``. The failed ids are a table: :func:`failed_posts`.
+
+    Rejected captures are counted apart: ``rejected_details(...).groupBy("reason").count()``.
+    """
     return enriched.agg(
         F.count("*").alias("total"),
         F.count_if(_succeeded()).alias("success"),

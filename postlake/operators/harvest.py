@@ -6,7 +6,8 @@ accepted when the pages before it hold fewer than ``limit`` new posts and none o
 loop; a post is new on the first page of its query that holds it.
 
 Running sums over all pages of a query would put a query with very many pages into one task. They
-are taken inside chunks of pages, and once more over one summary row per chunk.
+are taken inside chunks of pages, and once more over one summary row per chunk, from a stored table
+of one row per page.
 """
 
 from __future__ import annotations
@@ -14,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postlake.functions import present
+from postlake.functions import post_key, present
 from postlake.operators.posts import with_key
 from postlake.operators.ranking import first_per_key
+from postlake.session import shared_folder
 
 _CHUNK_PAGES = 1024
 _PAGE = ["query", "page_no"]
@@ -28,20 +30,32 @@ def _or_false(flag: Column) -> Column:
 
 
 def _captured_pages(headers: DataFrame, posts: DataFrame) -> DataFrame:
-    """``(query, page_no, after_token, is_empty, new_cnt)``."""
-    held = posts.groupBy(*_PAGE).agg(F.count("*").alias("_rows"))
-    first_page = with_key(posts).groupBy("query", "key").agg(F.min("page_no").alias("page_no"))
-    new_per_page = first_page.groupBy(*_PAGE).agg(F.count("*").alias("new_cnt"))
-    return (
-        headers.join(held, _PAGE, "left")
-        .join(new_per_page, _PAGE, "left")
-        .select(
-            *_PAGE,
-            "after_token",
-            F.col("_rows").isNull().alias("is_empty"),
-            F.coalesce("new_cnt", F.lit(0)).alias("new_cnt"),
-        )
+    """``(query, page_no, after_token, is_empty, new_cnt)``, stored: headers and posts are read once each.
+
+    Posts are dealt out by query and key, those without a key by page, and combined per page there; a
+    key's first page is that of its new post. Headers and post counts then meet in one aggregation.
+    """
+    permalink = F.col("permalink") if "permalink" in posts.columns else F.lit(None).cast("string")
+    keyed = posts.select(*_PAGE, F.nullif(post_key(F.col("id"), permalink), F.lit("")).alias("_key"))
+    own_page = F.when(F.col("_key").isNull(), F.col("page_no"))
+    dealt = keyed.withColumn("_spread", own_page).groupBy("query", "_key", "_spread", "page_no").agg(
+        F.count("*").alias("_rows")
+    )
+    first = F.min("page_no").over(Window.partitionBy("query", "_key", "_spread"))
+    new = (F.col("_key").isNotNull() & (F.col("page_no") == first)).cast("bigint")
+    held = dealt.select(*_PAGE, F.lit(None).cast("string").alias("after_token"), "_rows", new.alias("_new"))
+    zero = F.lit(0).cast("bigint")
+    listed = headers.select(*_PAGE, F.col("after_token").cast("string"), F.lit(None).cast("bigint").alias("_rows"), zero.alias("_new"))
+    pages = held.unionByName(listed).groupBy(*_PAGE).agg(
+        F.max("after_token").alias("after_token"),
+        F.coalesce(F.sum("_rows"), zero).alias("_held"),
+        F.sum("_new").alias("new_cnt"),
+        F.max(F.col("_rows").isNull()).alias("_listed"),
     )
+    captured = pages.filter("_listed").select(*_PAGE, "after_token", (F.col("_held") == 0).alias("is_empty"), "new_cnt")
+    path = shared_folder(headers.sparkSession, "captured-pages")
+    captured.write.parquet(path)
+    return headers.sparkSession.read.schema(captured.schema).parquet(path)
 
 
 def _with_running(pages: DataFrame, tolerant: bool) -> DataFrame:

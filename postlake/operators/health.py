@@ -1,10 +1,9 @@
 """Endpoint health from a request log ``(endpoint, ts, event_id, ok, status)``.
 
 Streaks need the order of an endpoint's requests, and one endpoint may own a large part of the log.
-The log is therefore range-partitioned by ``(endpoint, ts, event_id)``, which also splits a busy
-endpoint (and equal time stamps) evenly. Every stretch of an endpoint inside one range becomes one
-summary row, a *segment*. Segments of the same endpoint combine in time order into one segment
-again, so the same code serves batch runs and micro-batches.
+The log is therefore partitioned once, by endpoint and time slice, which splits a busy endpoint.
+Every slice of an endpoint becomes one summary row, a *segment*. Segments of the same endpoint
+combine in time order into one segment again, so the same code serves batch runs and micro-batches.
 """
 
 from __future__ import annotations
@@ -18,6 +17,9 @@ from postlake.functions import classify_failure, cooldown_seconds
 from postlake.functions.expressions import COOLDOWN_BASE_SECONDS, COOLDOWN_CAP, DEAD_AFTER_FAILURES
 
 _ORDER = ["ts", "event_id"]
+SLICE = timedelta(days=1)
+# Before any slice: what earlier batches have settled.
+SETTLED = -(1 << 62)
 
 
 def _streak_columns(rows: Column, first_ok: Column, last_ok: Column) -> list[Column]:
@@ -28,21 +30,25 @@ def _streak_columns(rows: Column, first_ok: Column, last_ok: Column) -> list[Col
     ]
 
 
-def endpoint_segments(log: DataFrame) -> DataFrame:
-    """Summaries of consecutive requests, at least one per endpoint and at most one per range more."""
+def endpoint_segments(log: DataFrame, time_slice: timedelta = SLICE) -> DataFrame:
+    """Summaries of the requests of every endpoint in every ``time_slice``; their ``seq`` orders them.
+
+    A slice of one endpoint is sorted in one task, so a log with very busy endpoints takes shorter ones.
+    """
+    width = time_slice // timedelta(microseconds=1)
     narrow = log.select(
         "endpoint", *_ORDER, "ok", (~F.col("ok") & (classify_failure(F.col("status")) == "dead")).alias("_dead")
     )
-    ranged = narrow.repartitionByRange("endpoint", *_ORDER).withColumn("_range", F.spark_partition_id())
-    stretch = Window.partitionBy("endpoint", "_range").orderBy(*_ORDER)
-    numbered = ranged.withColumn("_n", F.row_number().over(stretch).cast("bigint"))
+    sliced = narrow.withColumn("_slice", F.floor(F.unix_micros("ts") / width))
+    stretch = Window.partitionBy("endpoint", "_slice").orderBy(*_ORDER)
+    numbered = sliced.withColumn("_n", F.row_number().over(stretch).cast("bigint"))
     good = F.when(F.col("ok"), F.col("_n"))
     streak = F.when(F.col("ok"), F.lit(0)).otherwise(
         F.col("_n") - F.coalesce(F.max(good).over(stretch), F.lit(0))
     )
     summed = (
         numbered.withColumn("_streak", streak)
-        .groupBy("endpoint", "_range")
+        .groupBy("endpoint", "_slice")
         .agg(
             F.count("*").alias("n"),
             F.count_if("ok").alias("n_ok"),
@@ -55,15 +61,14 @@ def endpoint_segments(log: DataFrame) -> DataFrame:
             F.max(F.when(F.col("ok"), F.col("ts"))).alias("last_ok_ts"),
         )
     )
-    # Ranges follow each other in (endpoint, ts, event_id) order, so their number orders the segments.
     return summed.select(
-        "endpoint", F.col("_range").cast("bigint").alias("seq"), "n", "n_ok",
+        "endpoint", F.col("_slice").alias("seq"), "n", "n_ok",
         *_streak_columns(F.col("n"), F.col("_first_ok"), F.col("_last_ok")),
         "max_streak", "any_dead", "first_ts", "last_ts", "last_ok_ts",
     )
 
 
-def combine_segments(segments: DataFrame, seq: int = 0) -> DataFrame:
+def combine_segments(segments: DataFrame, seq: int = SETTLED) -> DataFrame:
     """One segment per endpoint from its segments in ``seq`` order; the result carries ``seq``."""
     before = Window.partitionBy("endpoint").orderBy("seq")
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
@@ -162,8 +167,9 @@ def pool_state(
     endpoints: DataFrame | None = None,
 ) -> DataFrame:
     """States at ``as_of`` (the end of the log when not given); listed endpoints without any request are good."""
-    moment = log.agg(F.max("ts")).scalar() if as_of is None else as_of
-    states = states_of(endpoint_history(log, as_of), moment, cooldown_base, cap, dead_after)
+    history = endpoint_history(log, as_of)
+    moment = history.agg(F.max("last_ts")).scalar() if as_of is None else as_of
+    states = states_of(history, moment, cooldown_base, cap, dead_after)
     if endpoints is None:
         return states
     return (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.functions import normalize_endpoint
@@ -27,26 +27,39 @@ def merge_sources(sources: Sequence[DataFrame], line: str = "line") -> DataFrame
 
 
 def refresh_pool(good: DataFrame, existing: DataFrame, target: int) -> DataFrame:
-    """``(endpoint, rank)`` of the new pool: freshly tested ones, then existing ones, ``target`` in all.
+    """``(endpoint, rank, tested)`` of the new pool: freshly tested ones, then existing ones, ``target`` in all.
 
     Both inputs are ``(endpoint, pos)``. When no endpoint passed the test the pool stays as it is,
-    in its own order.
+    whole and in its own order. Ranks count from 1 either way.
     """
     tested = good.select("endpoint", F.lit(0).alias("_source"), "pos")
     kept = existing.select("endpoint", F.lit(1).alias("_source"), "pos")
     order = ["_source", "pos"]
     merged = dedupe_first_seen(tested.unionByName(kept), "endpoint", order)
-    any_good = good.limit(1).agg(F.count("*")).scalar() > 0
+    any_good = F.coalesce(merged.agg(F.min("_source")).scalar() == 0, F.lit(False))
+    # At most ``target`` rows reach this window.
     leading = merged.filter(any_good).orderBy(*order).limit(target)
-    # At most ``target`` rows reach this numbering.
-    numbered = leading.agg(F.array_sort(F.collect_list(F.struct(*order, "endpoint"))).alias("_pool")).select(
-        F.posexplode("_pool").alias("_at", "_row")
+    fresh = leading.select(
+        "endpoint",
+        F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"),
+        (F.col("_source") == 0).alias("tested"),
     )
-    fresh = numbered.select("_row.endpoint", (F.col("_at") + 1).cast("bigint").alias("rank"))
-    unchanged = existing.filter(~any_good).select("endpoint", F.col("pos").cast("bigint").alias("rank"))
+    unchanged = _numbered(existing.filter(~any_good)).withColumn("tested", F.lit(False))
     return fresh.unionByName(unchanged)
 
 
+def _numbered(listed: DataFrame) -> DataFrame:
+    """``(endpoint, rank)`` by ``pos``, counted inside stretches of positions and over the stretches."""
+    placed = listed.select("endpoint", "pos", F.floor(F.col("pos") / 1024).alias("_stretch"))
+    sizes = placed.groupBy("_stretch").agg(F.count("*").alias("_n"))
+    over = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = sizes.select("_stretch", F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_earlier"))
+    inside = F.row_number().over(Window.partitionBy("_stretch").orderBy("pos", "endpoint"))
+    return placed.withColumn("_at", inside).join(earlier, "_stretch").select(
+        "endpoint", (F.col("_earlier") + F.col("_at")).cast("bigint").alias("rank")
+    )
+
+
 def seed_ledger(endpoints: DataFrame, now: Column) -> DataFrame:
     """Ledger rows of endpoints that were never used."""
     return endpoints.select(

@@ -2,7 +2,7 @@
 
 ``row_number() <= k`` lets Spark cut every group to k rows before the shuffle, so a hot key costs k
 rows per input partition. Spark does that only up to a threshold of k; above it the groups are
-split by a salt first.
+split by a salt first, into as many parts as a shuffle has partitions.
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SALTS = 256
-
-
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key: the first in the given order."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -27,7 +24,8 @@ def top_per_group(
     """The first k rows of every group with their 1-based position."""
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if k > threshold:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
         cut = Window.partitionBy(*groups, "_salt").orderBy(*order)
         df = salted.withColumn("_rank", F.row_number().over(cut)).filter(F.col("_rank") <= k).drop("_rank", "_salt")
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,9 +49,14 @@ def keyword_search(
     must tell posts apart. Words are matched against the query words before anything is shuffled, so
     the shuffle carries hits only and scanning a text costs the same for any number of queries. The
     query words are broadcast when their size allows it; otherwise, and for a query table, Spark
-    picks the join from the sizes it sees and splits skewed words.
+    picks the join from the sizes it sees and splits skewed words. A listed query without any word is
+    an error; one in a table finds nothing.
     """
     asked, small = _asked(posts.sparkSession, queries)
+    if not isinstance(queries, DataFrame):
+        empty = [q for q in queries if not any(c.isalnum() for c in q)]
+        if empty:
+            raise ValueError(f"queries without a word: {empty}")
     sized = F.broadcast if small else lambda frame: frame
     terms = asked.select("q_idx", F.explode(F.array_distinct(words(F.col("query")))).alias("word")).filter("word <> ''")
     if extra_filters is not None:
@@ -69,17 +74,24 @@ def keyword_search(
     return hits.join(sized(asked), "q_idx").select("q_idx", "query", "id", ordinal, "tf", "pos")
 
 
-def search_page(hits: DataFrame, batch_size: int, after: str | None = None) -> DataFrame:
+def search_page(
+    hits: DataFrame, batch_size: int, after: Mapping[str, str | None] | DataFrame | None = None
+) -> DataFrame:
     """Cut every query's hits into pages; a page's token is its last id, or null on the last page.
 
-    With ``after`` the pages start behind that id. A query has at most ``limit`` hits, which bounds
-    the windows.
+    ``after`` has the token to go on from for each query, as a map or a table ``(query, after)``: its
+    pages start behind that id. A query without a token, or with one that is none of its hits, starts
+    at its first page. A query has at most ``limit`` hits, which bounds the windows.
     """
     size = clamp_page_size(batch_size)
     per_query = Window.partitionBy("q_idx", "query")
     if after is not None:
-        seen = F.max(F.when(F.col("id") == after, F.col("pos"))).over(per_query)
-        hits = hits.withColumn("_seen", seen).filter("pos > _seen").withColumn("_rel", F.expr("pos - _seen"))
+        if not isinstance(after, DataFrame):
+            after = hits.sparkSession.createDataFrame(list(after.items()), "query string, after string")
+        tokens = after.select("query", F.col("after").alias("_after"))
+        seen = F.max(F.when(F.col("id") == F.col("_after"), F.col("pos"))).over(per_query)
+        hits = hits.join(tokens, "query", "left").withColumn("_seen", F.coalesce(seen, F.lit(0)))
+        hits = hits.filter("pos > _seen").withColumn("_rel", F.expr("pos - _seen")).drop("_after")
     else:
         hits = hits.withColumn("_rel", F.col("pos"))
     page = F.floor((F.col("_rel") - 1) / size).cast("bigint")
@@ -102,21 +114,16 @@ def search_multi(hits: DataFrame, order: Sequence[str] = ("q_idx", "pos")) -> Da
 def _counts(hits: DataFrame, queries: Sequence[str] | DataFrame | None) -> DataFrame:
     """``(q_idx, query, total, unique_cnt, new_cnt)`` per query, zeros for queries without hits.
 
-    An id occurs at most once per query, so a window over an id holds no more rows than there are
-    queries; one shuffle of the (already limited) hits replaces the pairwise set differences.
+    An id occurs at most once per query, so its first and last query say whether it is exclusive and
+    for whom it is new. Both aggregates combine before the shuffle, so no id is hot.
     """
-    same_post = Window.partitionBy("id")
-    counts = (
-        hits.select("q_idx", "query", "id")
-        .withColumn("_queries", F.count("*").over(same_post))
-        .withColumn("_earliest", F.min("q_idx").over(same_post))
-        .groupBy("q_idx", "query")
-        .agg(
-            F.count("*").alias("total"),
-            F.count_if(F.col("_queries") == 1).alias("unique_cnt"),
-            F.count_if(F.col("_earliest") == F.col("q_idx")).alias("new_cnt"),
-        )
+    per_query = hits.groupBy("q_idx", "query").agg(F.count("*").alias("total"))
+    posts = hits.groupBy("id").agg(F.min("q_idx").alias("q_idx"), F.max("q_idx").alias("_latest"))
+    firsts = posts.groupBy("q_idx").agg(
+        F.count("*").alias("new_cnt"), F.count_if(F.col("_latest") == F.col("q_idx")).alias("unique_cnt")
     )
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("unique_cnt", "new_cnt")]
+    counts = per_query.join(firsts, "q_idx", "left").select("q_idx", "query", "total", *zero)
     if queries is None:
         return counts
     asked = queries if isinstance(queries, DataFrame) else query_list(hits.sparkSession, queries)

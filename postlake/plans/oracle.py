@@ -23,7 +23,7 @@ _VALUES = ", ".join(f"({i}, '{t}')" for i, t in enumerate(TERMS, 1))
 
 _HITS = f"""terms(q_idx, term) AS (VALUES {_VALUES}),
 tok AS (
-  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS word FROM documents),
+  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
 found AS (
   SELECT q_idx, term, id, doc_id, count(*) AS tf FROM tok JOIN terms ON word = term GROUP BY ALL),
 uniq AS (
@@ -101,10 +101,13 @@ comments AS (
 
 _ENRICHED = f"""{_POSTS_RAW}, {_COMMENTS},
 counted AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM comments GROUP BY doc_id),
+older AS (
+  SELECT doc_id, 'old' AS body FROM documents WHERE doc_id % 10 <> 3 AND doc_id % 9 IN (4, 7) AND doc_id % 7 = 0),
+details AS (SELECT doc_id, text AS body FROM valid UNION ALL SELECT doc_id, body FROM older),
 enriched AS (
-  SELECT p.doc_id, p.id, p.name, v.text AS body, CASE WHEN v.doc_id IS NOT NULL THEN coalesce(n, 0) END AS n_comments,
-    v.doc_id IS NOT NULL AS has_details
-  FROM posts_raw p LEFT JOIN valid v USING (doc_id) LEFT JOIN counted c USING (doc_id))"""
+  SELECT p.doc_id, p.id, p.name, d.body, CASE WHEN d.doc_id IS NOT NULL THEN coalesce(n, 0) END AS n_comments,
+    d.doc_id IS NOT NULL AS has_details
+  FROM posts_raw p LEFT JOIN details d USING (doc_id) LEFT JOIN counted c USING (doc_id))"""
 
 _LOG = """log AS (
   SELECT event_id, ts, concat('http://h', user_id, ':8080') AS endpoint, event_type <> 'error' AS ok,
@@ -170,6 +173,35 @@ _LEDGER_OUT = "endpoint, epoch_us(last_ok) AS last_ok_us, ok_streak, fail_streak
 _SEED = f"TIMESTAMP '{SEEDED_AT}'"
 _STATES_OUT = f"WITH {_HEALTH} SELECT endpoint, state, failures, ready_at_us FROM states"
 _LEDGER_SQL = f"WITH {_HEALTH} SELECT {_LEDGER_OUT} FROM ledger"
+_ACCENTS = [("für", 1, "für"), ("la Réeux", 2, "la"), ("la Réeux", 2, "réeux"), ("ñ", 3, "ñ")]
+_ACCENTED_HITS = f"""terms(term, q_idx, w) AS (VALUES {", ".join(map(str, _ACCENTS))}),
+tok AS (
+  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+found AS (
+  SELECT q_idx, term, id, doc_id, count(*) AS tf FROM tok JOIN terms ON word = w GROUP BY ALL),
+uniq AS (
+  SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY term, id ORDER BY tf DESC, doc_id) = 1),
+hits AS (
+  SELECT *, row_number() OVER (PARTITION BY term ORDER BY tf DESC, doc_id) AS pos FROM uniq
+  QUALIFY pos <= {LIMIT})"""
+_HARVEST_RUN = f"""WITH {_POSTS_RAW},
+keyed AS (
+  SELECT *, author AS query, doc_id // 200 AS page_no, coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query, page_no ORDER BY doc_id) - 1 AS pos FROM keyed),
+firsts AS (SELECT query, key, min(page_no) AS page_no FROM keyed WHERE key <> '' GROUP BY query, key),
+pages AS (
+  SELECT query, page_no, page_no = max(page_no) OVER (PARTITION BY query) OR (query = 'src5' AND page_no = 3) AS stops,
+    (SELECT count(*) FROM firsts f WHERE f.query = p.query AND f.page_no = p.page_no) AS new_cnt
+  FROM (SELECT DISTINCT query, page_no FROM keyed) p),
+run AS (
+  SELECT *, coalesce(sum(new_cnt) OVER w, 0) AS before, coalesce(bool_or(stops) OVER w, false) AS stopped
+  FROM pages WINDOW w AS (PARTITION BY query ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+owned AS (
+  SELECT p.* FROM placed p JOIN run r USING (query, page_no)
+  WHERE before < {HARVEST_LIMIT} AND NOT stopped AND key <> ''
+  QUALIFY row_number() OVER (PARTITION BY key ORDER BY CAST(substring(query, 4) AS INT), page_no, pos) = 1)
+SELECT query, page_no, CAST(pos AS INT) AS pos, {_POST_FIELDS},
+  (SELECT CAST(count(*) AS BIGINT) FROM owned) AS total_posts FROM owned"""
 _ENRICHED_OUT = f"WITH {_ENRICHED} SELECT doc_id, body, n_comments, has_details FROM enriched"
 _FAILED = "NOT (coalesce(body, '') <> '' OR coalesce(n_comments, 0) > 0)"
 
@@ -234,6 +266,28 @@ FROM comments GROUP BY doc_id""",
 SELECT p.doc_id, concat('https://www.reddit.com', p.permalink, '.json') AS detail_url
 FROM posts_raw p JOIN enriched e USING (doc_id) WHERE p.permalink <> '' AND NOT e.has_details""",
     "enrich_posts": _ENRICHED_OUT,
+    "detail_worklist_enriched": f"""WITH {_ENRICHED}
+SELECT p.doc_id, concat('https://www.reddit.com', p.permalink, '.json') AS detail_url
+FROM posts_raw p JOIN enriched e USING (doc_id) WHERE p.permalink <> '' AND NOT e.has_details""",
+    "enriched_document_head": f"""WITH {_ENRICHED}
+SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (NOT ({_FAILED})) AS BIGINT) AS success,
+  CAST(count(*) FILTER ({_FAILED}) AS BIGINT) AS failed, CAST(count(*) AS BIGINT) AS n_posts FROM enriched""",
+    "rejected_details": """WITH captured AS (SELECT * FROM documents WHERE doc_id % 10 <> 3)
+SELECT doc_id, 2 AS fetched_at, CASE WHEN doc_id % 9 = 4 THEN 'listings' ELSE 'json' END AS reason
+FROM captured WHERE doc_id % 9 IN (4, 7)
+UNION ALL SELECT doc_id, 3, 'listings' FROM captured WHERE doc_id % 5 = 0""",
+    "harvest_run": _HARVEST_RUN,
+    "keyword_search_accents": f"WITH {_ACCENTED_HITS} SELECT term, id, CAST(tf AS BIGINT) AS tf, pos FROM hits",
+    "search_page_from_tokens": f"""WITH {_HITS},
+rest AS (SELECT *, CASE WHEN q_idx <= 2 THEN pos - {PAGE_SIZE} ELSE pos END AS rel FROM hits
+  WHERE q_idx > 2 OR pos > {PAGE_SIZE} OR (SELECT count(*) FROM hits h WHERE h.q_idx = hits.q_idx) < {PAGE_SIZE}),
+paged AS (SELECT *, (rel - 1) // {PAGE_SIZE} AS page_no FROM rest),
+ends AS (SELECT term, page_no, max_by(id, rel) AS last_id, max(rel) AS page_end FROM paged GROUP BY term, page_no),
+sizes AS (SELECT term, max(rel) AS n FROM rest GROUP BY term)
+SELECT term, page_no, id, CASE WHEN page_end < n THEN last_id END AS next_token
+FROM paged JOIN ends USING (term, page_no) JOIN sizes USING (term)""",
+    "stream_late_ledger": f"""WITH {_HEALTH}
+SELECT endpoint, epoch_us(last_ok) AS last_ok_us, ok_streak, any_dead AS dead FROM ledger JOIN facts USING (endpoint)""",
     "enrichment_summary": f"""WITH {_ENRICHED}
 SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (NOT ({_FAILED})) AS BIGINT) AS success,
   CAST(count(*) FILTER ({_FAILED}) AS BIGINT) AS failed FROM enriched""",
@@ -276,12 +330,19 @@ tops AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM kept_lines GROUP BY d
 SELECT name, body, CASE WHEN has_details THEN coalesce(n, 0) END AS top_comments, has_details
 FROM enriched LEFT JOIN tops USING (doc_id)""",
     "write_run_roundtrip": f"""WITH {_HITS}
-SELECT 'run-1' AS run_id, term AS first_term, CAST(count(*) AS BIGINT) AS n,
-  (SELECT CAST(count(*) AS BIGINT) FROM owned) AS total_posts FROM owned GROUP BY term""",
+SELECT 'run-1' AS run_id, term AS first_term, id, doc_id, CAST(tf AS BIGINT) AS tf, pos,
+  (SELECT CAST(count(*) AS BIGINT) FROM owned) AS total_posts FROM owned""",
     "ledger_roundtrip": f"""WITH {_HEALTH}
 SELECT endpoint, epoch_us(last_ok) // 1000000 AS last_ok, ok_streak, fail_streak FROM ledger""",
-    "stream_dedup_posts": "SELECT event_id FROM events",
+    "stream_dedup_posts": f"""WITH {_POSTS_RAW}
+SELECT DISTINCT coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw
+WHERE coalesce(nullif(id, ''), permalink, '') <> ''""",
     "stream_health_ledger": _LEDGER_SQL,
     "stream_pool_state": _STATES_OUT,
-    "stream_enrich": _ENRICHED_OUT,
+    "stream_enrich": f"""WITH {_ENRICHED},
+keyed AS (SELECT doc_id, coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw),
+kept AS (
+  SELECT doc_id FROM keyed WHERE key = '' UNION ALL
+  SELECT doc_id FROM keyed WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id) = 1)
+SELECT doc_id, body, n_comments, has_details FROM enriched JOIN kept USING (doc_id)""",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 from functools import partial
 
@@ -16,9 +16,14 @@ from postlake.operators.ranking import dedupe_first_seen
 from postlake.plans import tables
 from postlake.session import shared_folder
 from postlake.sources.readers import page_headers
-from postlake.streaming import drain_to_parquet, stream_dedup, stream_enrich, stream_health_ledger, stream_pool_state
+from postlake.plans import run
+from postlake.streaming import (
+    drain_to_parquet, history_so_far, stream_endpoint_history, stream_enrich, stream_health_ledger, stream_pool_state,
+)
+from postlake.streaming import stream_dedup_posts as dedup_stream
 
 TERMS = ("the", "and", "dans", "der")
+ACCENTED = ("für", "la Réeux", "ñ")
 LIMIT = 100
 PAGE_SIZE = 30
 HARVEST_LIMIT = 25
@@ -120,6 +125,28 @@ def search_page_headers(spark: SparkSession, folder: str) -> DataFrame:
     return page_headers(tables.search_pages(spark, folder))
 
 
+def keyword_search_accents(spark: SparkSession, folder: str) -> DataFrame:
+    hits = search.keyword_search(tables.documents(spark, folder), ACCENTED, LIMIT)
+    return hits.select(F.col("query").alias("term"), "id", "tf", "pos")
+
+
+def search_page_from_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Two queries go on behind the last post of their first page, the others start at the first."""
+    hits = _hits(spark, folder)
+    tokens = hits.filter((F.col("pos") == PAGE_SIZE) & (F.col("q_idx") <= 2)).select("query", F.col("id").alias("after"))
+    paged = search.search_page(hits, PAGE_SIZE, tokens)
+    return paged.select(F.col("query").alias("term"), "page_no", "id", "next_token")
+
+
+def harvest_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The posts that a whole run over captured pages writes, with the run's total."""
+    work = shared_folder(spark, "harvest-run")
+    run.harvest_run(tables.query_pages(spark, folder), work, "run-1", RUN_AT, HARVEST_LIMIT)
+    written = spark.read.parquet(f"{work}/posts")
+    manifest = spark.read.parquet(f"{work}/runs").select("run_id", "total_posts")
+    return written.join(manifest, "run_id").select("query", "page_no", "pos", *posts.POST_FIELDS, "total_posts")
+
+
 # Details and enrichment ------------------------------------------------------------------------
 
 
@@ -134,12 +161,16 @@ def nest_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def comment_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return enrichment.comment_stats(enrichment.flatten_comments(tables.details_raw(spark, folder)), "doc_id")
+    return enrichment.thread_stats(tables.details_raw(spark, folder)).select("doc_id", "n_comments", "max_depth")
 
 
 def _details(spark: SparkSession, folder: str) -> DataFrame:
-    captured = enrichment.latest_details(tables.details_raw(spark, folder))
-    return enrichment.ingest_details(captured.drop("doc_id"))
+    return enrichment.latest_details(tables.detail_captures(spark, folder).drop("doc_id"))
+
+
+def rejected_details(spark: SparkSession, folder: str) -> DataFrame:
+    captured = enrichment.rejected_details(tables.detail_captures(spark, folder))
+    return captured.select("doc_id", "fetched_at", "reason")
 
 
 def detail_worklist(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,6 +194,27 @@ def enrichment_failures(spark: SparkSession, folder: str) -> DataFrame:
     return enrichment.failed_posts(_enriched(spark, folder)).select("doc_id", F.col("id").alias("failed_id"))
 
 
+def detail_worklist_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """The worklist of a second round, whose posts say which of them have details."""
+    enriched = _enriched(spark, folder).select("doc_id", "permalink", "has_details")
+    nothing = enriched.select("permalink").limit(0)
+    return enrichment.detail_worklist(enriched, nothing).select("doc_id", "detail_url")
+
+
+def enriched_document_head(spark: SparkSession, folder: str) -> DataFrame:
+    """What the summary at the head of written documents says, and how many posts they hold."""
+    path = shared_folder(spark, "document-head")
+    normal = posts.normalize_posts(tables.posts_raw(spark, folder))
+    enriched = enrichment.enrich_posts(normal, _details(spark, folder))
+    summary = enrichment.enrichment_summary(enriched).select(F.to_json(F.struct("*"))).first()[0]
+    sources.write_enriched(enriched, path, metadata_json='{"source":"harvest"}', summary_json=summary)
+    head = lambda name: F.get_json_object("value", f"$.enrichment_summary.{name}").cast("bigint").alias(name)
+    written = spark.read.text(path)
+    listed = F.size(F.from_json(F.get_json_object("value", "$.posts"), "array<struct<name:string>>")).alias("_posts")
+    heads = written.select(head("total"), head("success"), head("failed"), listed)
+    return heads.groupBy("total", "success", "failed").agg(F.sum("_posts").alias("n_posts"))
+
+
 # Endpoint lists, health and ledger ---------------------------------------------------------------
 
 
@@ -221,7 +273,7 @@ def _good(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def refresh_pool(spark: SparkSession, folder: str) -> DataFrame:
-    return pool.refresh_pool(_good(spark, folder), _listed(spark, folder), POOL_TARGET)
+    return pool.refresh_pool(_good(spark, folder), _listed(spark, folder), POOL_TARGET).select("endpoint", "rank")
 
 
 def upsert_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,8 +283,7 @@ def upsert_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def refresh_ledger(spark: SparkSession, folder: str) -> DataFrame:
     ledger = health.health_ledger(tables.request_log(spark, folder))
-    tested = _good(spark, folder).select("endpoint", F.lit(True).alias("tested"))
-    members = refresh_pool(spark, folder).join(tested, "endpoint", "left")
+    members = pool.refresh_pool(_good(spark, folder), _listed(spark, folder), POOL_TARGET)
     return _ledger(pool.refresh_ledger(ledger, members, _now()))
 
 
@@ -262,7 +313,8 @@ def write_enriched_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "enriched")
     raw = tables.posts_raw(spark, folder)
     normal = posts.normalize_posts(raw, keep=["doc_id"])
-    enriched = enrichment.enrich_posts(normal, _details(spark, folder), with_comments=True)
+    details = enrichment.latest_details(tables.detail_captures(spark, folder).drop("doc_id"), with_comments=True)
+    enriched = enrichment.enrich_posts(normal, details, with_comments=True)
     sources.write_enriched(enriched, path, metadata_json='{"source":"harvest"}')
     back = sources.read_posts(spark, path, multi_line=False)
     top_level = F.size(F.try_variant_get("comments", "$", "array<variant>")).cast("bigint")
@@ -272,13 +324,13 @@ def write_enriched_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def write_run_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated posts of a run, written per run and read back."""
     path = shared_folder(spark, "runs")
-    kept = search.search_multi(_hits(spark, folder))
-    sources.write_run(kept, search.run_manifest(_hits(spark, folder), RUN_AT, TERMS), path, "run-1")
+    _hits(spark, folder).write.parquet(f"{path}/hits")
+    hits = spark.read.parquet(f"{path}/hits")
+    sources.write_run(search.search_multi(hits), search.run_manifest(hits, RUN_AT, TERMS), path, "run-1")
     written = spark.read.parquet(f"{path}/posts")
     manifest = spark.read.parquet(f"{path}/runs").select("run_id", "total_posts")
-    return (
-        written.groupBy("run_id", F.col("query").alias("first_term")).agg(F.count("*").alias("n"))
-        .join(manifest, "run_id")
+    return written.join(manifest, "run_id").select(
+        "run_id", F.col("query").alias("first_term"), "id", "doc_id", "tf", "pos", "total_posts"
     )
 
 
@@ -293,26 +345,31 @@ def ledger_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 _STREAM_SLICES = 4
 
 
-def _as_stream(source: DataFrame, time: str, folder: str, files_per_batch: int = 4) -> tuple[DataFrame, timedelta]:
-    """Write a table as time-ordered files and read it as a stream; also the length of a time slice."""
+def _as_stream(
+    source: DataFrame, time: str, folder: str, order: Sequence[int] = range(_STREAM_SLICES)
+) -> tuple[DataFrame, timedelta]:
+    """Write a table as files of time slices in the given order, read it as a stream of as many batches.
+
+    Also gives the length of a time slice.
+    """
     low, high = source.agg(F.min(time), F.max(time)).first()
     width = (high - low) / _STREAM_SLICES + timedelta(microseconds=1)
-    for i in range(_STREAM_SLICES):
+    for i in order:
         begin, end = F.lit(low + i * width), F.lit(low + (i + 1) * width)
         part = source.filter((F.col(time) >= begin) & (F.col(time) < end))
-        part.write.mode("append").parquet(folder)
+        part.coalesce(1).write.mode("append").parquet(folder)  # a batch takes one file, that is one slice
     spark = source.sparkSession
-    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     return stream, width
 
 
 def stream_dedup_posts(spark: SparkSession, folder: str) -> DataFrame:
-    """Events that arrive twice, the copy with the original's time."""
+    """Posts with copies in later batches and without keys; the delay spans them all."""
     work = shared_folder(spark, "stream-dedup")
-    events = tables.table(spark, folder, "events").selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts")
-    stream, width = _as_stream(events.unionAll(events), "ts", f"{work}/in")
-    kept = stream_dedup(stream, ["event_id"], "ts", f"{int(width.total_seconds()) + 1} seconds")
-    return drain_to_parquet(kept, work).select("event_id")
+    posts_in = tables.posts_raw(spark, folder).select("id", "permalink", F.timestamp_seconds("created_utc").alias("at"))
+    stream, width = _as_stream(posts_in, "at", f"{work}/in")
+    kept = dedup_stream(stream, "at", f"{int(width.total_seconds() * _STREAM_SLICES) + 1} seconds")
+    return drain_to_parquet(kept, work).select("key")
 
 
 def stream_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -332,11 +389,28 @@ def stream_enriched(spark: SparkSession, folder: str) -> DataFrame:
     _details(spark, folder).select("permalink", "body", "n_comments").write.parquet(f"{work}/details")
     raw = tables.posts_raw(spark, folder).withColumn("at", F.timestamp_seconds("created_utc"))
     stream, _ = _as_stream(raw, "at", f"{work}/in")
-    done = stream_enrich(stream, spark.read.parquet(f"{work}/details"), work, key="doc_id")
+    done = stream_enrich(stream, spark.read.parquet(f"{work}/details"), work, ("created_utc", "doc_id"))
     return done.select("doc_id", "body", "n_comments", "has_details")
 
 
+def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """Time slices out of order and no delay, so that half of the rows come behind the watermark."""
+    work = shared_folder(spark, "stream-late")
+    stream, _ = _as_stream(tables.request_log(spark, folder), "ts", f"{work}/in", order=(1, 0, 3, 2))
+    stream_endpoint_history(stream, work, timedelta(0))
+    history = history_so_far(spark, work)
+    facts = health.ledger_of(history).select("endpoint", _micros("last_ok"), "ok_streak")
+    return facts.join(history.select("endpoint", F.col("any_dead").alias("dead")), "endpoint")
+
+
 QUERIES: dict[str, Query] = {
+    "rejected_details": rejected_details,
+    "stream_late_ledger": stream_late_ledger,
+    "harvest_run": harvest_run,
+    "search_page_from_tokens": search_page_from_tokens,
+    "keyword_search_accents": keyword_search_accents,
+    "detail_worklist_enriched": detail_worklist_enriched,
+    "enriched_document_head": enriched_document_head,
     "normalize_posts": normalize_posts,
     "dedup_posts": dedup_posts,
     "dedupe_first_seen": _listed,

@@ -1,4 +1,4 @@
-"""One search run from captured posts to written results, with enrichment if details are at hand."""
+"""Whole runs to written results: from captured posts, with enrichment if details are at hand, and from pages."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlake.operators.enrichment import enrich_posts, enrichment_summary, failed_posts, ingest_details, latest_details
-from postlake.operators.posts import normalize_posts, with_key
-from postlake.operators.search import keyword_search, run_manifest, search_multi
+from postlake.operators.enrichment import enrich_posts, enrichment_summary, failed_posts, latest_details
+from postlake.operators.harvest import harvest_hits
+from postlake.operators.posts import POST_FIELDS, normalize_posts, with_key
+from postlake.operators.search import keyword_search, query_stats, run_manifest, search_multi
+from postlake.sources.readers import ingest_search_pages, page_headers
 from postlake.sources.sinks import write_enriched, write_run
 
 
@@ -44,7 +46,7 @@ def search_run(
     # The run's posts pick the details worth parsing.
     stored = spark.read.parquet(f"{output}/posts/{own}")
     wanted = details.join(stored.select("permalink").distinct(), "permalink", "left_semi")
-    enriched = enrich_posts(stored, ingest_details(latest_details(wanted)), with_comments=True)
+    enriched = enrich_posts(stored, latest_details(wanted, with_comments=True), with_comments=True)
     enriched.write.mode("overwrite").parquet(f"{output}/enriched_posts/{own}")
     enriched = spark.read.parquet(f"{output}/enriched_posts/{own}")
     enrichment_summary(enriched).write.mode("overwrite").parquet(f"{output}/enrichment/{own}")
@@ -53,6 +55,31 @@ def search_run(
     write_enriched(enriched, f"{output}/enriched/{own}", metadata_json=_manifest_json(spark, output, own), summary_json=summary)
 
 
+def harvest_run(
+    pages: DataFrame, output: str, run_id: str, run_ts: str, limit: int, mode: str = "strict"
+) -> None:
+    """From captured pages ``(query, q_idx, page_no, payload)`` to the posts, stats and manifest of a run.
+
+    The payloads are parsed once, into tables of posts and page headers under ``output``; replaying the
+    page loop, first-seen posts and statistics start from those. ``posts`` holds each collected post
+    with all its fields and the earliest query that found it, ``stats`` the counts of every query.
+    """
+    spark = pages.sparkSession
+    own = f"run_id={run_id}"
+    written = lambda name: spark.read.parquet(f"{output}/{name}/{own}")
+    save = lambda frame, name: frame.write.mode("overwrite").parquet(f"{output}/{name}/{own}")
+    save(pages.select("query", "q_idx", "page_no", "payload").transform(ingest_search_pages), "page_posts")
+    save(page_headers(pages.select("query", "q_idx", "page_no", "payload")), "page_headers")
+    headers, found = written("page_headers"), written("page_posts")
+    queries = headers.select("q_idx", "query").distinct()
+    save(harvest_hits(headers, found, queries, limit, mode), "hits")
+    hits = written("hits")
+    owned = search_multi(hits, ("q_idx", "page_no", "pos")).select("q_idx", "query", "page_no", "pos")
+    posts = found.join(owned, ["q_idx", "query", "page_no", "pos"])
+    save(query_stats(hits, queries), "stats")
+    write_run(posts.select("q_idx", "query", "page_no", "pos", *POST_FIELDS), run_manifest(hits, run_ts, queries), output, run_id)
+
+
 def _manifest_json(spark, output: str, own: str) -> str:
     manifest = spark.read.parquet(f"{output}/runs/{own}")
     return manifest.select(F.to_json(F.struct("timestamp", "total_posts", "queries"))).first()[0]

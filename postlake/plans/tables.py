@@ -18,19 +18,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents, spread over the cores when the input has fewer splits than there are cores.
-
-    That is so for a small single file only; a large table has far more splits and stays as it is.
-    """
-    docs = table(spark, folder, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Searchable posts; copies of a text share an id."""
-    return _texts(spark, folder).withColumn("id", F.md5("text"))
+    return table(spark, folder, "documents").withColumn("id", F.md5("text"))
 
 
 def posts_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -71,7 +61,7 @@ def details_raw(spark: SparkSession, folder: str) -> DataFrame:
         '[{{"data":{{"children":[{{"data":', to_json(named_struct('title', title, 'selftext', text)), '}}]}}}},',
         '{{"data":{{"children":[', array_join(transform(split(text, '\\n'), (l, i) -> {line}), ','), ']}}}}]')"""
     return (
-        _texts(spark, folder)
+        table(spark, folder, "documents")
         .filter("doc_id % 10 <> 3")
         .withColumn("title", F.expr("split_part(text, '\\n', 1)"))
         .selectExpr(
@@ -83,6 +73,43 @@ def details_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def detail_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """``(doc_id, permalink, payload, fetched_at)``: every capture, and for some a later broken or older one.
+
+    Every fifth document has a later capture that is an error object, which must not hide the first;
+    every seventh has an older one with a repeated JSON key.
+    """
+    first = details_raw(spark, folder).withColumn("fetched_at", F.lit(2))
+    later = first.filter("doc_id % 5 = 0").withColumns({"payload": F.lit('{"error": 500}'), "fetched_at": F.lit(3)})
+    twice = """[{"data":{"children":[{"data":{"title":"a","title":"b","selftext":"old"}}]}},{"data":{"children":[]}}]"""
+    older = first.filter("doc_id % 7 = 0").withColumns({"payload": F.lit(twice), "fetched_at": F.lit(1)})
+    return first.unionByName(later).unionByName(older)
+
+
+def query_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """``(query, q_idx, page_no, payload)``: raw posts in listings by source and stretch of ids; a query's last page
+    has no token, and one ends early."""
+    fields = [
+        "id", "name", "title", "author", "subreddit", "permalink", "url", "selftext", "created_utc", "score",
+        "num_comments",
+    ]
+    placed = posts_raw(spark, folder).select(
+        F.col("author").alias("query"),
+        F.expr("doc_id div 200").alias("page_no"),
+        "doc_id",
+        F.to_json(F.struct(F.struct(*fields).alias("data"))).alias("child"),
+    )
+    pages = placed.groupBy("query", "page_no").agg(F.sort_array(F.collect_list(F.struct("doc_id", "child"))).alias("rows"))
+    tokens = page_headers(spark, folder)
+    after = F.coalesce(F.concat(F.lit('"'), F.col("after_token"), F.lit('"')), F.lit("null"))
+    payload = F.concat(
+        F.lit('{"data":{"after":'), after, F.lit(',"children":['),
+        F.array_join(F.transform("rows", lambda r: r["child"]), ","), F.lit("]}}"),
+    )
+    q_idx = F.expr("CAST(substring(query, 4) AS INT)")
+    return pages.join(tokens, ["query", "page_no"]).select("query", q_idx.alias("q_idx"), "page_no", payload.alias("payload"))
+
+
 def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     """``(page_no, payload)``: raw posts in listings of ``PAGE_ROWS``, which bounds the groups."""
     fields = [

@@ -15,6 +15,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Of a repeated JSON key the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

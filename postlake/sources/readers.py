@@ -34,10 +34,15 @@ def page_headers(pages: DataFrame) -> DataFrame:
 def read_posts(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Posts of documents in either shape, with ``has_details`` for already enriched ones.
 
-    ``multi_line`` is for one (pretty-printed) document per file; ours have one document per line.
+    ``multi_line`` is for one (pretty-printed) document per file; ours have one document per line. A
+    broken document is an error; :func:`rejected_documents` lists them.
     """
-    raw = spark.read.schema(DOCUMENT).option("multiLine", multi_line).json(path)
-    # A document row becomes its posts, a bare post row stays one post.
+    raw = spark.read.schema(DOCUMENT).options(multiLine=multi_line, mode="FAILFAST").json(path)
+    return _posts_of(raw)
+
+
+def _posts_of(raw: DataFrame) -> DataFrame:
+    """A document row becomes its posts, a bare post row stays one post."""
     fields = [*POST_FIELDS, "body", "comments"]
     listed = F.transform("posts", lambda p: F.struct(*[p[f].alias(f) for f in fields]))
     single = F.when(F.col("metadata").isNull() & F.col("enrichment_summary").isNull(), F.array(F.struct(*fields)))
@@ -45,6 +50,25 @@ def read_posts(spark: SparkSession, path: str | list[str], multi_line: bool = Tr
     return posts.withColumn("has_details", F.col("body").isNotNull() | F.col("comments").isNotNull())
 
 
+def rejected_documents(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """``(file, document)`` of the documents that :func:`read_posts` cannot parse."""
+    schema = f"{DOCUMENT}, document string"
+    reader = spark.read.schema(schema).options(multiLine=multi_line, columnNameOfCorruptRecord="document")
+    named = reader.json(path).select("*", F.col("_metadata.file_name").alias("file"))
+    # All fields are read, for a pruned read would not notice what is broken.
+    fields = F.to_json(F.struct(*[F.col(c) for c in named.columns if c not in ("document", "file")]))
+    return named.filter((F.length(fields) >= 0) & F.col("document").isNotNull()).select("file", "document")
+
+
+def posts_of_readable_documents(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """As :func:`read_posts`, passing over the documents that :func:`rejected_documents` lists."""
+    schema = f"{DOCUMENT}, document string"
+    reader = spark.read.schema(schema).options(multiLine=multi_line, columnNameOfCorruptRecord="document")
+    raw = reader.json(path)
+    fields = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c != "document"]))
+    return _posts_of(raw.filter((F.length(fields) >= 0) & F.col("document").isNull()).drop("document"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, line)`` of text files with line numbers from 0, in file order.
 

@@ -2,30 +2,60 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postlake.functions import post_key
 from postlake.operators.enrichment import enrich_posts
 from postlake.operators.ranking import first_per_key
 from postlake.streaming.running import drain
 
 
-def stream_enrich(posts: DataFrame, details: DataFrame, folder: str, key: str = "id", order: str = "created_utc") -> DataFrame:
+def stream_enrich(
+    posts: DataFrame,
+    details: DataFrame,
+    folder: str,
+    order: tuple[str, ...] = ("created_utc",),
+    time: str | None = None,
+    delay: timedelta | None = None,
+) -> DataFrame:
     """Enrich the posts at hand that earlier batches did not write; ``details`` is a prepared table.
 
-    A batch overwrites its own output and looks only at earlier ones, so a replay changes nothing.
+    A post is known by its key, its id or else its permalink; the first of a batch in ``order`` stays.
+    Posts without a key cannot be told apart, so all of them pass. With ``time`` and ``delay`` copies of
+    a post arrive at most ``delay`` apart, and a batch looks only at those earlier batches that reach
+    into that span; without them it looks at the keys of all. A batch overwrites its own output and
+    looks only at earlier ones, so a replay changes nothing.
     """
-    out = f"{folder}/enriched"
+    out, spans = f"{folder}/enriched", f"{folder}/spans"
+    bounded = time is not None and delay is not None
 
     def fold(batch: DataFrame, number: int) -> None:
-        fresh = first_per_key(batch, [key], [order])
+        spark = batch.sparkSession
+        keyed = batch.withColumn("_post_key", post_key(F.col("id"), F.col("permalink")))
+        fresh = first_per_key(keyed.filter("_post_key <> ''"), ["_post_key"], list(order))
         if number:
-            done = enriched_so_far(batch.sparkSession, folder).filter(f"batch < {number}").select(key)
-            fresh = fresh.join(done, key, "left_anti")
-        enrich_posts(fresh, details).write.mode("overwrite").parquet(f"{out}/batch={number}")
+            done = spark.read.parquet(out).filter(f"batch < {number}")
+            if bounded:
+                done = done.join(F.broadcast(_near(batch, number)), "batch", "left_semi")
+            fresh = fresh.join(done.select("_post_key"), "_post_key", "left_anti")
+        every = fresh.unionByName(keyed.filter("_post_key = ''"))
+        enrich_posts(every, details).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        if bounded:
+            span = batch.agg(F.max(time).alias("newest"))
+            span.write.mode("overwrite").parquet(f"{spans}/batch={number}")
+
+    def _near(batch: DataFrame, number: int) -> DataFrame:
+        """The earlier batches, one row each, that hold posts less than ``delay`` before this one."""
+        oldest = batch.agg(F.min(time)).scalar() - F.make_dt_interval(secs=F.lit(delay.total_seconds()))
+        earlier = batch.sparkSession.read.parquet(spans).filter(f"batch < {number}")
+        return earlier.filter(F.coalesce(F.col("newest") >= oldest, F.lit(True))).select("batch")
 
     drain(posts, fold, folder)
     return enriched_so_far(posts.sparkSession, folder).drop("batch")
 
 
 def enriched_so_far(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/enriched")
+    return spark.read.parquet(f"{folder}/enriched").drop("_post_key")

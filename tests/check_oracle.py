@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -49,7 +50,7 @@ def main() -> int:
 
     folder, chosen = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+        "check", os.environ.get("CHECK_MASTER", "local[8]"), **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     db, wrong = database(folder), 0

@@ -51,11 +51,16 @@ def test_worklist(spark):
 
 
 def test_latest_capture_wins(spark):
+    text = lambda body: '[{"data":{"children":[{"data":{"title":"t","selftext":"%s"}}]}},{"data":{"children":[]}}]' % body
     captured = spark.createDataFrame(
-        [("/a/", "old", 1), ("/a/", "new", 2), ("/b/", "only", 1), ("", "x", 1)],
+        [("/a/", text("old"), 1), ("/a/", text("new"), 2), ("/a/", '{"error": 1}', 3), ("/b/", text("only"), 1),
+         ("/c/", "broken", 1), ("", text("x"), 1)],
         "permalink string, payload string, fetched_at int",
     )
-    assert {(r[0], r[1]) for r in enrichment.latest_details(captured).collect()} == {("/a/", "new"), ("/b/", "only")}
+    found = enrichment.latest_details(captured)
+    assert {(r["permalink"], r["body"]) for r in found.collect()} == {("/a/", "new"), ("/b/", "only")}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "payload" not in plan[: plan.index("Exchange")]
 
 
 def test_posts_without_permalink_get_spread_join_keys(spark):

@@ -46,13 +46,16 @@ def test_merge_sources_keeps_first(spark):
 def test_refresh_pool(spark):
     good, existing = listed(spark, "n1", "e2"), listed(spark, "e1", "e2", "e3")
     ranked = pool.refresh_pool(good, existing, 3).orderBy("rank").collect()
-    assert [(r["endpoint"], r["rank"]) for r in ranked] == [("n1", 1), ("e2", 2), ("e1", 3)]
+    assert [tuple(r) for r in ranked] == [("n1", 1, True), ("e2", 2, True), ("e1", 3, False)]
 
 
 def test_refresh_without_good_keeps_the_pool(spark):
     nothing = listed(spark, "x").filter("false")
     kept = pool.refresh_pool(nothing, listed(spark, "e1", "e2", "e3"), 1).orderBy("rank").collect()
-    assert [r["endpoint"] for r in kept] == ["e1", "e2", "e3"]
+    assert [(r["endpoint"], r["rank"]) for r in kept] == [("e1", 1), ("e2", 2), ("e3", 3)]
+    far = spark.range(0, 3000).selectExpr("concat('e', id) AS endpoint", "id * 7 AS pos")
+    kept = pool.refresh_pool(nothing, far, 1).collect()
+    assert sorted((r["rank"], r["endpoint"]) for r in kept) == sorted((i + 1, f"e{i}") for i in range(3000))
 
 
 def test_ledger_upserts(spark):

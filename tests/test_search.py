@@ -22,7 +22,7 @@ def corpus(seed, n=120):
 
 
 def tokens(text):
-    return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
+    return [w for w in re.split(r"[\W_]+", text.lower()) if w]
 
 
 def expected_hits(rows, queries, limit):
@@ -87,17 +87,32 @@ def test_statistics(hits):
     ]
 
 
-def test_pages(hits):
+def test_pages(spark, hits):
     found, want = hits
     expected = [h[0] for h in want["red"]]
     rows = search.search_page(found.filter("query = 'red'"), 4).orderBy("pos").collect()
     assert [r["page_no"] for r in rows] == [i // 4 for i in range(len(expected))]
     assert rows[0]["next_token"] == expected[3] and rows[-1]["next_token"] is None
-    after = search.search_page(found.filter("query = 'red'"), 4, after=expected[3]).orderBy("pos").collect()
-    assert [r["id"] for r in after] == expected[4:] and after[0]["page_no"] == 0
+    others = {q: [h[0] for h in want[q]] for q in want if q != "red"}
+    tokens = {"red": expected[3], "green": "no such id", "nothing": None}
+    for after in (tokens, spark.createDataFrame(list(tokens.items()), "query string, after string")):
+        rest = search.search_page(found, 4, after).orderBy("q_idx", "pos").collect()
+        assert [r["id"] for r in rest if r["query"] == "red"] == expected[4:]
+        assert next(r for r in rest if r["query"] == "red")["page_no"] == 0
+        for q, ids in others.items():  # without a known token a query starts at its first page
+            assert [r["id"] for r in rest if r["query"] == q] == ids
     assert {r["page_no"] for r in search.search_page(found, 0).filter("query = 'red'").collect()} == set(range(len(expected)))
 
 
+def test_words_of_other_scripts(spark):
+    rows = [(1, "a", "Привет, мир"), (2, "b", "f r"), (3, "c", "für dich"), (4, "d", "東京 2024")]
+    posts = spark.createDataFrame(rows, "doc_id bigint, id string, text string")
+    found = search.keyword_search(posts, ["привет", "für", "東京"], 10).collect()
+    assert {(r["query"], r["id"]) for r in found} == {("привет", "a"), ("für", "c"), ("東京", "d")}
+    with pytest.raises(ValueError):
+        search.keyword_search(posts, ["tea", "?!"], 10)
+
+
 def test_salted_cut_is_exact(spark):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else f"g{i % 7}", rng.random(), i) for i in range(6000)]

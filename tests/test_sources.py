@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from postlake import sources
@@ -27,6 +28,18 @@ def test_both_document_shapes_pretty_printed(spark, tmp_path):
     assert rows["i2"]["title"] == "é😀" and rows["i2"]["score"] == 2 and rows["i1"]["body"] == "b"
 
 
+def test_broken_documents(spark, tmp_path):
+    whole = json.dumps([post(0), post(1)])
+    (tmp_path / "a.json").write_text(whole)
+    (tmp_path / "b.json").write_text(json.dumps({"metadata": {}, "posts": [post(2)]})[:-40])
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        sources.read_posts(spark, str(tmp_path)).collect()
+    rejected = sources.rejected_documents(spark, str(tmp_path)).collect()
+    assert [r["file"] for r in rejected] == ["b.json"] and rejected[0]["document"].startswith('{"metadata"')
+    kept = sources.posts_of_readable_documents(spark, str(tmp_path))
+    assert sorted(r["id"] for r in kept.collect()) == ["i0", "i1"]
+
+
 def test_documents_are_valid_json_with_nulls(spark, tmp_path):
     posts = spark.createDataFrame([post(i) for i in range(25)], sources_schema())
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")

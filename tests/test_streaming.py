@@ -64,7 +64,26 @@ def test_late_rows_are_set_aside(spark, tmp_path):
     stream_endpoint_history(source(spark, inbox, LOG), work, timedelta(minutes=1))
     assert [r["event_id"] for r in spark.read.parquet(f"{work}/late").collect()] == [0]
     row = history_so_far(spark, work).first()
-    assert (row["n"], row["trail_fails"]) == (2, 1)
+    assert (row["n"], row["trail_fails"], row["has_late"]) == (3, 1, True)
+
+
+def test_late_rows_count(spark, tmp_path):
+    """Slices out of order without any delay: what does not depend on order equals the batch run."""
+    inbox, work = str(tmp_path / "in"), str(tmp_path / "work")
+    rows = sorted(request_log(7, 600), key=lambda r: r[1])
+    feed(spark, inbox, [r for r in rows[200:400] if r[0] != "h5"], LOG)
+    stream_endpoint_history(source(spark, inbox, LOG), work, timedelta(0))
+    feed(spark, inbox, [r for r in rows[:200] if r[0] != "h5"] + rows[400:], LOG)
+    late_only = [("h5", START, 10_000, False, 404)]
+    feed(spark, inbox, late_only, LOG)
+    stream_endpoint_history(source(spark, inbox, LOG), work, timedelta(0))
+    log = spark.createDataFrame([r for r in rows[:400] if r[0] != "h5"] + rows[400:] + late_only, LOG)
+    facts = ["endpoint", "n", "n_ok", "any_dead", "first_ts", "last_ts", "last_ok_ts"]
+    got, want = history_so_far(spark, work), health.endpoint_history(log)
+    assert same(got.select(*facts), want.select(*facts))
+    streaks = want.select("endpoint", want["trail_fails"].alias("exact"))
+    assert got.join(streaks, "endpoint").filter("trail_fails < exact OR (NOT has_late AND trail_fails <> exact)").count() == 0
+    assert {r["batch"] for r in spark.read.parquet(f"{work}/history").select("batch").distinct().collect()} == {1, 2}
 
 
 @pytest.mark.parametrize("fan_out", [0, 3])
@@ -90,4 +109,25 @@ def test_enrich_each_post_once(spark, tmp_path):
     want = enrichment.enrich_posts(posts, known)
     assert same(out.select(*want.columns), want)
     feed(spark, inbox, [("3", "", 5.0), ("4", "/a/", 5.0)], schema)
+    # Post 3 is known by its id again; an id alone tells posts apart, not where they link to.
     assert stream_enrich(source(spark, inbox, schema), known, work).count() == 4
+
+
+@pytest.mark.parametrize("delay", [None, timedelta(seconds=10)])
+def test_enrich_posts_without_id(spark, tmp_path, delay):
+    schema = "id string, permalink string, created_utc double, at timestamp"
+    at = lambda s: START + timedelta(seconds=s)
+    inbox, work = str(tmp_path / "in"), str(tmp_path / "work")
+    known = spark.createDataFrame([("/a/", "text", 1)], "permalink string, body string, n_comments bigint")
+    rows = [
+        [(None, "/a/", 1.0, at(0)), ("", "/b/", 1.0, at(0)), (None, "", 1.0, at(0)), ("", None, 1.0, at(0)), ("9", "", 1.0, at(0))],
+        [(None, "/a/", 2.0, at(5)), (None, None, 2.0, at(5)), ("9", "", 2.0, at(5)), ("9", "/z/", 3.0, at(5))],
+        [("5", "/a/", 3.0, at(100)), ("5", "/a/", 2.0, at(100))],
+    ]
+    for batch in rows:
+        feed(spark, inbox, batch, schema)
+    out = stream_enrich(source(spark, inbox, schema), known, work, time="at", delay=delay).collect()
+    assert sorted((str(r["id"]), str(r["permalink"]), r["created_utc"], r["has_details"]) for r in out) == sorted([
+        ("None", "/a/", 1.0, True), ("", "/b/", 1.0, False), ("None", "", 1.0, False), ("", "None", 1.0, False),
+        ("9", "", 1.0, False), ("None", "None", 2.0, False), ("5", "/a/", 2.0, True),
+    ])
