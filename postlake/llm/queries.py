@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postlake.llm import secret_scan
 from postlake.llm.common import table
 from postlake.llm.embedding_links import embedding_links
+from postlake.llm.oracle import ORACLE  # noqa: F401
 from postlake.llm.packing import pack
 from postlake.llm.piece_codec import decode_pieces, encode_pieces
 from postlake.llm.sharding import sharded
@@ -101,5 +102,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_embedding_links, op8_repeated_spans, op9_secrets, op10_top_scores,
     )
 }
-
-ORACLE: dict[str, str] = {}
