@@ -149,15 +149,16 @@ def run_manifest(
 ) -> DataFrame:
     """One row ``(timestamp, total_posts, queries)``; ``queries`` lists the stats in query order.
 
-    Every distinct post is new for exactly one query, so the total needs no second pass over ids.
+    Every distinct post is new for exactly one query, so the total needs no second pass over ids. For a
+    table of queries, which may be long, the row has no list; :func:`query_stats` gives those as rows.
     """
     entry = F.struct(
         F.col("query"), F.col("total").alias("posts_collected"), F.col("unique_cnt").alias("unique_posts")
     )
-    listed = F.array_sort(F.collect_list(F.struct(F.col("q_idx"), entry.alias("entry"))))
     stamp = F.date_format(F.lit(run_ts).cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
-    totals = _counts(hits, queries).agg(
-        F.coalesce(F.sum("new_cnt"), F.lit(0)).alias("total_posts"),
-        F.transform(listed, lambda e: e["entry"]).alias("queries"),
-    )
+    total = F.coalesce(F.sum("new_cnt"), F.lit(0)).alias("total_posts")
+    if isinstance(queries, DataFrame):
+        return _counts(hits, queries).agg(total).select(stamp.alias("timestamp"), "total_posts")
+    listed = F.array_sort(F.collect_list(F.struct(F.col("q_idx"), entry.alias("entry"))))
+    totals = _counts(hits, queries).agg(total, F.transform(listed, lambda e: e["entry"]).alias("queries"))
     return totals.select(stamp.alias("timestamp"), "total_posts", "queries")

@@ -13,17 +13,16 @@ from postlake.operators.posts import POST_FIELDS
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def _one_per_batch(texts: DataFrame, opening: str, closing: str) -> DataFrame:
-    """Join the JSON texts of each Arrow batch into one document per line.
+ROWS_PER_DOCUMENT = 1000
 
-    Batches have at most ``spark.sql.execution.arrow.maxRecordsPerBatch`` rows, so documents stay
-    bounded and nothing is shuffled to build them.
-    """
+
+def _joined(texts: DataFrame, opening: str, closing: str, rows: int) -> DataFrame:
+    """Join up to ``rows`` JSON texts at a time into one document per line; nothing is shuffled for it."""
 
     def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"value": [opening + ",".join(batch["value"]) + closing]})
+            parts = [batch["value"].iloc[i : i + rows] for i in range(0, len(batch), rows)]
+            yield pd.DataFrame({"value": [opening + ",".join(part) + closing for part in parts]}, dtype=object)
 
     return texts.mapInPandas(joined, "value string")
 
@@ -46,15 +45,23 @@ def write_run(posts: DataFrame, manifest: DataFrame, path: str, run_id: str, fmt
 
 
 def write_documents(
-    posts: DataFrame, path: str, metadata_json: str | None = None, summary_json: str | None = None
+    posts: DataFrame,
+    path: str,
+    metadata_json: str | None = None,
+    summary_json: str | None = None,
+    rows: int = ROWS_PER_DOCUMENT,
 ) -> None:
     """Posts as JSON documents, one per line: ``{summary, metadata, posts}``, or a bare list without either."""
     texts = posts.select(F.to_json(F.struct(*posts.columns), _KEEP_NULLS).alias("value"))
-    _one_per_batch(texts, *_brackets(metadata_json, summary_json)).write.mode("overwrite").text(path)
+    _joined(texts, *_brackets(metadata_json, summary_json), rows).write.mode("overwrite").text(path)
 
 
 def write_enriched(
-    enriched: DataFrame, path: str, metadata_json: str | None = None, summary_json: str | None = None
+    enriched: DataFrame,
+    path: str,
+    metadata_json: str | None = None,
+    summary_json: str | None = None,
+    rows: int = ROWS_PER_DOCUMENT,
 ) -> None:
     """Enriched posts as documents in a new path; ``body`` and ``comments`` only where there are details.
 
@@ -67,7 +74,7 @@ def write_enriched(
     details = F.concat(F.lit(","), inside(body), F.lit(',"comments":'), comments)
     tail = F.when(F.coalesce("has_details", F.lit(False)), details).otherwise("")
     texts = enriched.select(F.concat(F.lit("{"), inside(base), tail, F.lit("}")).alias("value"))
-    _one_per_batch(texts, *_brackets(metadata_json, summary_json)).write.mode("overwrite").text(path)
+    _joined(texts, *_brackets(metadata_json, summary_json), rows).write.mode("overwrite").text(path)
 
 
 def write_endpoints(endpoints: DataFrame, path: str) -> None:
@@ -76,12 +83,11 @@ def write_endpoints(endpoints: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").text(path)
 
 
-def write_ledger(ledger: DataFrame, path: str) -> None:
+def write_ledger(ledger: DataFrame, path: str, rows: int = ROWS_PER_DOCUMENT) -> None:
     """Ledger as JSON maps keyed by endpoint, one per line, times in whole seconds."""
     seconds = F.unix_seconds("last_ok") if dict(ledger.dtypes)["last_ok"].startswith("timestamp") else F.col("last_ok")
     state = F.to_json(F.struct(seconds.alias("last_ok"), "ok_streak", "fail_streak"), _KEEP_NULLS)
     key = F.to_json(F.struct(F.col("endpoint").alias("k")))
     quoted = F.substring(key, F.lit(6), F.length(key) - 6)
-    _one_per_batch(ledger.select(F.concat(quoted, F.lit(":"), state).alias("value")), "{", "}").write.mode(
-        "overwrite"
-    ).text(path)
+    texts = ledger.select(F.concat(quoted, F.lit(":"), state).alias("value"))
+    _joined(texts, "{", "}", rows).write.mode("overwrite").text(path)

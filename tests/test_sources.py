@@ -42,12 +42,8 @@ def test_broken_documents(spark, tmp_path):
 
 def test_documents_are_valid_json_with_nulls(spark, tmp_path):
     posts = spark.createDataFrame([post(i) for i in range(25)], sources_schema())
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    try:
-        sources.write_documents(posts, str(tmp_path / "d"), metadata_json='{"k":1}', summary_json='{"total":25}')
-        sources.write_documents(posts, str(tmp_path / "bare"))
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sources.write_documents(posts, str(tmp_path / "d"), metadata_json='{"k":1}', summary_json='{"total":25}', rows=4)
+    sources.write_documents(posts, str(tmp_path / "bare"))
     documents = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "d")).collect()]
     assert max(len(d["posts"]) for d in documents) <= 4
     assert all(list(d) == ["enrichment_summary", "metadata", "posts"] for d in documents)
