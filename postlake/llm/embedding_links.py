@@ -21,6 +21,8 @@ FOUND = 0.999
 _WIDTHS = 4.0
 _BUCKET_ROWS = 2048
 _USUAL_BUCKET = 128
+# Keys of different labels, lengths or masks can collide; the groups compared cannot.
+_GROUP = ["bucket", "mask", "label", "dims", "low", "high"]
 
 
 @lru_cache(maxsize=4)
@@ -101,9 +103,8 @@ def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linked(batches: Iterator[pa.RecordBatch], masks: list[int], threshold: float) -> Iterator[pa.RecordBatch]:
     """``(node, other, n_links)``: links of a node found here first, and its smallest companion here."""
-    keys = ["bucket", "low", "high"]
-    for table in whole_groups(batches, keys):
-        for first, last in zip(*group_bounds(table, keys), strict=True):
+    for table in whole_groups(batches, _GROUP):
+        for first, last in zip(*group_bounds(table, _GROUP), strict=True):
             if last - first > 1:
                 yield from _group_links(table.slice(first, last - first), masks, threshold)
 
@@ -116,7 +117,7 @@ def _group_links(group: pa.Table, masks: list[int], threshold: float) -> Iterato
     vectors = _unit(list_matrix(group.column("embedding"), dims, np.float64))
     codes = np.ascontiguousarray(list_matrix(group.column("code"), code_bits(dims) // 64, np.int64))
     mask_words = np.array([[_word(m, w) for w in range(codes.shape[1])] for m in masks])
-    mine, this = group.column("mask").to_numpy(), int(group.column("mask")[0].as_py())
+    this = group.column("mask")[0].as_py()
     rows = np.flatnonzero(part == low)
     columns = rows if low == high else np.flatnonzero(part == high)
     label, links = np.arange(len(node)), np.zeros(len(node), np.int64)
@@ -125,8 +126,8 @@ def _group_links(group: pa.Table, masks: list[int], threshold: float) -> Iterato
         guess, width = estimates(codes[some], factor[some], vectors[columns])
         i, j = np.nonzero(guess + width[:, None] >= threshold)
         i, j = some[i], columns[j]
-        once = i < j if low == high else mine[i] == mine[j]
-        i, j = i[once], j[once]
+        if low == high:
+            i, j = i[i < j], j[i < j]
         exact = np.einsum("ij,ij->i", vectors[i], vectors[j])
         i, j = i[exact >= threshold], j[exact >= threshold]
         merge_labels(label, i, j)
@@ -147,8 +148,8 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
     Rows link when label and length are equal and the cosine, in double precision, is at least
     ``threshold``. Equal vectors of a label are one node and count as many as they are. A node's code
     has a bit for each direction of a random rotation; nodes meet in buckets of code bits, and within a
-    bucket the code's inner-product estimate plus its confidence bound (four standard widths) decides which pairs are computed
-    exactly. Masks are as many as find a pair at the threshold in 999 of 1,000 cases, closer pairs more
+    bucket the code's inner-product estimate plus its confidence bound (four standard widths) decides
+    which pairs are computed exactly. Masks are as many as find a pair at the threshold in 999 of 1,000 cases, closer pairs more
     often; a pair counts under the first mask that shows it, so no list of pairs is made. Buckets of
     over two thousand nodes are split into pairs of parts.
 
@@ -179,9 +180,11 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.93) -> DataFrame:
         )
         for m, mask in enumerate(masks)
     ]
-    named = coded.select("label", "node", "copies", "embedding", "code", "factor", F.explode(F.array(*seen)).alias("_b"))
+    shown = F.explode(F.array(*seen)).alias("_b")
+    dims = F.size("embedding").alias("dims")
+    named = coded.select("label", dims, "node", "copies", "embedding", "code", "factor", shown)
     placed = split_buckets(named.select("*", "_b.*").drop("_b"), "bucket", "node", _BUCKET_ROWS)
-    sorted_ = placed.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    sorted_ = placed.repartition("bucket", "low", "high").sortWithinPartitions(*_GROUP)
     links = stored(
         sorted_.mapInArrow(
             lambda batches: _linked(batches, masks, threshold), "node bigint, other bigint, n_links bigint"

@@ -10,7 +10,8 @@ def _rule_spans(place: int, rule: Rule) -> str:
     """Spans of one rule: what lies between its matches and the matches themselves add up to places."""
     pattern = rule.pattern.replace("'", "''")
     return f"""cut_{place} AS (
-  SELECT doc_id, unnest(regexp_extract_all(text, '{pattern}', 0)) AS m, unnest(regexp_extract_all(text, '{pattern}', {rule.group})) AS g,
+  SELECT doc_id, unnest(regexp_extract_all(text, '{pattern}', 0)) AS m,
+    unnest(regexp_extract_all(text, '{pattern}', {rule.group})) AS g,
     unnest(regexp_split_to_array(text, '{pattern}')[:-2]) AS gap,
     unnest(range(len(regexp_extract_all(text, '{pattern}', 0)))) AS i
   FROM texts),
@@ -70,7 +71,8 @@ _SPANS = rf"""WITH cut AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '{_SENTENCE}'), []) AS parts FROM documents),
 numbered AS (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS nr FROM cut),
 worded AS (
-  SELECT *, string_split_regex(trim(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), E' \t\n\r\v\f'), '\s+') AS words
+  SELECT *, string_split_regex(
+      trim(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), E' \t\n\r\v\f'), '\s+') AS words
   FROM numbered WHERE trim(part, E' \t\n\r\v\f') <> ''),
 placed AS (
   SELECT doc_id, nr, array_to_string(words, ' ') AS plain, row_number() OVER w AS k, sum(len(words)) OVER w AS total,

@@ -67,7 +67,8 @@ def _local(batches: Iterator[pa.RecordBatch], k: int | None) -> Iterator[pa.Reco
                 some = rows[begin : begin + _AT_ONCE]
                 scores = inner_products(values[queries], values[some])
                 other = uid[queries][:, None] != uid[some][None]
-                other &= (own[queries][:, None] != own[some][None]) | vec.take(pa.array(some)).is_null().to_numpy()[None]
+                unnamed = vec.take(pa.array(some)).is_null().to_numpy()
+                other &= (own[queries][:, None] != own[some][None]) | unnamed[None]
                 if k is None:
                     q, c = np.nonzero(other & (scores >= cut[:, None]))
                 else:
@@ -132,13 +133,14 @@ def top_scores(
         return dealt.mapInArrow(lambda batches: _local(batches, best), schema)
 
     vector = rows.select("uid", "vec_id", "whole")
-    ask = rows.filter("asks").select(F.col("uid").alias("query"), F.col("vec_id").alias("query_id"), F.col("whole").alias("asked"))
+    ask = rows.filter("asks").selectExpr("uid AS query", "vec_id AS query_id", "whole AS asked")
     ranked = Window.partitionBy("query").orderBy(F.desc("total"), F.asc_nulls_last("vec_id"), "uid")
 
     parts = F.least(F.lit(slices), F.size("whole"))
     everyone = rows.filter("asks").select("uid", parts.alias("_parts"), F.lit(0).cast("bigint").alias("cut"))
     gathered = lists(everyone, k).select("query", "uid").distinct()
-    looked_up = gathered.join(vector, "uid").join(ask, "query").select("query", "uid", "vec_id", _score("asked", "whole").alias("total"))
+    both = gathered.join(vector, "uid").join(ask, "query")
+    looked_up = both.select("query", "uid", "vec_id", _score("asked", "whole").alias("total"))
     safe = looked_up.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == k)
     lowest = F.lit(-(1 << 63)).cast("bigint")
     # Division cuts towards zero: whole part scores below the exact share stay below this one.
