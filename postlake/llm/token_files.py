@@ -75,13 +75,14 @@ def read_tokens(
     """``(doc_id, start, n_tokens, …)`` of written files; ``start`` counts the ids of all documents before.
 
     Only the named columns are read besides the metadata. ``where`` filters on ``doc_id`` or
-    ``n_tokens`` and skips row groups and pages.
+    ``n_tokens`` and skips row groups and pages. What goes out to all tasks is one row of two numbers per
+    part, and there are no more parts than partitions of the shuffle that wrote them.
     """
     files = spark.read.parquet(path)
     parts = totals_before(files.groupBy("part").agg(F.sum("n_tokens").alias("_ids")), "part", "_ids", "_before")
     rows = files.select(*_META, *columns)
     if where is not None:
         rows = rows.filter(where)
-    return rows.join(parts, "part").select(
+    return rows.join(F.broadcast(parts), "part").select(
         "doc_id", (F.col("_before") + F.col("start_in_part")).alias("start"), "n_tokens", *columns
     )
