@@ -105,25 +105,25 @@ def fit_severity(sample: pa.Table, grades: int = GRADES) -> SeverityModel:
     """
     toxic = sample.column("toxic").to_numpy().astype(bool)
     lists = sample.column("names").combine_chunks()
-    amount = sample.column("amounts").combine_chunks().flatten().to_numpy().astype(np.float64)
+    amount = sample.column("amounts").combine_chunks().flatten().to_numpy()
     coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(toxic)), lists.value_lengths().to_numpy().astype(np.int64))
+    codes = coded.indices.to_numpy()
+    row = np.repeat(np.arange(len(toxic), dtype=np.int32), lists.value_lengths().to_numpy())
     size = max(len(coded.dictionary), 1)
-    in_toxic = np.bincount(codes, weights=toxic[row], minlength=size)
-    in_clean = np.bincount(codes, weights=~toxic[row], minlength=size)
+    in_toxic = np.bincount(codes[toxic[row]], minlength=size)
+    in_clean = np.bincount(codes, minlength=size) - in_toxic
     bad, good = toxic.sum(), (~toxic).sum()
     odds = np.log((in_toxic + 0.5) / (bad - in_toxic + 0.5)) - np.log((in_clean + 0.5) / (good - in_clean + 0.5))
     error = np.sqrt(sum(1 / (n + 0.5) for n in (in_toxic, bad - in_toxic, in_clean, good - in_clean)))
     z = np.where(in_toxic + in_clean >= _LEAST_SUPPORT, odds / error, 0.0)
-    telling = np.bincount(row, weights=z[codes] >= _SEVERE, minlength=len(toxic))
+    telling = np.bincount(row[(z >= _SEVERE)[codes]], minlength=len(toxic))
     grade = _grades(toxic, telling, grades)
 
     used = np.flatnonzero(np.abs(z) >= _SCREEN)
     place = np.full(size, -1)
     place[used] = np.arange(len(used))
-    inside = place[codes] >= 0
-    row, column, amount = row[inside], place[codes][inside], amount[inside]
+    inside = (place >= 0)[codes]
+    row, column, amount = row[inside], place[codes[inside]], amount[inside].astype(np.float64)
     weights, gathered = np.zeros(len(used)), np.full(len(used), 1e-6)
     shares = np.array([((grade >= k).sum() + 1) / (len(grade) + grades) for k in range(1, grades)])
     edges = np.log(1 - shares) - np.log(shares)
