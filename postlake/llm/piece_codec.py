@@ -6,23 +6,32 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlake.llm.common import batch_slices
+
 SEED = 42
 DROPOUT = 0.1
-VARIANTS = 4
+VARIANTS = 3
 _SPACE = "▁"
 #: Stands for a space mark in the text itself, which is written as bytes so that it is no space when decoded.
 _LITERAL = f"<{_SPACE}>"
-# A piece has space marks at its start only and no line break, so nothing merges across these borders.
-_CHUNK = re.compile(r"\n| *[^ \n]+| +")
-_CHUNKS_KEPT = 300_000
-_FULL = (1 << 64) - 1
-_STEP, _PLACE, _MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9
+# No piece has a space mark behind another sign, a line break, or a Latin letter next to an ASCII sign or digit, so
+# nothing merges across the borders of chunks. What touches other signs is cut at spaces and line breaks only.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_OTHERS = rf"(?![^\x00-\x7f{_LETTERS}])"
+_CHUNK = re.compile(rf"\n| *[{_LETTERS}]++{_OTHERS}| *[\x00-\x09\x0b-\x1f!-@\[-`{{-\x7f]++{_OTHERS}| *[^ \n]+| +")
+_CHUNKS_KEPT = 600_000
+_LONG = 48
+_NEVER = 1 << 60
+_SLOTS = 1 << 16
+# Odd multipliers that spread ranks, places and documents.
+_RANK, _PLACE, _STEP, _MIX = 40503, 2057, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 
 
 class PieceCodec:
@@ -40,8 +49,8 @@ class PieceCodec:
         size = model.get_piece_size()
         whole = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         self.ids = {model.id_to_piece(i): i for i in whole}
-        if any(_SPACE in p.lstrip(_SPACE) or "\n" in p for p in self.ids):
-            raise ValueError("pieces that span words or lines are not supported")
+        if any(len(_CHUNK.findall(p.replace(_SPACE, " "))) > 1 for p in self.ids):
+            raise ValueError("pieces that span words, lines or kinds of signs are not supported")
         order = sorted(whole, key=lambda i: -model.get_score(i))
         self.rank = {model.id_to_piece(i): n for n, i in enumerate(order)}
         self.byte = {int(model.id_to_piece(i)[3:5], 16): i for i in range(size) if model.is_byte(i)}
@@ -53,26 +62,55 @@ class PieceCodec:
         self._sizes = np.fromiter(map(len, raw), np.int64, size)
         self._starts = np.cumsum(self._sizes) - self._sizes
         self._raw = np.frombuffer(b"".join(raw), np.uint8)
-        self._limit = int(dropout * 65536)
-        self._keys = [(seed * _MIX + v * _PLACE) & _FULL for v in range(VARIANTS)]
-        self._seed = seed
+        self._seed, self._drops = seed, dropout > 0
+        # The keyed hash of a candidate picks a slot of its variant's table, which says whether to skip.
+        draws = [np.random.default_rng([seed, v]).random(_SLOTS) < dropout for v in range(VARIANTS)]
+        self._skips = [d.tobytes() for d in draws]
         self._forget()
 
     def _forget(self) -> None:
-        self._known: list[dict[str, list[int]]] = [{} for _ in range(VARIANTS)]
-
-    def _skips(self, key: int, rank: int, place: int) -> bool:
-        x = (key + rank * _STEP + place * _PLACE) & _FULL
-        x = ((x ^ (x >> 31)) * _MIX) & _FULL
-        return (x ^ (x >> 29)) & 0xFFFF < self._limit
+        self._known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(VARIANTS)]
 
-    def segment(self, chunk: str, variant: int) -> list[int]:
+    def segment(self, chunk: str, variant: int) -> tuple[int, ...]:
         """Ids of one chunk."""
         if _SPACE in chunk:
             symbols = [_LITERAL if c == _SPACE else _SPACE if c == " " else c for c in chunk]
         else:
             symbols = list(chunk.replace(" ", _SPACE))
-        count, rank, key = len(symbols), self.rank, self._keys[variant]
+        merge = self._merge_long if len(symbols) > _LONG else self._merge_short
+        out: list[int] = []
+        for symbol in merge(symbols, self._skips[variant]):
+            known = self.ids.get(symbol)
+            if known is not None:
+                out.append(known)
+            else:
+                out.extend(self.byte[b] for b in (_SPACE if symbol == _LITERAL else symbol).encode())
+        return tuple(out)
+
+    def _merge_short(self, symbols: list[str], skips: bytes) -> list[str]:
+        """The agenda of a short chunk as a list of the ranks of adjacent pairs."""
+        rank, places = self.rank.get, list(range(len(symbols)))
+        agenda = [rank(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
+        while agenda:
+            best = min(agenda)
+            if best == _NEVER:
+                break
+            at = agenda.index(best)
+            if skips[(best * _RANK + places[at] * _PLACE) & (_SLOTS - 1)]:
+                agenda[at] = _NEVER
+                continue
+            pair = symbols[at] + symbols[at + 1]
+            symbols[at : at + 2] = [pair]
+            del agenda[at], places[at + 1]
+            if at < len(agenda):
+                agenda[at] = rank(pair + symbols[at + 1], _NEVER)
+            if at:
+                agenda[at - 1] = rank(symbols[at - 1] + pair, _NEVER)
+        return symbols
+
+    def _merge_long(self, symbols: list[str], skips: bytes) -> list[str]:
+        """The agenda of a long chunk as a heap."""
+        count, rank = len(symbols), self.rank
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
         agenda = []
         for i in range(count - 1):
@@ -85,7 +123,7 @@ class PieceCodec:
             j = after[i]
             if j >= count or not symbols[i] or symbols[i] + symbols[j] != pair:
                 continue
-            if self._limit and self._skips(key, r, i):
+            if skips[(r * _RANK + i * _PLACE) & (_SLOTS - 1)]:
                 continue
             symbols[i], symbols[j] = pair, ""
             right = after[i] = after[j]
@@ -99,32 +137,25 @@ class PieceCodec:
                 wider = symbols[left] + pair
                 if wider in rank:
                     heappush(agenda, (rank[wider], left, wider))
-        out = []
-        for symbol in filter(None, symbols):
-            known = self.ids.get(symbol)
-            if known is not None:
-                out.append(known)
-            else:
-                out.extend(self.byte[b] for b in (_SPACE if symbol == _LITERAL else symbol).encode())
-        return out
+        return [s for s in symbols if s]
 
-    def encode(self, text: str, key: int) -> list[int]:
+    def encode(self, text: str, key: int) -> np.ndarray:
         """Ids of a text; ``key`` and the place of a chunk choose its variant."""
         if not text:
-            return []
+            return np.empty(0, np.int32)
         chunks = _CHUNK.findall(" " + text)
-        place = np.arange(len(chunks), dtype=np.uint64) + np.uint64(((key ^ self._seed) * _STEP) & _FULL)
+        place = np.arange(len(chunks), dtype=np.uint64) + np.uint64(((key ^ self._seed) * _STEP) % (1 << 64))
         mixed = (place ^ (place >> np.uint64(31))) * np.uint64(_MIX)
-        variants = ((mixed >> np.uint64(40)) % np.uint64(VARIANTS)).tolist() if self._limit else [0] * len(chunks)
-        known, out = self._known, []
-        for chunk, variant in zip(chunks, variants, strict=True):
-            ids = known[variant].get(chunk)
+        variants = ((mixed >> np.uint64(40)) % np.uint64(VARIANTS)).tolist() if self._drops else [0] * len(chunks)
+        known = self._known
+        found = [known[variant].get(chunk) for chunk, variant in zip(chunks, variants, strict=True)]
+        for i, ids in enumerate(found):
             if ids is None:
-                ids = known[variant][chunk] = self.segment(chunk, variant)
-            out += ids
+                chunk, variant = chunks[i], variants[i]
+                found[i] = known[variant][chunk] = known[variant].get(chunk) or self.segment(chunk, variant)
         if sum(map(len, known)) > _CHUNKS_KEPT:
             self._forget()
-        return out
+        return np.fromiter(chain.from_iterable(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids, without the space that encoding puts first."""
@@ -144,18 +175,18 @@ def encode_pieces(docs: DataFrame, model: str, seed: int = SEED, dropout: float
     """``(doc_id, ids)`` of every row of ``docs(doc_id, text, …)``.
 
     Each candidate merge is skipped with probability ``dropout``, decided by a keyed hash: the same seed,
-    id and text give the same ids on any cluster, another seed other ones. A chunk (a word with the
-    spaces before it) has ``VARIANTS`` segmentations, of which id and place choose one. Null and empty
-    texts have no ids; a null id counts as 0; repeated rows give equal rows; other columns are ignored; an
-    empty table gives no rows.
+    id and text give the same ids on any cluster, another seed other ones. A chunk (letters or other
+    signs in a row, with the spaces before them) has ``VARIANTS`` segmentations, of which id and place
+    choose one. Null and empty texts have no ids; a null id counts as 0; repeated rows give equal rows;
+    other columns are ignored; an empty table gives no rows.
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(model, seed, dropout)
-        for batch in batches:
+        for batch in batch_slices(batches, "text", 1 << 20):
             texts, keys = batch.column("text"), batch.column("doc_id")
             lists = [
-                np.array(coder.encode(t.as_py() or "", k.as_py() or 0), np.int32)
+                coder.encode(t.as_py() or "", k.as_py() or 0)
                 for t, k in zip(texts, keys, strict=True)
             ]
             offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
