@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from postlake.session import shared_folder
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_MOST_BATCH_ROWS = 1000
+_LEAST_ROWS = 8192
+_FRUGAL = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_TRIM_THRESHOLD_": "131072"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     importable_by_workers(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -49,8 +55,9 @@ def batch_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
-    """Cut a stream that is sorted by non-null ``keys`` anew, so that no group is split."""
+    """Cut a stream that is sorted by non-null ``keys`` anew, so that no group is split and tables are not small."""
     held: list[pa.RecordBatch] = []
+    held_rows = 0
     for batch in batches:
         rows = batch.num_rows
         if not rows:
@@ -60,10 +67,11 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iter
             values = batch.column(key).to_numpy(zero_copy_only=False)
             same &= values == values[-1]
         start = rows - int(same.sum())
-        if start:
+        if start and held_rows + start >= _LEAST_ROWS:
             yield pa.Table.from_batches([*held, batch.slice(0, start)])
-            held = []
-        held.append(batch.slice(start))
+            held, held_rows, batch = [], 0, batch.slice(start)
+        held.append(batch)
+        held_rows += batch.num_rows
     if held:
         yield pa.Table.from_batches(held)
 
@@ -135,9 +143,16 @@ def totals_before(rows: DataFrame, key: str, value: str, name: str) -> DataFrame
 
 
 def importable_by_workers(spark: SparkSession) -> None:
-    """Let Python workers of this machine find the package; on a cluster it is installed or shipped with the job."""
+    """Let Python workers of this machine find the package, and keep them small.
+
+    On a cluster the package is installed or shipped with the job. Batches of texts have some hundred rows,
+    and workers, which live for many tasks, give freed memory back.
+    """
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    env.update(_FRUGAL)
+    if int(spark.conf.get(_BATCH_ROWS)) > _MOST_BATCH_ROWS:
+        spark.conf.set(_BATCH_ROWS, str(_MOST_BATCH_ROWS))

@@ -12,7 +12,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlake.llm.common import group_bounds, list_matrix, merge_labels, split_buckets, stored, whole_groups
+from postlake.llm.common import (
+    batch_slices,
+    group_bounds,
+    list_matrix,
+    merge_labels,
+    split_buckets,
+    stored,
+    whole_groups,
+)
 from postlake.llm.components import connected_components
 
 SEED = 42
@@ -75,7 +83,7 @@ def fingerprints(docs: DataFrame, words: int = 3, width: int = 1) -> DataFrame:
     """``(doc_id, fingerprint)`` with ``width`` 64-bit words for every row; a null text counts as empty."""
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batch_slices(batches, "text"):
             texts = batch.column("text").cast(pa.binary())
             parts = [shingle_hashes(t.as_py() or b"", words) for t in texts]
             counts = np.fromiter(map(len, parts), np.int64, len(parts))

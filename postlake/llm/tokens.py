@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm.common import text_slices
 
-_WORDS_KEPT = 1_000_000
+_WORDS_KEPT = 400_000
 _WORDS_AT_ONCE = 20_000
 _BYTES_AT_ONCE = 2 << 20
 # Between an ASCII letter and an ASCII sign or digit, apostrophes aside.
@@ -42,7 +42,7 @@ class WordEncoder:
     ``word_bpe_49k.json`` is one. Texts are cut at ASCII white space, and a word that is new also between
     ASCII letters and ASCII signs or digits; other characters and apostrophes stay within what the
     library sees. What may hold special tokens or combining marks keeps its case and is not cut further.
-    The cache of words is emptied when it is full.
+    When the cache of words is full, the rare ones go.
     """
 
     def __init__(self, path: str) -> None:
@@ -52,13 +52,21 @@ class WordEncoder:
         self._library = Tokenizer.from_file(path)
         size = self._library.get_vocab_size()
         self._ends = np.array([(self._library.id_to_token(i) or "").endswith("</w>") for i in range(size)])
-        self._forget()
-
-    def _forget(self) -> None:
         self._place: dict[bytes, int] = {}
         self._ids = np.empty(0, np.int32)
-        self._size = np.empty(0, np.int64)
-        self._start = np.empty(0, np.int64)
+        self._size = np.empty(0, np.int32)
+        self._start = np.empty(0, np.int32)
+        self._uses = np.empty(0, np.int32)
+
+    def _forget_rare(self) -> None:
+        """Keep the words used more than once, half a cache of them at most."""
+        kept = np.flatnonzero(self._uses > 1)
+        kept = np.sort(kept[np.argsort(-self._uses[kept], kind="stable")[: _WORDS_KEPT // 2]])
+        names = list(self._place)
+        ids, total = self._gathered(kept)
+        self._place, self._ids, self._size = {}, np.empty(0, np.int32), np.empty(0, np.int32)
+        self._uses = np.empty(0, np.int32)
+        self._add([names[i] for i in kept.tolist()], ids, np.diff(total))
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and their number for words that should have one end mark each, or None if they don't."""
@@ -73,8 +81,9 @@ class WordEncoder:
 
     def _add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self._place.update(zip(words, range(len(self._place), len(self._place) + len(words)), strict=True))
-        self._ids, self._size = np.append(self._ids, ids), np.append(self._size, sizes)
-        self._start = np.cumsum(self._size) - self._size
+        self._ids, self._size = np.append(self._ids, ids), np.append(self._size, sizes.astype(np.int32))
+        self._start = np.cumsum(self._size, dtype=np.int32) - self._size
+        self._uses = np.append(self._uses, np.zeros(len(words), np.int32))
 
     def _gathered(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of known words one after another, and where each word's ids end, from 0 on."""
@@ -107,12 +116,13 @@ class WordEncoder:
             flat += (text if _kept_whole(text) else text.lower()).split()
             ends_of_texts[i] = len(flat)
         if len(self._place) > _WORDS_KEPT:
-            self._forget()
+            self._forget_rare()
         at = np.fromiter(map(self._place.get, flat, repeat(-1)), np.int64, len(flat))
         new = np.flatnonzero(at < 0).tolist()
         if new:
             self._learn(list(dict.fromkeys(map(flat.__getitem__, new))))
             at[new] = [self._place[flat[i]] for i in new]
+        self._uses += np.bincount(at, minlength=len(self._uses)).astype(np.int32)
         ids, total = self._gathered(at)
         ends = total[ends_of_texts]
         lengths = np.diff(ends, prepend=0)

@@ -46,6 +46,16 @@ def test_words_add_up_to_texts(texts):
 WORDS = WordEncoder(PATH)
 
 
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr("postlake.llm.tokens._WORDS_KEPT", 40)
+    small = WordEncoder(PATH)
+    draw = np.random.default_rng(1)
+    for _ in range(60):
+        texts = [" ".join(f"Wörd{x}, and" for x in draw.zipf(1.5, 20)) for _ in range(3)]
+        ids, _ = small.encode([t.encode() for t in texts], 1)
+        assert ids.tolist() == [i for t in texts for i in ids_of(t)]
+
+
 def documents(spark, folder=FOLDER):
     return spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
 
