@@ -148,3 +148,35 @@ def test_shingles_of_words():
     assert len(shingle_hashes(b"", 3)) == 0
     assert shingle_hashes(b"A  b", 3).tolist() == [xxhash.xxh64_intdigest(b"a b", 42)]
     assert isinstance(pa.array(shingle_hashes(b"a b c d", 3)), pa.UInt64Array)
+
+
+def test_links_are_the_similar_sets_and_no_others(spark):
+    """Pairs around 0.8, chains below it and short texts, against the exact similarity of all pairs."""
+    draw = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = [None, "", " ", "a b", "a b c d e f", "a b c d e g", "a b"]
+    for k in range(40):
+        text = draw.choice(vocabulary, 60 + 5 * k).tolist()
+        texts.append(" ".join(text))
+        for changes in range(1, 8):
+            for at in draw.choice(len(text), 1 + changes * len(text) // 200, replace=False):
+                text = [*text[:at], f"x{k}_{changes}_{at}", *text[at + 1 :]]
+            texts.append(" ".join(text))
+    passage = draw.choice(vocabulary, 150).tolist()  # 0.5 to 0.75 with each other
+    texts += [" ".join(passage + draw.choice(vocabulary, 20 + k).tolist()) for k in range(60)]
+    base = draw.choice(vocabulary, 300).tolist()
+    texts += [" ".join([*base[:k], f"y{k}", *base[k + 1 :]]) for k in range(0, 300, 2)]
+    sets = [set(shingle_hashes((t or "").encode(), 5).tolist()) for t in texts]
+    group = list(range(len(texts)))
+    near = 0
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            share = len(a & b) / len(a | b) if a or b else 1.0
+            near += 0.6 < share < 0.8
+            if share >= 0.8 and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, 5, 46, 4, 0.8).collect()}
+    assert got == dict(enumerate(group)) and near > 500
