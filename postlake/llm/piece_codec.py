@@ -17,7 +17,6 @@ from postlake.llm.common import batch_slices
 
 SEED = 42
 DROPOUT = 0.1
-VARIANTS = 3
 _SPACE = "▁"
 #: Stands for a space mark in the text itself, which is written as bytes so that it is no space when decoded.
 _LITERAL = f"<{_SPACE}>"
@@ -26,20 +25,123 @@ _LITERAL = f"<{_SPACE}>"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _OTHERS = rf"(?![^\x00-\x7f{_LETTERS}])"
 _CHUNK = re.compile(rf"\n| *[{_LETTERS}]++{_OTHERS}| *[\x00-\x09\x0b-\x1f!-@\[-`{{-\x7f]++{_OTHERS}| *[^ \n]+| +")
-_CHUNKS_KEPT = 600_000
+_NODES_KEPT = 400_000
+_AT_ONCE = 1 << 16
 _LONG = 48
+_TRACED = 24
 _NEVER = 1 << 60
 _SLOTS = 1 << 16
+_FULL = (1 << 64) - 1
 # Odd multipliers that spread ranks, places and documents.
 _RANK, _PLACE, _STEP, _MIX = 40503, 2057, 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective hash of 64-bit words, in place."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(_MIX)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class _Draws:
+    """Which candidates one occurrence of a chunk skips. A slot asked again is another candidate of the chunk."""
+
+    def __init__(self, key: int, least: int) -> None:
+        self._key, self._least, self._asked = key, least, {}
+
+    def __len__(self) -> int:
+        return _SLOTS
+
+    def __iter__(self) -> Iterator[bool]:
+        codes = np.arange(_SLOTS, dtype=np.uint64) * np.uint64(_STEP) + np.uint64(self._key)
+        return iter((_mixed(codes) < np.uint64(self._least)).tolist())
+
+    def __getitem__(self, slot: int) -> bool:
+        again = self._asked[slot] = self._asked.get(slot, -1) + 1
+        x = ((slot + again * _SLOTS) * _STEP + self._key) & _FULL
+        x = ((x ^ (x >> 30)) * _MIX) & _FULL
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _FULL
+        return x ^ (x >> 31) < self._least
+
+
+class _AllDraws:
+    """The draws of every key; iteration gives those of a few."""
+
+    def __init__(self, dropout: float) -> None:
+        self.least = min(_FULL, int(dropout * (1 << 64)))
+
+    def __getitem__(self, key: int) -> _Draws:
+        return _Draws(key, self.least)
+
+    def __iter__(self) -> Iterator[_Draws]:
+        return (self[key] for key in range(4))
+
+
+class _Trace:
+    """Skips chosen candidates and records all that come up."""
+
+    def __init__(self, skipped: frozenset[int]) -> None:
+        self._skipped, self._asked, self.codes = skipped, {}, []
+
+    def __getitem__(self, slot: int) -> bool:
+        again = self._asked[slot] = self._asked.get(slot, -1) + 1
+        code = slot + again * _SLOTS
+        self.codes.append(code)
+        return code in self._skipped
+
+
+class _Lists:
+    """Short integer lists, one behind the other."""
+
+    def __init__(self, kind: type) -> None:
+        self._flat, self._used, self._count = np.empty(1 << 12, kind), 0, 0
+        self._starts, self._sizes = np.empty(1 << 10, np.int64), np.empty(1 << 10, np.int64)
+
+    def append(self, values: list[int] | tuple[int, ...]) -> None:
+        end = self._used + len(values)
+        if end > len(self._flat):
+            self._flat = np.concatenate([self._flat, np.empty(max(end, len(self._flat)), self._flat.dtype)])
+        if self._count == len(self._starts):
+            self._starts, self._sizes = (np.concatenate([x, np.empty_like(x)]) for x in (self._starts, self._sizes))
+        self._flat[self._used : end] = values
+        self._starts[self._count], self._sizes[self._count] = self._used, len(values)
+        self._used, self._count = end, self._count + 1
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The values of the lists ``which``, one behind the other, their sizes, and where each list begins."""
+        sizes = self._sizes[which]
+        begins = np.cumsum(sizes) - sizes
+        at = np.arange(int(sizes.sum())) + np.repeat(self._starts[which] - begins, sizes)
+        return self._flat[at], sizes, begins
+
+
+class _Made(dict):
+    """A dict that makes what it lacks."""
+
+    def __init__(self, make) -> None:
+        self._make = make
+
+    def __missing__(self, key):
+        value = self[key] = self._make(key)
+        return value
+
+
 class PieceCodec:
     """Merges, byte fallback and decoding of a SentencePiece BPE model file, with merge-dropout.
 
     Adjacent symbols that make a piece wait in an agenda, best score first, then leftmost. With dropout a
-    candidate that comes up is skipped when a keyed hash of seed, variant, piece and place says so, and
-    stays out unless a neighbour changes. Without it the ids are those of the sentencepiece library.
+    candidate that comes up is skipped when a hash of seed, document, place of the chunk, piece and place
+    in the chunk says so, and stays out unless a neighbour changes. Without it the ids are those of the
+    sentencepiece library.
+
+    What a chunk becomes depends on the candidates that are skipped only. Each chunk is a tree: its root
+    has the candidates that come up when none is skipped, and their ids; skipping the k-th of them leads
+    to a child with the candidates that come up after that. Occurrences walk down the trees together, each
+    with its own draws, so the agenda runs once per set of skips and not per occurrence. Chunks of many
+    signs, in which some candidate is nearly always skipped, run the agenda each time.
     """
 
     def __init__(self, path: str, seed: int, dropout: float) -> None:
@@ -62,24 +164,41 @@ class PieceCodec:
         self._sizes = np.fromiter(map(len, raw), np.int64, size)
         self._starts = np.cumsum(self._sizes) - self._sizes
         self._raw = np.frombuffer(b"".join(raw), np.uint8)
-        self._seed, self._drops = seed, dropout > 0
-        # The keyed hash of a candidate picks a slot of its variant's table, which says whether to skip.
-        draws = [np.random.default_rng([seed, v]).random(_SLOTS) < dropout for v in range(VARIANTS)]
-        self._skips = [d.tobytes() for d in draws]
+        self._seed, self._drops = int(_mixed(np.array([seed % (1 << 64)], np.uint64))[0]), dropout > 0
+        self._skips = _AllDraws(dropout)
         self._forget()
 
     def _forget(self) -> None:
-        self._known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(VARIANTS)]
+        self._roots: dict[str, int] = _Made(lambda chunk: self._add(chunk, frozenset(), None))
+        self._children: dict[int, int] = _Made(self._child)
+        self._nodes: list[tuple[str, frozenset[int]]] = []
+        self._codes, self._pieces = _Lists(np.uint32), _Lists(np.int32)
+
+    def _add(self, chunk: str, skipped: frozenset[int], last: int | None) -> int:
+        """A node: the candidates that come up after ``last`` when those of ``skipped`` are, and the ids."""
+        trace = _Trace(skipped)
+        self._pieces.append(self._segment(chunk, trace))
+        self._codes.append(trace.codes if last is None else trace.codes[trace.codes.index(last) + 1 :])
+        self._nodes.append((chunk, skipped))
+        return len(self._nodes) - 1
+
+    def _child(self, edge: int) -> int:
+        chunk, skipped = self._nodes[edge >> 32]
+        code = edge & 0xFFFFFFFF
+        return self._add(chunk, skipped | {code}, code)
+
+    def segment(self, chunk: str, key: int) -> tuple[int, ...]:
+        """Ids of one occurrence of a chunk, with the draws of ``key``."""
+        return self._segment(chunk, self._skips[key])
 
-    def segment(self, chunk: str, variant: int) -> tuple[int, ...]:
-        """Ids of one chunk."""
+    def _segment(self, chunk: str, skips: _Draws | _Trace) -> tuple[int, ...]:
         if _SPACE in chunk:
             symbols = [_LITERAL if c == _SPACE else _SPACE if c == " " else c for c in chunk]
         else:
             symbols = list(chunk.replace(" ", _SPACE))
         merge = self._merge_long if len(symbols) > _LONG else self._merge_short
         out: list[int] = []
-        for symbol in merge(symbols, self._skips[variant]):
+        for symbol in merge(symbols, skips):
             known = self.ids.get(symbol)
             if known is not None:
                 out.append(known)
@@ -87,7 +206,7 @@ class PieceCodec:
                 out.extend(self.byte[b] for b in (_SPACE if symbol == _LITERAL else symbol).encode())
         return tuple(out)
 
-    def _merge_short(self, symbols: list[str], skips: bytes) -> list[str]:
+    def _merge_short(self, symbols: list[str], skips: _Draws | _Trace) -> list[str]:
         """The agenda of a short chunk as a list of the ranks of adjacent pairs."""
         rank, places = self.rank.get, list(range(len(symbols)))
         agenda = [rank(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
@@ -108,7 +227,7 @@ class PieceCodec:
                 agenda[at - 1] = rank(symbols[at - 1] + pair, _NEVER)
         return symbols
 
-    def _merge_long(self, symbols: list[str], skips: bytes) -> list[str]:
+    def _merge_long(self, symbols: list[str], skips: _Draws | _Trace) -> list[str]:
         """The agenda of a long chunk as a heap."""
         count, rank = len(symbols), self.rank
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
@@ -139,23 +258,61 @@ class PieceCodec:
                     heappush(agenda, (rank[wider], left, wider))
         return [s for s in symbols if s]
 
+    def occurrences(self, text: str, key: int) -> tuple[list[str], np.ndarray]:
+        """The chunks of a text, and for each the key of its draws: seed, document and place, hashed."""
+        chunks = _CHUNK.findall(" " + text) if text else []
+        document = _mixed(np.array([(key * _STEP + self._seed) % (1 << 64)], np.uint64))
+        return chunks, _mixed(np.arange(len(chunks), dtype=np.uint64) * np.uint64(_STEP) + document)
+
     def encode(self, text: str, key: int) -> np.ndarray:
-        """Ids of a text; ``key`` and the place of a chunk choose its variant."""
-        if not text:
-            return np.empty(0, np.int32)
-        chunks = _CHUNK.findall(" " + text)
-        place = np.arange(len(chunks), dtype=np.uint64) + np.uint64(((key ^ self._seed) * _STEP) % (1 << 64))
-        mixed = (place ^ (place >> np.uint64(31))) * np.uint64(_MIX)
-        variants = ((mixed >> np.uint64(40)) % np.uint64(VARIANTS)).tolist() if self._drops else [0] * len(chunks)
-        known = self._known
-        found = [known[variant].get(chunk) for chunk, variant in zip(chunks, variants, strict=True)]
-        for i, ids in enumerate(found):
-            if ids is None:
-                chunk, variant = chunks[i], variants[i]
-                found[i] = known[variant][chunk] = known[variant].get(chunk) or self.segment(chunk, variant)
-        if sum(map(len, known)) > _CHUNKS_KEPT:
+        """Ids of a text; ``key`` stands for its document."""
+        return self.encode_all([text], [key])[0]
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one behind the other, and how many each has."""
+        split = [self.occurrences(t, k) for t, k in zip(texts, keys, strict=True)]
+        chunks = list(chain.from_iterable(c for c, _ in split))
+        draws = np.concatenate([*(d for _, d in split), np.empty(0, np.uint64)])
+        parts = [
+            self._encode_chunks(chunks[i : i + _AT_ONCE], draws[i : i + _AT_ONCE])
+            for i in range(0, len(chunks), _AT_ONCE)
+        ]
+        ids = np.concatenate([*(p for p, _ in parts), np.empty(0, np.int32)])
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([*(n for _, n in parts), np.empty(0, np.int64)]))])
+        borders = ends[np.cumsum([0, *(len(c) for c, _ in split)])]
+        return ids, np.diff(borders)
+
+    def _encode_chunks(self, chunks: list[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, one behind the other, and how many each has."""
+        if len(self._nodes) > _NODES_KEPT:
             self._forget()
-        return np.fromiter(chain.from_iterable(found), np.int32)
+        each: list[tuple[int, tuple[int, ...]]] = []
+        if self._drops:
+            sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+            long = np.flatnonzero(sizes > _TRACED).tolist()
+            each = [(i, self.segment(chunks[i], int(draws[i]))) for i in long]
+            for i in long:
+                chunks[i] = ""  # no chunk is empty; its node has no ids
+        nodes = np.fromiter(map(self._roots.__getitem__, chunks), np.int64, len(chunks))
+        going = np.arange(len(chunks)) if self._drops else np.empty(0, np.int64)
+        while len(going):
+            codes, sizes, _ = self._codes.take(nodes[going])
+            hashed = codes.astype(np.uint64)
+            hashed *= np.uint64(_STEP)
+            hashed += np.repeat(draws[going], sizes)
+            hit = np.flatnonzero(_mixed(hashed) < np.uint64(self._skips.least))
+            who = np.searchsorted(np.cumsum(sizes), hit, side="right")
+            first = np.append(True, who[1:] != who[:-1])[: len(who)]
+            going, skipped = going[who[first]], codes[hit[first]]
+            edges = (nodes[going] << 32 | skipped).tolist()
+            nodes[going] = np.fromiter(map(self._children.__getitem__, edges), np.int64, len(edges))
+        ids, sizes, begins = self._pieces.take(nodes)
+        if each:
+            where = np.array([i for i, _ in each])
+            more = np.fromiter(map(len, (x for _, x in each)), np.int64, len(each))
+            ids = np.insert(ids, np.repeat(begins[where], more), np.fromiter(chain.from_iterable(x for _, x in each), np.int32))
+            sizes[where] = more
+        return ids, sizes
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids, without the space that encoding puts first."""
@@ -175,9 +332,9 @@ def encode_pieces(docs: DataFrame, model: str, seed: int = SEED, dropout: float
     """``(doc_id, ids)`` of every row of ``docs(doc_id, text, …)``.
 
     Each candidate merge is skipped with probability ``dropout``, decided by a keyed hash: the same seed,
-    id and text give the same ids on any cluster, another seed other ones. A chunk (letters or other
-    signs in a row, with the spaces before them) has ``VARIANTS`` segmentations, of which id and place
-    choose one. Null and empty texts have no ids; a null id counts as 0; repeated rows give equal rows;
+    id and text give the same ids on any cluster, another seed other ones. Every occurrence of a chunk
+    (letters or other signs in a row, with the spaces before them) has draws of its own, from the id and
+    its place in the text. Null and empty texts have no ids; a null id counts as 0; repeated rows give equal rows;
     other columns are ignored; an empty table gives no rows.
     """
 
@@ -185,12 +342,9 @@ def encode_pieces(docs: DataFrame, model: str, seed: int = SEED, dropout: float
         coder = codec(model, seed, dropout)
         for batch in batch_slices(batches, "text", 1 << 20):
             texts, keys = batch.column("text"), batch.column("doc_id")
-            lists = [
-                coder.encode(t.as_py() or "", k.as_py() or 0)
-                for t, k in zip(texts, keys, strict=True)
-            ]
-            offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            flat = pa.array(np.concatenate([*lists, np.empty(0, np.int32)]))
+            found, sizes = coder.encode_all([t.as_py() or "" for t in texts], [k.as_py() or 0 for k in keys])
+            offsets = np.cumsum([0, *sizes]).astype(np.int32)
+            flat = pa.array(found)
             ids = pa.ListArray.from_arrays(pa.array(offsets), flat)
             yield pa.RecordBatch.from_arrays([keys, ids], ["doc_id", "ids"])
 

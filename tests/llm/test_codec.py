@@ -98,3 +98,20 @@ def test_awkward_rows(spark):
     got = encode_pieces(docs, PATH).withColumn("back", decode_pieces("ids", PATH)).collect()
     assert sorted((str(r.doc_id), r.back) for r in got) == sorted((str(i), t or "") for i, t, _ in rows)
     assert encode_pieces(docs.limit(0), PATH).collect() == []
+
+
+def test_every_occurrence_has_its_own_draws():
+    """A cached tree gives what the agenda gives for each occurrence, and one in ten candidates is skipped."""
+    codec = PieceCodec(PATH, 42, 0.1)
+    words = "the of Internationalisation " + "mississippi" * 4 + " 漢字かな ▁ 12345.67 unbelievable\n"
+    for key in (1, 2, -5):
+        chunks, draws = codec.occurrences(words * 30, key)
+        want = [i for c, d in zip(chunks, draws.tolist(), strict=True) for i in codec.segment(c, d)]
+        assert codec.encode(words * 30, key).tolist() == want
+    chunk = next(c for c in (" a", " b", " c", " d", " e") if len(codec._segment(c, [False] * 65536)) == 1)
+    whole, total = len(codec._segment(chunk, [False] * 65536)), 4000
+    split = sum(len(codec.encode(chunk[1:], key)) > whole for key in range(total))
+    assert 0.08 * total < split < 0.12 * total
+    inside = codec.encode(chunk[1:] + chunk * (total - 1), 7)
+    assert 0.08 * total < len(inside) - total < 0.12 * total
+    assert len({tuple(codec.encode("internationalisation", key)) for key in range(200)}) > 20
