@@ -88,3 +88,12 @@ def test_packing(spark):
 @pytest.mark.parametrize("name", list(STAGES))
 def test_empty_tables(spark, name):
     assert STAGES[name](spark, frame(spark, [(1, "x")]).limit(0), FOLDER).count() == 0
+
+
+def test_short_passages(spark):
+    """Two repeated sentences go however short they are, but for runs of two words."""
+    shared = "Send it back soon. We wait here."
+    texts = [(i, f"{prose(i, 3)}\n{shared}\n{prose(100 + i, 3)}\nYes. No.") for i in range(5)]
+    got = {r.doc_id: r.text for r in STAGES["substrings"](spark, frame(spark, texts), FOLDER).collect()}
+    assert shared in got[0]
+    assert all(shared not in got[i] and prose(i, 3) in got[i] and got[i].endswith("Yes. No.") for i in range(1, 5))
