@@ -28,7 +28,7 @@ _LANES = np.uint64(0x0101010101010101)
 _PAIRS_AT_ONCE = 1 << 16
 _PLANES_BETWEEN_CHECKS = 12
 _BUCKET_ROWS = 4096
-_SAMPLE_ROWS, _MOST_COMMON, _PIVOT_ROUNDS = 8192, 200_000, 2
+_SAMPLE_ROWS, _MOST_COMMON, _PIVOT_ROUNDS = 4096, 200_000, 2
 _WEYL = 0x9E3779B97F4A7C15
 
 
@@ -280,10 +280,13 @@ def expected_difference(similarity: float) -> float:
     return acos(min(1.0, 2 * similarity / (1 + similarity))) / pi
 
 
-def _shingle_sets(docs: DataFrame, words: int, width: int, common: np.ndarray) -> DataFrame:
-    """``(doc_id, fingerprint, high, low, shingles)``: each row's distinct shingle hashes and a hash of them all.
+def _shingle_sets(
+    docs: DataFrame, words: int, width: int, common: np.ndarray, similarity: float | None = None
+) -> DataFrame:
+    """``(doc_id, fingerprint, high, low, n, shingles)``: each row's ``n`` distinct shingle hashes and a hash of all.
 
     Hashes of ``common`` come last, in its order, the others first in their own: one order for all rows.
+    With ``similarity`` only those are given of which sets so similar share one.
     """
     ranks = np.argsort(common)
     ordered = common[ranks]
@@ -292,7 +295,7 @@ def _shingle_sets(docs: DataFrame, words: int, width: int, common: np.ndarray) -
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ordered, ranks = shared.value
         for batch in batch_slices(batches, "text", 1 << 20):
-            sets, prints, high, low = [], [], [], []
+            sets, sizes, prints, high, low = [], [], [], [], []
             for text in batch.column("text").cast(pa.binary()):
                 hashes = shingle_hashes(text.as_py() or b"", words)
                 if width:
@@ -307,6 +310,9 @@ def _shingle_sets(docs: DataFrame, words: int, width: int, common: np.ndarray) -
                     known = ordered[at] == found
                     last = found[known][np.argsort(ranks[at[known]])]
                     found = np.concatenate([found[~known], last])
+                sizes.append(len(found))
+                if similarity is not None and len(found):
+                    found = found[: len(found) - ceil(len(found) * similarity - 1e-6) + 1]
                 sets.append(found.view(np.int64))
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
@@ -314,12 +320,13 @@ def _shingle_sets(docs: DataFrame, words: int, width: int, common: np.ndarray) -
             offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * np.int32(width))
             halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (high, low)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel())), *halves, lists],
-                ["doc_id", "fingerprint", "high", "low", "shingles"],
+                [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel())), *halves,
+                 pa.array(sizes, pa.int32()), lists],
+                ["doc_id", "fingerprint", "high", "low", "n", "shingles"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, fingerprint array<bigint>, high bigint, low bigint, shingles array<bigint>"
+    schema = f"doc_id {kind}, fingerprint array<bigint>, high bigint, low bigint, n int, shingles array<bigint>"
     return docs.select("doc_id", "text").mapInArrow(computed, schema)
 
 
@@ -380,21 +387,21 @@ def near_copies(docs: DataFrame, words: int, similarity: float, width: int = 0)
     equal sets are one; texts without a word have the same set. Ids and fingerprints are as in
     ``near_duplicates``; without ``width`` fingerprints are empty.
     """
-    rows = stored(_shingle_sets(docs, words, width, _common_shingles(docs, words)), "shingle-sets")
-    n = F.size("shingles")
-    prefix = F.slice("shingles", 1, (n - F.ceil(n * similarity - 1e-6) + 1).cast("int"))
-    parted = rows.select("doc_id", "high", "low", n.alias("n"), F.when(n > 0, prefix).alias("prefix"))
-    distinct = parted.groupBy("high", "low").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+    common = _common_shingles(docs, words)
+    rows = stored(_shingle_sets(docs, words, width, common, similarity), "shingles")
+    distinct = rows.groupBy("high", "low").agg(
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("shingles").alias("prefix")
     )
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
     placed = nodes.select("node", "n", F.posexplode("prefix").alias("place", "h"))
     shared = placed.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
     repeated = stored(placed.join(shared, "h"), "shared-shingles")
     asked = nodes.join(repeated.select("node").distinct(), "node").select("node", "high", "low", "first_id")
-    same = [rows[c].eqNullSafe(asked[d]) for c, d in (("high", "high"), ("low", "low"), ("doc_id", "first_id"))]
-    picked = rows.join(asked, same[0] & same[1] & same[2]).select("node", "shingles")
-    sets = stored(picked.groupBy("node").agg(F.first("shingles").alias("set")), "candidate-sets")
+    ids = asked.select("first_id").distinct()
+    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["first_id"]), "left_semi")
+    whole = _shingle_sets(texts, words, 0, np.empty(0, np.uint64)).select("high", "low", "shingles")
+    picked = whole.join(asked.select("node", "high", "low"), ["high", "low"]).groupBy("node")
+    sets = stored(picked.agg(F.first("shingles").alias("set")), "candidate-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         candidates = stored(pairs.distinct(), "candidates")
