@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from postlake.llm import secret_scan
 from postlake.llm.common import table
 from postlake.llm.embedding_links import embedding_links
+from postlake.llm.manifest import build_manifest, digest_of, fold
+from postlake.llm.middle_fill import fill_in_middle, restored
 from postlake.llm.oracle import ORACLE  # noqa: F401
 from postlake.llm.packing import pack
+from postlake.llm.phrase_index import build_index, contamination, phrases_of
 from postlake.llm.piece_codec import decode_pieces, encode_pieces
 from postlake.llm.sharding import sharded
 from postlake.llm.simhash import hexadecimal, near_duplicates
@@ -95,10 +98,47 @@ def op10_top_scores(spark: SparkSession, folder: str) -> DataFrame:
     return top_scores(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """A tree per language over all rows; some rows are replaced by ones with another ``n_chars``.
+
+    Rows without an id come first and are not replaced; rows that share an id are ordered by their digests.
+    """
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda n_chars: F.unhex(digest_of([F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]))
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = leaf(F.col("n_chars").cast("decimal(20,0)") + 1)
+    leaves = docs.select(
+        "doc_id",
+        F.when(F.col("lang").isNull(), "").otherwise(F.concat(F.lit("="), "lang")).alias("tree"),
+        leaf(F.col("n_chars")).alias("digest"),
+        F.when(chosen & F.col("n_chars").isNotNull(), tampered).alias("tampered"),
+    )
+    folded = fold(build_manifest(leaves, ["doc_id"]), "tampered")
+    return folded.select(
+        "doc_id", F.lower(F.hex("digest")).alias("leaf"), "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_middle_fill(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle(table(spark, folder, "documents").select("doc_id", "text"))
+    back = restored(F.col("fim.output"), F.col("fim.form"))
+    return made.select(
+        "row.doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op13_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    index = build_index(table(spark, folder, "documents"))
+    return contamination(index, phrases_of(table(spark, folder, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_simhash, op3_toxicity, op4_token_files, op5_sharding, op6_packing,
         op7_embedding_links, op8_repeated_spans, op9_secrets, op10_top_scores,
+        op11_manifest, op12_middle_fill, op13_contamination,
     )
 }
