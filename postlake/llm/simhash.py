@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import ceil, log, log2, pi, acos
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +22,13 @@ from postlake.llm.common import (
     whole_groups,
 )
 from postlake.llm.components import connected_components
+from postlake.llm.manifest import digest_of
 
 SEED = 42
 _LANES = np.uint64(0x0101010101010101)
 _PAIRS_AT_ONCE = 1 << 16
 _PLANES_BETWEEN_CHECKS = 12
 _BUCKET_ROWS = 4096
-_SAMPLE_ROWS, _MOST_COMMON, _PIVOT_ROUNDS = 4096, 200_000, 2
 _WEYL = 0x9E3779B97F4A7C15
 
 
@@ -112,21 +112,6 @@ def exact_masks(rows: int, bits: int, radius: int) -> list[int]:
     return [sum(block[i] for i in chosen) for chosen in combinations(range(blocks), blocks - radius)]
 
 
-def sampled_masks(rows: int, bits: int, differing: float, found: float) -> list[int]:
-    """Masks of random bits: fingerprints in which a share ``differing`` of the bits differs agree under one of
-    them with probability ``found``. The bits of a mask grow with the logarithm of the rows."""
-    per_mask = max(12, ceil(log2(max(rows, 2)) - 6))
-    masks = ceil(log(1 - found) / log(1 - (1 - differing) ** per_mask))
-    draw = np.random.default_rng(SEED)
-    chosen, order = [], np.empty(0, np.int64)
-    for _ in range(masks):  # every bit is used before one is used again
-        if len(order) < per_mask:
-            order = np.concatenate([order, draw.permutation(bits)])
-        picked, order = order[:per_mask], order[per_mask:]
-        chosen.append(sum(1 << int(b) for b in set(picked.tolist())))
-    return chosen
-
-
 def _bucket(masks: list[int], width: int) -> Column:
     """The bucket of a fingerprint under every mask."""
     signed = lambda x: x - (1 << 64) if x >> 63 else x
@@ -233,14 +218,11 @@ def _links(batches: Iterator[pa.RecordBatch], width: int, radius: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], ["a", "b"])
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 3, radius: int = 3, width: int = 1, similarity: float | None = None
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, width: int = 1) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs(doc_id, text, …)``.
 
     Fingerprints of ``64 * width`` bits link when they differ in at most ``radius`` bits, and all such
-    links are found. With ``similarity`` the fingerprints are only given, and texts link as in
-    ``near_copies``. ``component_id`` is the smallest ``doc_id`` reachable.
+    links are found. ``component_id`` is the smallest ``doc_id`` reachable.
 
     Texts are compared once per fingerprint, however many rows have it. Buckets are split into pairs of
     parts beyond a few thousand fingerprints, and a task gives one link per fingerprint at most, so
@@ -248,8 +230,6 @@ def near_duplicates(
     zero; a null id is never the smallest, and a component without any id has a null one; repeated rows
     are given again; other columns are ignored; an empty table gives no rows.
     """
-    if similarity is not None:
-        return near_copies(docs, words, similarity, width)
     prints = stored(fingerprints(docs, words, width), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id"))
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
@@ -275,175 +255,24 @@ def _labelled(rows: DataFrame, nodes: DataFrame, keys: list[str], links: DataFra
     return rows.join(classes, keys)
 
 
-def expected_difference(similarity: float) -> float:
-    """The share of bits that differ, on average, between texts whose shingle sets have this Jaccard similarity."""
-    return acos(min(1.0, 2 * similarity / (1 + similarity))) / pi
-
-
-def _shingle_sets(
-    docs: DataFrame, words: int, width: int, common: np.ndarray, similarity: float | None = None
-) -> DataFrame:
-    """``(doc_id, fingerprint, high, low, n, shingles)``: each row's ``n`` distinct shingle hashes and a hash of all.
-
-    Hashes of ``common`` come last, in its order, the others first in their own: one order for all rows.
-    With ``similarity`` only those are given of which sets so similar share one.
-    """
-    ranks = np.argsort(common)
-    ordered = common[ranks]
-    shared = docs.sparkSession.sparkContext.broadcast((ordered, ranks))
-
-    def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ordered, ranks = shared.value
-        for batch in batch_slices(batches, "text", 1 << 20):
-            sets, sizes, prints, high, low = [], [], [], [], []
-            for text in batch.column("text").cast(pa.binary()):
-                hashes = shingle_hashes(text.as_py() or b"", words)
-                if width:
-                    count = np.array([len(hashes)])
-                    prints.append([majority_bits(_mixed(hashes, w), count)[0] for w in range(width)])
-                found = np.unique(hashes)
-                digest = xxhash.xxh3_128_intdigest(found.tobytes())
-                high.append(digest >> 64)
-                low.append(digest & 0xFFFFFFFFFFFFFFFF)
-                if len(ordered):
-                    at = np.minimum(np.searchsorted(ordered, found), len(ordered) - 1)
-                    known = ordered[at] == found
-                    last = found[known][np.argsort(ranks[at[known]])]
-                    found = np.concatenate([found[~known], last])
-                sizes.append(len(found))
-                if similarity is not None and len(found):
-                    found = found[: len(found) - ceil(len(found) * similarity - 1e-6) + 1]
-                sets.append(found.view(np.int64))
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
-            flat = np.array(prints, np.uint64).reshape(len(sets), width).view(np.int64)
-            offsets = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * np.int32(width))
-            halves = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (high, low)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(flat.ravel())), *halves,
-                 pa.array(sizes, pa.int32()), lists],
-                ["doc_id", "fingerprint", "high", "low", "n", "shingles"],
-            )
-
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, fingerprint array<bigint>, high bigint, low bigint, n int, shingles array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(computed, schema)
-
-
-def _common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """Hashes that several texts of a bounded sample share, the rarest first.
+def without_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """One row of every group that :func:`near_duplicates` links, with the columns of ``docs``.
 
-    They only order the shingles, so the sample decides about speed and not about what is found.
+    It is the row with the smallest ``doc_id``, one with an id if there is any, and of rows that share it the
+    one whose text has the smallest hash. Rows are told apart by id and text, so rows with the same id
+    and other texts stand for themselves. Only what goes is looked up in ``docs``: of repeated rows, which
+    are known from counts, one stays, whichever columns differ besides.
     """
-    every = max(1, docs.count() // _SAMPLE_ROWS)
-    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("doc_id", "text").distinct()
-    sets = _shingle_sets(some, words, 0, np.empty(0, np.uint64))
-    counted = sets.select(F.explode("shingles").alias("h")).groupBy("h").count().filter("count > 2")
-    kept = counted.orderBy(F.desc("count"), "h").limit(_MOST_COMMON)
-    return np.array([r.h for r in kept.collect()][::-1], np.int64).view(np.uint64)
-
-
-def _could_reach(similarity: float, a: Column, b: Column) -> Column:
-    """Whether sets of these sizes can be so similar."""
-    return F.least(a, b) + F.lit(1e-6) >= F.lit(similarity) * F.greatest(a, b)
-
-
-def _open_pairs(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """All pairs of one shingle with different labels that sizes and places in the sets allow to be similar."""
-    keys = ["h", "low", "high"]
-    for table in whole_groups(batches, keys):
-        first, last = group_bounds(table, keys)
-        group_end = np.repeat(last, last - first)
-        first, last = group_bounds(table, [*keys, "label"])
-        begin = np.repeat(last, last - first)
-        node, part, size, place = (table.column(c).to_numpy() for c in ("node", "part", "n", "place"))
-        across = table.column("low").to_numpy() != table.column("high").to_numpy()
-        many = group_end - begin
-        done = np.cumsum(many)
-        at = 0
-        while at < len(many):
-            to = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + _PAIRS_AT_ONCE * 16, side="right")))
-            n = many[at:to]
-            i = np.repeat(np.arange(at, to), n)
-            j = np.repeat(begin[at:to] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            at = to
-            most = np.minimum(size[i] - place[i], size[j] - place[j])
-            fits = most + 1e-6 >= similarity / (1 + similarity) * (size[i] + size[j])
-            fits &= ~across[i] | (part[i] != part[j])
-            a, b = node[i[fits]], node[j[fits]]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
-
-def near_copies(docs: DataFrame, words: int, similarity: float, width: int = 0) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)``: texts link when the Jaccard similarity of their shingle sets is at
-    least ``similarity``; ``component_id`` is the smallest ``doc_id`` reachable. No link is lost and none is guessed.
-
-    Sets so similar share a shingle among the first ``n - ceil(similarity * n) + 1`` of each, in any common
-    order; here common shingles come last. Sets that share one are candidates, and every link is decided
-    by the sets. Each set is first compared with a few candidates; then only candidates that the links
-    found so far do not connect are, so a large group of copies is not compared pair by pair. Rows with
-    equal sets are one; texts without a word have the same set. Ids and fingerprints are as in
-    ``near_duplicates``; without ``width`` fingerprints are empty.
-    """
-    common = _common_shingles(docs, words)
-    rows = stored(_shingle_sets(docs, words, width, common, similarity), "shingles")
-    distinct = rows.groupBy("high", "low").agg(
-        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("shingles").alias("prefix")
-    )
-    nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "distinct")
-    placed = nodes.select("node", "n", F.posexplode("prefix").alias("place", "h"))
-    shared = placed.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
-    repeated = stored(placed.join(shared, "h"), "shared-shingles")
-    asked = nodes.join(repeated.select("node").distinct(), "node").select("node", "high", "low", "first_id")
-    ids = asked.select("first_id").distinct()
-    texts = docs.join(ids, docs["doc_id"].eqNullSafe(ids["first_id"]), "left_semi")
-    whole = _shingle_sets(texts, words, 0, np.empty(0, np.uint64)).select("high", "low", "shingles")
-    picked = whole.join(asked.select("node", "high", "low"), ["high", "low"]).groupBy("node")
-    sets = stored(picked.agg(F.first("shingles").alias("set")), "candidate-sets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        candidates = stored(pairs.distinct(), "candidates")
-        left, right = (sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
-        both = candidates.join(left, "a").join(right, "b")
-        shared = F.size(F.array_intersect("set_a", "set_b"))
-        alike = shared / (F.size("set_a") + F.size("set_b") - shared) >= similarity
-        return stored(both.filter(alike).select("a", "b"), "links")
-
-    def labelled(links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """The shared shingles with the labels of their sets, and the outermost labels of each shingle."""
-        if links is None:
-            known = repeated.withColumn("label", F.col("node"))
-        else:
-            label = connected_components(links).withColumnRenamed("component", "label")
-            known = repeated.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        known = stored(known.select("h", "node", "n", "place", "label"), "labels")
-        end = F.struct("label", "node", "n")
-        ends = known.groupBy("h").agg(F.min(end).alias("least"), F.max(end).alias("most"))
-        return known, stored(ends.filter("least.label <> most.label"), "open-shingles")
-
-    links = None
-    for _ in range(_PIVOT_ROUNDS):
-        known, ends = labelled(links)
-        met = known.join(ends, "h").select("node", "n", "label", F.explode(F.array("least", "most")).alias("other"))
-        met = met.filter("label <> other.label").filter(_could_reach(similarity, F.col("n"), F.col("other.n")))
-        other = F.col("other.node")
-        few = met.groupBy("node").agg(F.array(F.min(other), F.max(other)).alias("few"))
-        pairs = few.select("node", F.explode("few").alias("other"))
-        more = verified(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")))
-        links = more if links is None else links.unionByName(more)
-    known, ends = labelled(links)
-    split = split_buckets(known.join(ends.select("h"), "h"), "h", "node", _BUCKET_ROWS)
-    order = ["h", "low", "high", "label"]
-    sorted_ = split.repartition("h", "low", "high").sortWithinPartitions(*order)
-    rest = sorted_.select(*order, "part", "node", "n", "place").mapInArrow(
-        lambda batches: _open_pairs(batches, similarity), "a bigint, b bigint"
-    )
-    links = links.unionByName(verified(rest))
-    return _labelled(rows.select("doc_id", "fingerprint", "high", "low"), nodes, ["high", "low"], links).select(
-        "doc_id", "fingerprint", "component_id"
-    )
+    key = digest_of([F.col("doc_id"), F.col("text")])
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", key.alias("key"))
+    found = near_duplicates(docs.select(place.alias("doc_id"), "text"), words, radius)
+    gone = F.col("doc_id") != F.col("component_id")
+    counted = found.groupBy(F.col("doc_id.key").alias("_key")).agg(F.max(gone).alias("_gone"), F.count("*").alias("_rows"))
+    changed = stored(counted.filter("_gone OR _rows > 1").select("_key", "_gone"), "copies")
+    keyed = docs.select(F.struct("*").alias("row"), key.alias("_key"))
+    plain = keyed.join(changed, "_key", "left_anti").select("row.*")
+    repeated = keyed.join(changed.filter("NOT _gone").select("_key"), "_key")
+    return plain.unionByName(repeated.groupBy("_key").agg(F.first("row").alias("row")).select("row.*"))
 
 
 def hexadecimal(fingerprint: Column) -> Column:

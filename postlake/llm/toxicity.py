@@ -184,16 +184,22 @@ def with_severity(docs: DataFrame, model: SeverityModel) -> DataFrame:
     return scored.withColumns(columns)
 
 
+def _rejected(reject_from: float) -> Column:
+    """Whether a text is rejected: only what speaks for toxicity does it, never the share of toxic labels alone."""
+    return (F.col("p_toxic") >= reject_from) & (F.col("severity_score") > 0)
+
+
 def toxicity(docs: DataFrame, model: SeverityModel, reject_from: float = REJECT_FROM) -> DataFrame:
-    """``(doc_id, severity, p_toxic, grade, rejected)`` of every row; ``rejected`` is ``p_toxic >= reject_from``.
+    """``(doc_id, severity, p_toxic, grade, rejected)`` of every row.
 
-    Null and empty texts score 0 and pass; null ids and repeated rows are kept; other columns are
+    Rejected is what has ``p_toxic >= reject_from`` and a score above 0. Null and empty texts, and all texts
+    under a model without weights, score 0 and pass, however many labels are toxic; null ids and repeated rows are kept; other columns are
     ignored; an empty table gives no rows.
     """
     graded = with_severity(docs.select("doc_id", "text"), model)
     return graded.select(
         "doc_id", "severity", "p_toxic", F.col("grade").cast("int").alias("grade"),
-        (F.col("p_toxic") >= reject_from).alias("rejected"),
+        _rejected(reject_from).alias("rejected"),
     )
 
 
@@ -201,5 +207,5 @@ def without_toxic(docs: DataFrame, model: SeverityModel, reject_from: float = RE
     """The rows of ``docs`` that pass, with their own columns only, whatever those are called."""
     columns = docs.columns
     boxed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), "text")
-    kept = with_severity(boxed, model).filter(F.col("p_toxic") < reject_from)
+    kept = with_severity(boxed, model).filter(~_rejected(reject_from))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in columns])

@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from postlake.llm.queries import QUERIES
 from postlake.llm.toxicity import fit_severity, labelled_sample, toxicity, train_severity, without_toxic
@@ -89,3 +90,22 @@ def test_one_kind_of_label():
 def test_registered_query(spark):
     got = QUERIES["op3_toxicity"](spark, "/root/testdata/sf0.001")
     assert got.count() == 200 and got.columns == ["doc_id", "severity", "p_toxic", "grade", "rejected"]
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1), (2, 0)], [(1, 1), (2, 1)], [(1, 0)]])
+def test_few_labels_reject_nothing(spark, labels):
+    """A model without telling features knows the share of toxic labels only."""
+    docs = spark.createDataFrame([(1, "one text"), (2, "and another"), (3, None), (4, "")], "doc_id bigint, text string")
+    model = train_severity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    assert not model.weights
+    assert not any(r.rejected for r in toxicity(docs, model).collect())
+    assert without_toxic(docs, model).count() == 4
+
+
+def test_empty_texts_pass_a_model_of_toxic_labels(spark):
+    rows = [(i, f"w{i % 7} bad0", 1) for i in range(60)] + [(100 + i, f"w{i % 7} fine", 0) for i in range(20)]
+    docs = spark.createDataFrame([(i, f"{t} n{i}") for i, t, _ in rows], "doc_id bigint, text string")
+    model = train_severity(docs, spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id bigint, toxic int"))
+    asked = spark.createDataFrame([(1, None), (2, ""), (3, "w1 unknown"), (4, "bad0")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.rejected, r.p_toxic) for r in toxicity(asked, model).collect()}
+    assert got[1][1] > 0.3 and [got[i][0] for i in (1, 2, 4)] == [False, False, True]
