@@ -12,13 +12,13 @@ from postlake.llm.common import importable_by_workers, stored, table
 from postlake.llm.packing import pack
 from postlake.llm.queries import WORD_TOKENIZER
 from postlake.llm.secret_scan import without_secrets
-from postlake.llm.simhash import near_copies
+from postlake.llm.simhash import without_near_duplicates
 from postlake.llm.spans import without_repeated_spans
 from postlake.llm.tokens import vocabulary
 from postlake.llm.toxicity import train_severity, without_toxic
 
-# Near copies: Jaccard similarity of the sets of five-word shingles.
-COPY_WORDS, COPY_SIMILARITY = 5, 0.8
+# Near copies: fingerprints of three-word shingles that differ in three bits at most.
+COPY_WORDS, COPY_RADIUS = 3, 3
 
 # Repeated passages: two sentences or more; only runs of two words, such as 'Yes. No.', may repeat.
 PASSAGE_SENTENCES, PASSAGE_WORDS = 2, 3
@@ -45,11 +45,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the lowest id; those without an id stay."""
+    """One document of each group of near copies, that with the lowest id."""
     importable_by_workers(spark)
-    found = near_copies(docs, COPY_WORDS, COPY_SIMILARITY)
-    copies = stored(found.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_duplicates(docs, COPY_WORDS, COPY_RADIUS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
