@@ -30,7 +30,7 @@ class Capacity:
     """
 
     tokens: int = 4096
-    pieces: int = 1024
+    pieces: int = 4096
     attention: int = 4096 * 4096
     weights: tuple[float, float, float] = (1.0, 0.01, 0.01)
     rule: str = "norm"
@@ -75,8 +75,8 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     return bins, offsets
 
 
-def pieces(docs: DataFrame, tokenizer: str, longest: int, end_id: int = END_ID) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32, ids)``: the ids of every text in pieces of ``longest``."""
+def pieces(docs: DataFrame, tokenizer: str, longest: int, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32[, ids])``: the ids of every text in pieces of ``longest``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batch_slices(batches, "text"):
@@ -87,27 +87,33 @@ def pieces(docs: DataFrame, tokenizer: str, longest: int, end_id: int = END_ID)
             start = piece * longest
             length = np.minimum(sizes[row] - start, longest)
             ends = np.cumsum(length)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
             columns = [
                 batch.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start),
-                pa.array(length), pa.array(crc_of(ids, ends - length, ends), pa.int64()), lists,
+                pa.array(length), pa.array(crc_of(ids, ends - length, ends), pa.int64()),
             ]
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids)))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
+    schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
+    schema += ", ids array<int>" if with_ids else ""
     return docs.select("doc_id", "text").mapInArrow(cut, schema)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: Capacity | None = None, end_id: int = END_ID) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids)``, one row per piece.
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: Capacity | None = None, end_id: int = END_ID, with_ids: bool = True
+) -> DataFrame:
+    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids])``, one row per piece.
 
     A text's ids and ``end_id`` make one piece; only longer ones are cut, into pieces that fill a
     sequence and a rest. Pieces are stored first, so a text is encoded once. Full pieces are sequences.
     The others fall at random into groups of some thousands, so that each group has lengths of every
     kind, and every group is packed in descending order of length; a group leaves a part of a sequence
-    or two unfilled at most, whatever the number of groups. Only lengths reach the packing.
+    or two unfilled at most, whatever the number of groups. Only lengths reach the packing, and ids are
+    stored only if they are asked for. Since a full piece must fit, the attention limit is at least the
+    square of the tokens, which no sequence exceeds; it only counts in the choice of a bin.
 
     A null text is empty and has the end id alone. Rows with a null or repeated id are documents like
     others; other columns are ignored; an empty table gives no rows.
@@ -115,7 +121,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: Capacity | None = None, end_
     capacity = capacity or Capacity()
     if capacity.attention < capacity.tokens**2 or capacity.pieces < 1:
         raise ValueError("a full piece must fit into an empty sequence")
-    cut = pieces(docs, tokenizer, capacity.tokens, end_id)
+    cut = pieces(docs, tokenizer, capacity.tokens, end_id, with_ids)
     kept = stored(cut.withColumn("_piece_key", F.monotonically_increasing_id()), "pieces")
     short = kept.filter(F.col("length") < capacity.tokens).select("_piece_key", "length")
     groups = max(1, ceil(short.count() / GROUP_PIECES))
@@ -134,7 +140,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: Capacity | None = None, end_
     return joined.select(
         "doc_id", "piece", "start", "length", "ids_crc32",
         F.coalesce("sequence_id", alone).alias("sequence_id"),
-        F.coalesce("offset", F.lit(0).cast("bigint")).alias("offset"), "ids",
+        F.coalesce("offset", F.lit(0).cast("bigint")).alias("offset"), *(["ids"] if with_ids else []),
     )
 
 

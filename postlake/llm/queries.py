@@ -70,7 +70,7 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack(table(spark, folder, "documents"), vocabulary(WORD_TOKENIZER)).drop("ids")
+    return pack(table(spark, folder, "documents"), vocabulary(WORD_TOKENIZER), with_ids=False)
 
 
 def op7_embedding_links(spark: SparkSession, folder: str) -> DataFrame:

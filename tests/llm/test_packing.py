@@ -220,3 +220,12 @@ def test_packing_odd_ids(spark):
     rows = pack(docs, PATH).collect()
     assert sorted((str(r.doc_id), r.length) for r in rows) == [("1", 2), ("1", 2), ("None", 1), ("None", 2)]
     assert len({r.sequence_id for r in rows}) == 1 and sorted(r.offset for r in rows) == [0, 2, 4, 6]
+
+
+def test_tiny_texts_fill_sequences(spark):
+    """8,192 empty texts have one id each and fill two sequences."""
+    docs = spark.range(8192).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS text")
+    packed = pack(docs, PATH, with_ids=False)
+    assert "ids" not in packed.columns
+    sizes = [r["count"] for r in packed.groupBy("sequence_id").count().collect()]
+    assert sizes == [4096, 4096]
