@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from functools import lru_cache
-from itertools import repeat
+from functools import lru_cache, reduce
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,9 +18,11 @@ from postlake.llm.common import text_slices
 
 _WORDS_KEPT = 400_000
 _WORDS_AT_ONCE = 20_000
-_BYTES_AT_ONCE = 2 << 20
+_BYTES_AT_ONCE = 4 << 20
 # Between an ASCII letter and an ASCII sign or digit, apostrophes aside.
 _BORDER = re.compile(rb"(?<=[a-z])(?=[!-&(-@\[-`{-~])|(?<=[!-&(-@\[-`{-~])(?=[a-z])")
+# Letters below U+0250, which the library does not take apart.
+_PLAIN = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+").fullmatch
 
 
 def vocabulary(name: str) -> str:
@@ -29,9 +32,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_KEPT_MARKS = (b"<|", b"\xcc", b"\xcd")
+
+
 def _kept_whole(text: bytes) -> bool:
     """Whether there may be a special token, or a mark that combines with the letter before it."""
-    return b"<|" in text or b"\xcc" in text or b"\xcd" in text
+    return any(mark in text for mark in _KEPT_MARKS)
 
 
 class WordEncoder:
@@ -92,36 +98,47 @@ class WordEncoder:
         return self._ids[np.arange(total[-1]) + np.repeat(self._start[at] - total[:-1], sizes)], total
 
     def _learn(self, words: list[bytes]) -> None:
-        parts = {w: [w] if _kept_whole(w) else _BORDER.sub(b" ", w).split(b" ") for w in words}
-        unknown = dict.fromkeys(p for cut in parts.values() for p in cut if p not in self._place)
-        plain, rest = [], []
-        for part in unknown:
-            text = part.decode()
-            (plain if text.isalpha() and max(text) < "\u0250" else rest).append((part, text))
-        for some, encode in ((plain, self._together), (rest, self._apart)):
-            for begin in range(0, len(some), _WORDS_AT_ONCE):
-                names, texts = map(list, zip(*some[begin : begin + _WORDS_AT_ONCE], strict=True))
-                self._add(names, *(encode(texts) or self._apart(texts)))
-        joined = [w for w, cut in parts.items() if len(cut) > 1]
-        if joined:
-            at = np.array([self._place[p] for w in joined for p in parts[w]])
+        """Add new words; they are cut, decoded and told apart all at once, for most words occur once."""
+        uncut = [w for w in words if _kept_whole(w)] if _kept_whole(b"\n".join(words)) else []
+        set_aside = set(uncut)
+        others = [w for w in words if w not in set_aside] if uncut else words
+        pieces = _BORDER.sub(b" ", b"\n".join(others)).split(b"\n") if others else []
+        cut = {w: p.split(b" ") for w, p in zip(others, pieces, strict=True) if b" " in p}
+        whole = [w for w in others if w not in cut] if cut else others
+        parts = (p for found in cut.values() for p in found if p not in self._place)
+        names = list(dict.fromkeys([*uncut, *whole, *parts]))
+        texts = b"\n".join(names).decode().split("\n") if names else []
+        plain = [m is not None for m in map(_PLAIN, texts)]
+        for chosen, encode in ((plain, self._together), ([not p for p in plain], self._apart)):
+            known, asked = list(compress(names, chosen)), list(compress(texts, chosen))
+            for begin in range(0, len(known), _WORDS_AT_ONCE):
+                some = asked[begin : begin + _WORDS_AT_ONCE]
+                self._add(known[begin : begin + _WORDS_AT_ONCE], *(encode(some) or self._apart(some)))
+        if cut:
+            at = np.array([self._place[p] for found in cut.values() for p in found])
             ids, total = self._gathered(at)
-            self._add(joined, ids, np.diff(total[np.cumsum([0, *[len(parts[w]) for w in joined]])]))
+            self._add(list(cut), ids, np.diff(total[np.cumsum([0, *map(len, cut.values())])]))
 
-    def encode(self, texts: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes] | pa.Array, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many belong to each text; every text ends with ``end_id``."""
-        flat: list[bytes] = []
-        ends_of_texts = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            flat += (text if _kept_whole(text) else text.lower()).split()
-            ends_of_texts[i] = len(flat)
+        texts = pa.array(texts, pa.binary()) if isinstance(texts, list) else texts.fill_null(b"")
+        kept = reduce(pc.or_, [pc.match_substring(texts, mark) for mark in _KEPT_MARKS])
+        plain = texts.cast(pa.string())
+        split = pc.ascii_split_whitespace(pc.if_else(kept, plain, pc.ascii_lower(plain)))
+        ends_of_texts = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
         if len(self._place) > _WORDS_KEPT:
             self._forget_rare()
-        at = np.fromiter(map(self._place.get, flat, repeat(-1)), np.int64, len(flat))
-        new = np.flatnonzero(at < 0).tolist()
+        if b"" not in self._place:  # white space at the ends of a text gives empty words
+            self._add([b""], np.empty(0, np.int32), np.zeros(1, np.int64))
+        coded = split.flatten().cast(pa.binary()).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        places = np.fromiter(map(self._place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(places < 0).tolist()
         if new:
-            self._learn(list(dict.fromkeys(map(flat.__getitem__, new))))
-            at[new] = [self._place[flat[i]] for i in new]
+            asked = [words[i] for i in new]
+            self._learn(asked)
+            places[new] = [self._place[w] for w in asked]
+        at = places[coded.indices.to_numpy(zero_copy_only=False)]
         self._uses += np.bincount(at, minlength=len(self._uses)).astype(np.int32)
         ids, total = self._gathered(at)
         ends = total[ends_of_texts]
@@ -140,10 +157,7 @@ def encoder(path: str) -> WordEncoder:
 
 def encode_column(texts: pa.Array, path: str, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
     """As :meth:`WordEncoder.encode` for an Arrow column of texts, some MB at a time; null counts as empty."""
-    parts = [
-        encoder(path).encode([t.as_py() or b"" for t in some], end_id)
-        for some in text_slices(texts.cast(pa.binary()), _BYTES_AT_ONCE)
-    ]
+    parts = [encoder(path).encode(some, end_id) for some in text_slices(texts.cast(pa.binary()), _BYTES_AT_ONCE)]
     nothing = (np.empty(0, np.int32), np.empty(0, np.int64))
     ids, lengths = zip(*[nothing, *parts], strict=True)
     return np.concatenate(ids), np.concatenate(lengths)
