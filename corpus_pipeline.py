@@ -67,7 +67,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences."""
     importable_by_workers(spark)
-    return pack(docs, vocabulary(WORD_TOKENIZER)).drop("ids")
+    return pack(docs, vocabulary(WORD_TOKENIZER), with_ids=False)
 
 
 STAGES = [
