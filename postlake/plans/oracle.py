@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from postlake.plans.registry import CHECKS, HARVEST_LIMIT, LIMIT, PAGE_SIZE, POOL_TARGET, RUN_AT, SEEDED_AT, TERMS
+from postlake.plans.registry import (
+    CHECKS, HARVEST_LIMIT, LIMIT, PAGE_SIZE, POOL_TARGET, RUN_AT, SEEDED_AT, SHARED_LIMIT, TERMS,
+)
 
 _POSTS_RAW = """posts_raw AS (
   SELECT doc_id,
@@ -70,6 +72,48 @@ replay AS (
   FROM run)"""
 
 
+def _shared(stop: str) -> str:
+    """Queries one after another; each step carries the list of posts seen so far."""
+    return f"""WITH RECURSIVE hdr0 AS (
+  SELECT DISTINCT source AS query, doc_id // 200 AS page_no FROM documents),
+hdr AS (
+  SELECT query, page_no, CASE WHEN page_no = max(page_no) OVER (PARTITION BY query) THEN NULL
+    WHEN query = 'src5' AND page_no = 3 THEN NULL ELSE concat(query, '_', page_no) END AS after_token FROM hdr0),
+asked AS (
+  SELECT query, CAST(substring(query, 4) AS INT) AS q_idx, row_number() OVER (ORDER BY CAST(substring(query, 4) AS INT)) AS nr
+  FROM (SELECT DISTINCT query FROM hdr)),
+held AS (
+  SELECT * FROM (SELECT source AS query, doc_id // 200 AS page_no, doc_id AS pos, concat('p', n_chars % 211) AS id
+    FROM documents)
+  WHERE NOT (query = 'src7' AND page_no = 1) AND NOT (query = 'src8' AND page_no IN (1, 2))),
+firsts AS (SELECT query, id, min(page_no) AS page_no FROM held GROUP BY query, id),
+pages AS (
+  SELECT query, page_no, after_token, q_idx, nr,
+    (SELECT count(*) FROM held p WHERE p.query = h.query AND p.page_no = h.page_no) AS n_rows,
+    coalesce((SELECT list(f.id) FROM firsts f WHERE f.query = h.query AND f.page_no = h.page_no), []) AS ids
+  FROM hdr h JOIN asked USING (query)),
+marked AS (
+  SELECT *, after_token IS NULL OR ({stop}) AS stops FROM (
+    SELECT *, lag(n_rows) OVER (PARTITION BY query ORDER BY page_no) AS prev_rows FROM pages)),
+step AS (
+  SELECT CAST(0 AS BIGINT) AS nr, (SELECT list(DISTINCT concat('p', n_chars % 211)) FROM documents WHERE doc_id % 50 = 0) AS seen,
+    CAST([] AS STRUCT(page_no BIGINT, new_cnt BIGINT, accepted BOOLEAN)[]) AS found
+  UNION ALL
+  SELECT nr, list_distinct(list_concat(any_value(seen), flatten(list(fresh) FILTER (accepted)))),
+    list(struct_pack(page_no := page_no, new_cnt := new_cnt, accepted := accepted))
+  FROM (
+    SELECT *, coalesce(sum(new_cnt) OVER w, 0) < {SHARED_LIMIT} AND NOT coalesce(bool_or(stops) OVER w, false) AS accepted
+    FROM (
+      SELECT m.nr, m.page_no, m.stops, s.seen, list_filter(m.ids, lambda i: NOT list_contains(s.seen, i)) AS fresh,
+        CAST(len(list_filter(m.ids, lambda i: NOT list_contains(s.seen, i))) AS BIGINT) AS new_cnt
+      FROM step s JOIN marked m ON m.nr = s.nr + 1)
+    WINDOW w AS (ORDER BY page_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  GROUP BY nr),
+shared AS (
+  SELECT a.q_idx, a.query, f.page_no, f.new_cnt, f.accepted
+  FROM (SELECT nr, unnest(found) AS f FROM step) JOIN asked a USING (nr))"""
+
+
 _REPLAY_OUT = " SELECT query, page_no, new_cnt, accepted FROM replay"
 
 _HARVEST_HITS = _harvest("n_rows = 0") + """,
@@ -237,6 +281,13 @@ spread AS (SELECT id, count(*) AS queries FROM harvested GROUP BY id)
 SELECT query, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (queries = 1) AS BIGINT) AS unique_cnt,
   (SELECT CAST(count(*) AS BIGINT) FROM owned o WHERE o.query = h.query) AS owned
 FROM harvested h JOIN spread USING (id) GROUP BY query""",
+    "harvest_shared": _shared("n_rows = 0") + " SELECT q_idx, query, page_no, new_cnt, accepted FROM shared",
+    "harvest_shared_tolerant": _shared("n_rows = 0 AND coalesce(prev_rows, 1) = 0")
+    + " SELECT q_idx, query, page_no, new_cnt, accepted FROM shared",
+    "harvest_shared_hits": _shared("n_rows = 0") + """
+SELECT q_idx, query, id, page_no, pos FROM held JOIN shared USING (query, page_no)
+WHERE accepted AND id NOT IN (SELECT concat('p', n_chars % 211) FROM documents WHERE doc_id % 50 = 0)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY q_idx, page_no, pos) = 1""",
     "ingest_search_pages": f"""WITH {_POSTS_RAW}
 SELECT doc_id // 100 AS page_no, CAST(doc_id % 100 AS INT) AS pos,
   CASE WHEN (doc_id // 100) % 5 <> 4 THEN concat('t3_', doc_id // 100) END AS after, {_POST_FIELDS}

@@ -27,6 +27,7 @@ ACCENTED = ("für", "la Réeux", "ñ")
 LIMIT = 100
 PAGE_SIZE = 30
 HARVEST_LIMIT = 25
+SHARED_LIMIT = 15
 CHECKS = 20
 POOL_TARGET = 100
 RULES = {"cooldown_base": timedelta(days=1), "dead_after": 3}
@@ -100,10 +101,14 @@ def harvest_replay(spark: SparkSession, folder: str, mode: str) -> DataFrame:
     )
 
 
+def _by_source(headers: DataFrame) -> DataFrame:
+    """The queries of captured pages, numbered as the sources they stand for."""
+    return headers.select("query").distinct().withColumn("q_idx", F.expr("CAST(substring(query, 4) AS INT)"))
+
+
 def _harvest_hits(spark: SparkSession, folder: str) -> DataFrame:
     headers = tables.page_headers(spark, folder)
-    asked = headers.select("query").distinct().withColumn("q_idx", F.expr("CAST(substring(query, 4) AS INT)"))
-    return harvest.harvest_hits(headers, tables.page_posts(spark, folder), asked, HARVEST_LIMIT)
+    return harvest.harvest_hits(headers, tables.page_posts(spark, folder), _by_source(headers), HARVEST_LIMIT)
 
 
 def harvest_hits(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +122,21 @@ def harvest_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats.join(owned, "query", "left").withColumn("owned", F.coalesce("owned", F.lit(0)))
 
 
+def harvest_shared(spark: SparkSession, folder: str, mode: str = "strict") -> DataFrame:
+    """Queries in order that count only posts which no earlier one, and no earlier run, has collected."""
+    headers = tables.page_headers(spark, folder)
+    return harvest.harvest_shared(
+        headers, tables.shared_page_posts(spark, folder), _by_source(headers), SHARED_LIMIT, mode, tables.seen_posts(spark, folder)
+    )
+
+
+def harvest_shared_hits(spark: SparkSession, folder: str) -> DataFrame:
+    headers = tables.page_headers(spark, folder)
+    return harvest.harvest_shared_hits(
+        headers, tables.shared_page_posts(spark, folder), _by_source(headers), SHARED_LIMIT, seen=tables.seen_posts(spark, folder)
+    )
+
+
 def ingest_search_pages(spark: SparkSession, folder: str) -> DataFrame:
     return sources.ingest_search_pages(tables.search_pages(spark, folder))
 
@@ -404,6 +424,9 @@ def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "harvest_shared": harvest_shared,
+    "harvest_shared_tolerant": partial(harvest_shared, mode="tolerant"),
+    "harvest_shared_hits": harvest_shared_hits,
     "rejected_details": rejected_details,
     "stream_late_ledger": stream_late_ledger,
     "harvest_run": harvest_run,

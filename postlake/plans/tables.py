@@ -145,15 +145,29 @@ def page_headers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def page_posts(spark: SparkSession, folder: str) -> DataFrame:
-    """``(query, page_no, pos, id)`` with many repeats; some pages of two queries are empty."""
+def _posts_on_pages(spark: SparkSession, folder: str, distinct: int) -> DataFrame:
     return (
         table(spark, folder, "documents")
-        .selectExpr("source AS query", "doc_id div 200 AS page_no", "doc_id AS pos", "concat('p', n_chars % 37) AS id")
+        .selectExpr("source AS query", "doc_id div 200 AS page_no", "doc_id AS pos", f"concat('p', n_chars % {distinct}) AS id")
         .filter("NOT (query = 'src7' AND page_no = 1) AND NOT (query = 'src8' AND page_no IN (1, 2))")
     )
 
 
+def page_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(query, page_no, pos, id)`` with many repeats; some pages of two queries are empty."""
+    return _posts_on_pages(spark, folder, 37)
+
+
+def shared_page_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """As :func:`page_posts`, with more distinct posts, of which queries share many."""
+    return _posts_on_pages(spark, folder, 211)
+
+
+def seen_posts(spark: SparkSession, folder: str) -> DataFrame:
+    """``(id)`` of posts that were collected before."""
+    return table(spark, folder, "documents").filter("doc_id % 50 = 0").selectExpr("concat('p', n_chars % 211) AS id").distinct()
+
+
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
     """``(event_id, ts, endpoint, ok, status)``, one row per request outcome."""
     return table(spark, folder, "events").selectExpr(

@@ -85,3 +85,54 @@ def test_collected_posts(spark, mode):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         harvest.harvest_replay(None, None, 1, "other")
+
+
+def shared_loop(runs, order, limit, tolerant, seen):
+    """Queries one after another with one set of seen posts: accepted pages, new posts, collected posts."""
+    seen, accepted, counts, collected = set(seen), set(), {}, []
+    for q in order:
+        new, empties, stopped = 0, 0, False
+        here = set(seen)
+        for number in sorted(runs[q]):
+            token, ids = runs[q][number]
+            fresh = list(dict.fromkeys(i for i in ids if i and i not in here))
+            here |= set(fresh)
+            counts[q, number] = len(fresh)
+            if stopped or new >= limit:
+                continue
+            accepted.add((q, number))
+            collected += [(q, i, number, ids.index(i)) for i in fresh]
+            seen |= set(fresh)
+            new += len(fresh)
+            empties = 0 if ids else empties + 1
+            stopped = not token or (not ids and (not tolerant or empties >= 2))
+    return accepted, counts, collected
+
+
+@pytest.mark.parametrize(("seed", "limit", "mode"), [(1, 12, "strict"), (2, 30, "tolerant"), (3, 0, "strict"), (4, 1000, "tolerant")])
+def test_queries_that_share_what_they_saw(spark, seed, limit, mode):
+    runs = captured(seed)
+    headers = spark.createDataFrame(
+        [(q, n, t) for q, pages in runs.items() for n, (t, _) in pages.items()],
+        "query string, page_no bigint, after_token string",
+    )
+    posts = spark.createDataFrame(
+        [(q, n, p, i) for q, pages in runs.items() for n, (_, ids) in pages.items() for p, i in enumerate(ids)],
+        "query string, page_no bigint, pos int, id string",
+    )
+    order = sorted(runs, reverse=True)
+    asked = spark.createDataFrame([(i, q) for i, q in enumerate(order)] + [(99, order[0])], "q_idx int, query string")
+    for known in ([], [f"i{n}" for n in range(0, 60, 7)]):
+        table = spark.createDataFrame([(k,) for k in known], "id string") if known else None
+        accepted, counts, collected = shared_loop(runs, order, limit, mode == "tolerant", known)
+        rows = harvest.harvest_shared(headers, posts, asked, limit, mode, table).collect()
+        assert {(r["query"], r["page_no"]) for r in rows if r["accepted"]} == accepted
+        assert {(r["query"], r["page_no"]): r["new_cnt"] for r in rows} == counts
+        hits = harvest.harvest_shared_hits(headers, posts, asked, limit, mode, table).collect()
+        assert sorted((r["query"], r["id"], r["page_no"], r["pos"]) for r in hits) == sorted(collected)
+
+
+def test_shared_harvest_of_nothing(spark):
+    headers = spark.createDataFrame([], "query string, page_no bigint, after_token string")
+    posts = spark.createDataFrame([], "query string, page_no bigint, pos int, id string")
+    assert harvest.harvest_shared(headers, posts, query_list(spark, ["a"]), 5).collect() == []
