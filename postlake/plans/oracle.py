@@ -328,6 +328,10 @@ SELECT doc_id, 2 AS fetched_at, CASE WHEN doc_id % 9 = 4 THEN 'listings' ELSE 'j
 FROM captured WHERE doc_id % 9 IN (4, 7)
 UNION ALL SELECT doc_id, 3, 'listings' FROM captured WHERE doc_id % 5 = 0""",
     "harvest_run": _HARVEST_RUN,
+    "harvest_run_recaptured": _HARVEST_RUN,
+    "rejected_pages": """WITH pages AS (SELECT DISTINCT source AS query, doc_id // 200 AS page_no FROM documents)
+SELECT query, page_no, 3 AS fetched_at, 'json' AS reason FROM pages WHERE page_no % 4 = 2
+UNION ALL SELECT query, page_no, 4, 'listing' FROM pages WHERE page_no % 6 = 5""",
     "keyword_search_accents": f"WITH {_ACCENTED_HITS} SELECT term, id, CAST(tf AS BIGINT) AS tf, pos FROM hits",
     "search_page_from_tokens": f"""WITH {_HITS},
 rest AS (SELECT *, CASE WHEN q_idx <= 2 THEN pos - {PAGE_SIZE} ELSE pos END AS rel FROM hits

@@ -162,6 +162,21 @@ def harvest_run(spark: SparkSession, folder: str) -> DataFrame:
     """The posts that a whole run over captured pages writes, with the run's total."""
     work = shared_folder(spark, "harvest-run")
     run.harvest_run(tables.query_pages(spark, folder), work, "run-1", RUN_AT, HARVEST_LIMIT)
+    return _written_run(spark, work)
+
+
+def harvest_run_recaptured(spark: SparkSession, folder: str) -> DataFrame:
+    """The same run from pages captured several times: the latest readable capture of each counts."""
+    work = shared_folder(spark, "harvest-run")
+    run.harvest_run(tables.query_page_captures(spark, folder), work, "run-1", RUN_AT, HARVEST_LIMIT)
+    return _written_run(spark, work)
+
+
+def rejected_pages(spark: SparkSession, folder: str) -> DataFrame:
+    return sources.rejected_pages(tables.query_page_captures(spark, folder)).select("query", "page_no", "fetched_at", "reason")
+
+
+def _written_run(spark: SparkSession, work: str) -> DataFrame:
     written = spark.read.parquet(f"{work}/posts")
     manifest = spark.read.parquet(f"{work}/runs").select("run_id", "total_posts")
     return written.join(manifest, "run_id").select("query", "page_no", "pos", *posts.POST_FIELDS, "total_posts")
@@ -368,19 +383,23 @@ _STREAM_SLICES = 4
 def _as_stream(
     source: DataFrame, time: str, folder: str, order: Sequence[int] = range(_STREAM_SLICES)
 ) -> tuple[DataFrame, timedelta]:
-    """Write a table as files of time slices in the given order, read it as a stream of as many batches.
+    """Write a table as files of time slices in the given order, read it as a stream of some slice a batch.
 
-    Also gives the length of a time slice.
+    A slice has as many files as a shuffle has partitions, so many tasks write and read it. Also gives the
+    length of a time slice. An empty table is a stream of one empty batch.
     """
+    spark = source.sparkSession
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     low, high = source.agg(F.min(time), F.max(time)).first()
+    if low is None:
+        source.limit(0).write.parquet(folder)
+        return spark.readStream.schema(source.schema).parquet(folder), timedelta(seconds=1)
     width = (high - low) / _STREAM_SLICES + timedelta(microseconds=1)
     for i in order:
         begin, end = F.lit(low + i * width), F.lit(low + (i + 1) * width)
         part = source.filter((F.col(time) >= begin) & (F.col(time) < end))
-        part.coalesce(1).write.mode("append").parquet(folder)  # a batch takes one file, that is one slice
-    spark = source.sparkSession
-    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    return stream, width
+        part.repartition(files).write.mode("append").parquet(folder)
+    return spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files).parquet(folder), width
 
 
 def stream_dedup_posts(spark: SparkSession, folder: str) -> DataFrame:
@@ -424,6 +443,8 @@ def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "harvest_run_recaptured": harvest_run_recaptured,
+    "rejected_pages": rejected_pages,
     "harvest_shared": harvest_shared,
     "harvest_shared_tolerant": partial(harvest_shared, mode="tolerant"),
     "harvest_shared_hits": harvest_shared_hits,

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlake.operators.enrichment import enrich_posts, enrichment_summary, failed_posts, latest_details
-from postlake.operators.harvest import harvest_hits
+from postlake.operators.harvest import harvest_hits, harvest_shared_hits
 from postlake.operators.posts import POST_FIELDS, normalize_posts, with_key
 from postlake.operators.search import keyword_search, query_stats, run_manifest, search_multi
-from postlake.sources.readers import ingest_search_pages, page_headers
+from postlake.sources.readers import ingest_search_pages, latest_pages, page_headers, rejected_pages
 from postlake.sources.sinks import write_enriched, write_run
 
 
@@ -56,27 +56,45 @@ def search_run(
 
 
 def harvest_run(
-    pages: DataFrame, output: str, run_id: str, run_ts: str, limit: int, mode: str = "strict"
+    pages: DataFrame,
+    output: str,
+    run_id: str,
+    run_ts: str,
+    limit: int,
+    mode: str = "strict",
+    shared: bool = False,
+    seen: DataFrame | None = None,
 ) -> None:
-    """From captured pages ``(query, q_idx, page_no, payload)`` to the posts, stats and manifest of a run.
+    """From captured pages ``(query, q_idx, page_no, payload[, fetched_at])`` to the posts, stats and manifest of a run.
 
     The payloads are parsed once, into tables of posts and page headers under ``output``; replaying the
-    page loop, first-seen posts and statistics start from those. ``posts`` holds each collected post
-    with all its fields and the earliest query that found it, ``stats`` the counts of every query.
+    page loop, first-seen posts and statistics start from those. A page that was captured several times
+    counts once, with its latest readable capture; what is unreadable is listed in ``rejected_pages``.
+    ``posts`` holds each collected post with all its fields and the earliest query that found it,
+    ``stats`` the counts of every query; a repeated query counts once. With ``shared``, or a table of ids
+    ``seen`` before, a query's limit counts only posts that neither an earlier query nor that table has.
     """
     spark = pages.sparkSession
     own = f"run_id={run_id}"
-    written = lambda name: spark.read.parquet(f"{output}/{name}/{own}")
-    save = lambda frame, name: frame.write.mode("overwrite").parquet(f"{output}/{name}/{own}")
-    save(pages.select("query", "q_idx", "page_no", "payload").transform(ingest_search_pages), "page_posts")
-    save(page_headers(pages.select("query", "q_idx", "page_no", "payload")), "page_headers")
-    headers, found = written("page_headers"), written("page_posts")
-    queries = headers.select("q_idx", "query").distinct()
-    save(harvest_hits(headers, found, queries, limit, mode), "hits")
-    hits = written("hits")
+
+    def saved(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.mode("overwrite").parquet(f"{output}/{name}/{own}")
+        return spark.read.schema(frame.schema).parquet(f"{output}/{name}/{own}")
+
+    key = ["query", "page_no"]
+    saved(rejected_pages(pages), "rejected_pages")
+    once = latest_pages(pages).select(*key, "q_idx", "payload")
+    queries = saved(pages.groupBy("query").agg(F.min("q_idx").alias("q_idx")), "queries").select("q_idx", "query")
+    found = saved(once.select(*key, "payload").transform(ingest_search_pages), "page_posts")
+    headers = saved(page_headers(once.select(*key, "payload")), "page_headers")
+    if shared or seen is not None:
+        collected = harvest_shared_hits(headers, found, queries, limit, mode, seen)
+    else:
+        collected = harvest_hits(headers, found, queries, limit, mode)
+    hits = saved(collected, "hits")
     owned = search_multi(hits, ("q_idx", "page_no", "pos")).select("q_idx", "query", "page_no", "pos")
-    posts = found.join(owned, ["q_idx", "query", "page_no", "pos"])
-    save(query_stats(hits, queries), "stats")
+    posts = found.join(owned, ["query", "page_no", "pos"])
+    saved(query_stats(hits, queries), "stats")
     write_run(posts.select("q_idx", "query", "page_no", "pos", *POST_FIELDS), run_manifest(hits, run_ts, queries), output, run_id)
 
 

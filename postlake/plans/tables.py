@@ -7,6 +7,8 @@ built inside the row wherever one payload belongs to one row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +112,25 @@ def query_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.join(tokens, ["query", "page_no"]).select("query", q_idx.alias("q_idx"), "page_no", payload.alias("payload"))
 
 
+def query_page_captures(spark: SparkSession, folder: str) -> DataFrame:
+    """As :func:`query_pages`, with ``fetched_at``: pages captured again, before and later, some of them broken.
+
+    Every third page has an older capture without posts, every fourth a later one that is cut off, every
+    fifth a copy, and every sixth a later error object.
+    """
+    first = query_pages(spark, folder).withColumn("fetched_at", F.lit(2))
+    again = lambda every, rest, at, payload: first.filter(F.col("page_no") % every == rest).withColumns(
+        {"payload": payload, "fetched_at": F.lit(at)}
+    )
+    empty = F.lit('{"data":{"after":"t3_0","children":[]}}')
+    cut_off = F.expr("substring(payload, 1, 40)")
+    parts = [
+        first, again(3, 1, 1, empty), again(4, 2, 3, cut_off), again(5, 3, 2, F.col("payload")),
+        again(6, 5, 4, F.lit('{"error": 503}')),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def search_pages(spark: SparkSession, folder: str) -> DataFrame:
     """``(page_no, payload)``: raw posts in listings of ``PAGE_ROWS``, which bounds the groups."""
     fields = [

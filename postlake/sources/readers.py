@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.operators.pool import parse_endpoints
 from postlake.operators.posts import POST_FIELDS, normalize_posts
+from postlake.operators.ranking import first_per_key
 from postlake.sources.schemas import DOCUMENT, LEDGER_MAP, SEARCH_PAGE
 
 
@@ -24,6 +25,32 @@ def ingest_search_pages(pages: DataFrame) -> DataFrame:
     return normalize_posts(rows.select(*kept, "after", "pos", "_child.data.*"), keep=[*kept, "after", "pos"])
 
 
+def _readable_page(payload: Column) -> Column:
+    return F.coalesce(F.from_json(payload, SEARCH_PAGE)["data"]["children"].isNotNull(), F.lit(False))
+
+
+def latest_pages(pages: DataFrame) -> DataFrame:
+    """One capture of every ``(query, page_no)``: the latest readable one by ``fetched_at``, if there is that column.
+
+    Of a page without any readable capture one stays; it has no token, so a replay stops behind it. Equal
+    captures count once, and a page captured under two numbers of one query keeps the lower.
+    """
+    order = [F.desc("fetched_at")] if "fetched_at" in pages.columns else []
+    numbered = [F.asc("q_idx")] if "q_idx" in pages.columns else []
+    marked = pages.withColumn("_readable", _readable_page(F.col("payload"))).withColumn("_tie", F.xxhash64("payload"))
+    kept = first_per_key(marked, ["query", "page_no"], [F.desc("_readable"), *order, *numbered, F.asc("_tie")])
+    return kept.drop("_readable", "_tie")
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """``(…, reason)`` of the captures that hold no page, which is not the same as an empty one; the payload goes.
+
+    ``json``: no JSON text; ``listing``: JSON without a list of posts.
+    """
+    reason = F.when(F.try_parse_json("payload").isNull(), "json").otherwise("listing")
+    return pages.filter(~_readable_page(F.col("payload"))).withColumn("reason", reason).drop("payload")
+
+
 def page_headers(pages: DataFrame) -> DataFrame:
     """Continuation token of every captured page, empty pages included."""
     kept = [c for c in pages.columns if c != "payload"]

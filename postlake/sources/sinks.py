@@ -35,13 +35,15 @@ def _brackets(metadata_json: str | None, summary_json: str | None) -> tuple[str,
 
 
 def write_run(posts: DataFrame, manifest: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
-    """Posts and manifest of a run under ``posts/run_id=…`` and ``runs/run_id=…``; a rerun replaces both."""
+    """Posts and manifest of a run under ``posts/run_id=…`` and ``runs/run_id=…``; a rerun replaces both.
+
+    A run without posts leaves a file with the columns.
+    """
     for name, frame in (("posts", posts), ("runs", manifest)):
-        writer = frame.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").partitionBy("run_id")
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = frame.write.mode("overwrite")
         if fmt == "json":
             writer = writer.options(**_KEEP_NULLS)
-        writer.format(fmt).save(f"{path}/{name}")
+        writer.format(fmt).save(f"{path}/{name}/run_id={run_id}")
 
 
 def write_documents(
