@@ -380,10 +380,10 @@ SELECT p.endpoint,
 FROM pool p LEFT JOIN good g USING (endpoint) LEFT JOIN ledger l USING (endpoint)""",
     "append_if_absent": f"WITH {_LINES} SELECT endpoint FROM listed",
     "read_posts_roundtrip": f"WITH {_POSTS_RAW} SELECT {_POST_FIELDS}, false AS has_details FROM posts_raw",
-    "write_enriched_roundtrip": f"""WITH {_ENRICHED},
+    **dict.fromkeys(("write_enriched_roundtrip", "large_document_roundtrip"), f"""WITH {_ENRICHED},
 tops AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n FROM kept_lines GROUP BY doc_id)
 SELECT name, body, CASE WHEN has_details THEN coalesce(n, 0) END AS top_comments, has_details
-FROM enriched LEFT JOIN tops USING (doc_id)""",
+FROM enriched LEFT JOIN tops USING (doc_id)"""),
     "write_run_roundtrip": f"""WITH {_HITS}
 SELECT 'run-1' AS run_id, term AS first_term, id, doc_id, CAST(tf AS BIGINT) AS tf, pos,
   (SELECT CAST(count(*) AS BIGINT) FROM owned) AS total_posts FROM owned""",
@@ -394,10 +394,10 @@ SELECT DISTINCT coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw
 WHERE coalesce(nullif(id, ''), permalink, '') <> ''""",
     "stream_health_ledger": _LEDGER_SQL,
     "stream_pool_state": _STATES_OUT,
-    "stream_enrich": f"""WITH {_ENRICHED},
+    **dict.fromkeys(("stream_enrich", "stream_enrich_late"), f"""WITH {_ENRICHED},
 keyed AS (SELECT doc_id, coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw),
 kept AS (
   SELECT doc_id FROM keyed WHERE key = '' UNION ALL
   SELECT doc_id FROM keyed WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id) = 1)
-SELECT doc_id, body, n_comments, has_details FROM enriched JOIN kept USING (doc_id)""",
+SELECT doc_id, body, n_comments, has_details FROM enriched JOIN kept USING (doc_id)"""),
 }

@@ -18,7 +18,8 @@ from postlake.session import shared_folder
 from postlake.sources.readers import page_headers
 from postlake.plans import run
 from postlake.streaming import (
-    drain_to_parquet, history_so_far, stream_endpoint_history, stream_enrich, stream_health_ledger, stream_pool_state,
+    drain_to_parquet, history_so_far, stream_endpoint_history, stream_enrich, stream_enrich_late, stream_health_ledger,
+    stream_pool_state,
 )
 from postlake.streaming import stream_dedup_posts as dedup_stream
 
@@ -356,6 +357,19 @@ def write_enriched_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("name", "body", F.when(F.col("has_details"), top_level).alias("top_comments"), "has_details")
 
 
+def large_document_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched posts written as one document of many files, summary first, and read back by splits."""
+    path = shared_folder(spark, "large-document")
+    normal = posts.normalize_posts(tables.posts_raw(spark, folder), keep=["doc_id"])
+    details = enrichment.latest_details(tables.detail_captures(spark, folder).drop("doc_id"), with_comments=True)
+    enriched = enrichment.enrich_posts(normal, details, with_comments=True)
+    head = {"metadata_json": '{"source":"harvest","queries":[{"posts":[]}]}', "summary_json": '{"note":"}"}'}
+    sources.write_large_document(enriched, path, ["doc_id"], enriched=True, **head)
+    back = sources.read_large_posts(spark, path, whole=True)
+    top_level = F.size(F.try_variant_get("comments", "$", "array<variant>")).cast("bigint")
+    return back.select("name", "body", F.when(F.col("has_details"), top_level).alias("top_comments"), "has_details")
+
+
 def write_run_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Deduplicated posts of a run, written per run and read back."""
     path = shared_folder(spark, "runs")
@@ -432,6 +446,20 @@ def stream_enriched(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "body", "n_comments", "has_details")
 
 
+def stream_enriched_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts in order of time while their details come in the opposite order."""
+    work = shared_folder(spark, "stream-enrich-late")
+    raw = tables.posts_raw(spark, folder).withColumn("at", F.timestamp_seconds("created_utc"))
+    posts_in, _ = _as_stream(raw, "at", f"{work}/posts")
+    read = enrichment.latest_details(tables.detail_captures(spark, folder))
+    read = read.select("permalink", "body", "n_comments", F.timestamp_seconds("doc_id").alias("at"))
+    read.write.parquet(f"{work}/read")
+    read = spark.read.schema(read.schema).parquet(f"{work}/read")
+    details_in, _ = _as_stream(read, "at", f"{work}/details", order=range(_STREAM_SLICES)[::-1])
+    done = stream_enrich_late(posts_in, details_in, work, ("created_utc", "doc_id"))
+    return done.select("doc_id", "body", "n_comments", "has_details")
+
+
 def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Time slices out of order and no delay, so that half of the rows come behind the watermark."""
     work = shared_folder(spark, "stream-late")
@@ -443,6 +471,8 @@ def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "large_document_roundtrip": large_document_roundtrip,
+    "stream_enrich_late": stream_enriched_late,
     "harvest_run_recaptured": harvest_run_recaptured,
     "rejected_pages": rejected_pages,
     "harvest_shared": harvest_shared,

@@ -65,10 +65,10 @@ def read_posts(spark: SparkSession, path: str | list[str], multi_line: bool = Tr
     broken document is an error; :func:`rejected_documents` lists them.
     """
     raw = spark.read.schema(DOCUMENT).options(multiLine=multi_line, mode="FAILFAST").json(path)
-    return _posts_of(raw)
+    return posts_of(raw)
 
 
-def _posts_of(raw: DataFrame) -> DataFrame:
+def posts_of(raw: DataFrame) -> DataFrame:
     """A document row becomes its posts, a bare post row stays one post."""
     fields = [*POST_FIELDS, "body", "comments"]
     listed = F.transform("posts", lambda p: F.struct(*[p[f].alias(f) for f in fields]))
@@ -93,7 +93,7 @@ def posts_of_readable_documents(spark: SparkSession, path: str | list[str], mult
     reader = spark.read.schema(schema).options(multiLine=multi_line, columnNameOfCorruptRecord="document")
     raw = reader.json(path)
     fields = F.to_json(F.struct(*[F.col(c) for c in raw.columns if c != "document"]))
-    return _posts_of(raw.filter((F.length(fields) >= 0) & F.col("document").isNull()).drop("document"))
+    return posts_of(raw.filter((F.length(fields) >= 0) & F.col("document").isNull()).drop("document"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

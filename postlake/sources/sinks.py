@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlake.operators.posts import POST_FIELDS
@@ -27,7 +27,7 @@ def _joined(texts: DataFrame, opening: str, closing: str, rows: int) -> DataFram
     return texts.mapInPandas(joined, "value string")
 
 
-def _brackets(metadata_json: str | None, summary_json: str | None) -> tuple[str, str]:
+def brackets(metadata_json: str | None, summary_json: str | None) -> tuple[str, str]:
     """What goes around the posts: summary first, then metadata; a bare list without either."""
     parts = (("enrichment_summary", summary_json), ("metadata", metadata_json))
     head = "".join(f'"{name}":{text},' for name, text in parts if text)
@@ -54,8 +54,23 @@ def write_documents(
     rows: int = ROWS_PER_DOCUMENT,
 ) -> None:
     """Posts as JSON documents, one per line: ``{summary, metadata, posts}``, or a bare list without either."""
-    texts = posts.select(F.to_json(F.struct(*posts.columns), _KEEP_NULLS).alias("value"))
-    _joined(texts, *_brackets(metadata_json, summary_json), rows).write.mode("overwrite").text(path)
+    texts = posts.select(post_json(posts.columns).alias("value"))
+    _joined(texts, *brackets(metadata_json, summary_json), rows).write.mode("overwrite").text(path)
+
+
+def post_json(fields: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*fields), _KEEP_NULLS)
+
+
+def enriched_json(enriched: DataFrame) -> Column:
+    """The post fields as JSON, with ``body`` and ``comments`` where there are details."""
+    base = F.to_json(F.struct(*POST_FIELDS), _KEEP_NULLS)
+    body = F.to_json(F.struct("body"), _KEEP_NULLS)
+    inside = lambda text: F.substring(text, F.lit(2), F.length(text) - 2)
+    comments = F.coalesce("comments_json", F.lit("[]")) if "comments_json" in enriched.columns else F.lit("[]")
+    details = F.concat(F.lit(","), inside(body), F.lit(',"comments":'), comments)
+    tail = F.when(F.coalesce("has_details", F.lit(False)), details).otherwise("")
+    return F.concat(F.lit("{"), inside(base), tail, F.lit("}"))
 
 
 def write_enriched(
@@ -69,14 +84,8 @@ def write_enriched(
 
     ``comments_json`` (nested text) is written as the ``comments`` array.
     """
-    base = F.to_json(F.struct(*POST_FIELDS), _KEEP_NULLS)
-    body = F.to_json(F.struct("body"), _KEEP_NULLS)
-    inside = lambda text: F.substring(text, F.lit(2), F.length(text) - 2)
-    comments = F.coalesce("comments_json", F.lit("[]")) if "comments_json" in enriched.columns else F.lit("[]")
-    details = F.concat(F.lit(","), inside(body), F.lit(',"comments":'), comments)
-    tail = F.when(F.coalesce("has_details", F.lit(False)), details).otherwise("")
-    texts = enriched.select(F.concat(F.lit("{"), inside(base), tail, F.lit("}")).alias("value"))
-    _joined(texts, *_brackets(metadata_json, summary_json), rows).write.mode("overwrite").text(path)
+    texts = enriched.select(enriched_json(enriched).alias("value"))
+    _joined(texts, *brackets(metadata_json, summary_json), rows).write.mode("overwrite").text(path)
 
 
 def write_endpoints(endpoints: DataFrame, path: str) -> None:

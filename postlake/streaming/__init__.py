@@ -1,5 +1,5 @@
 from postlake.streaming.dedup import stream_dedup, stream_dedup_posts  # noqa: F401
-from postlake.streaming.enrichment import enriched_so_far, stream_enrich  # noqa: F401
+from postlake.streaming.enrichment import enriched_so_far, stream_enrich, stream_enrich_late  # noqa: F401
 from postlake.streaming.health import (  # noqa: F401
     history_so_far,
     stream_endpoint_history,

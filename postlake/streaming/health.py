@@ -103,16 +103,25 @@ def _with_late(history: DataFrame, late: DataFrame) -> DataFrame:
     )
 
 
+def _flagged(frame: DataFrame, history: DataFrame) -> DataFrame:
+    return frame.join(history.select("endpoint", "has_late"), "endpoint")
+
+
 def stream_health_ledger(log: DataFrame, folder: str, delay: timedelta) -> DataFrame:
+    """The ledger with ``has_late``, which flags endpoints whose streaks may not be exact."""
     stream_endpoint_history(log, folder, delay)
-    return ledger_of(history_so_far(log.sparkSession, folder))
+    history = history_so_far(log.sparkSession, folder)
+    return _flagged(ledger_of(history), history)
 
 
 def stream_pool_state(
     log: DataFrame, folder: str, delay: timedelta, as_of: Column | None = None, **rules
 ) -> DataFrame:
-    """States at ``as_of`` (the newest request when not given); ``rules`` as in ``pool_state``."""
+    """States at ``as_of`` (the newest request when not given) with ``has_late``; ``rules`` as in ``pool_state``.
+
+    The state of a flagged endpoint may depend on where its late rows belong.
+    """
     stream_endpoint_history(log, folder, delay)
     history = history_so_far(log.sparkSession, folder)
     moment = history.agg(F.max("last_ts")).scalar() if as_of is None else as_of
-    return states_of(history, moment, **rules)
+    return _flagged(states_of(history, moment, **rules), history)
