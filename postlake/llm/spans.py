@@ -16,7 +16,8 @@ from postlake.llm.common import batch_slices, stored
 #: A sentence ends after its stops or line breaks and the space that follows; sentences add up to the text.
 _SENTENCE = re.compile(rb"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 LEAST_SENTENCES = 2
-LEAST_WORDS = 30
+# Only runs of two words, such as 'Yes. No.', may repeat.
+LEAST_WORDS = 3
 _LAST = (1 << 63) - 1
 
 
