@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from postlake.llm.common import text_slices
 
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 700_000
 _WORDS_AT_ONCE = 20_000
 _BYTES_AT_ONCE = 4 << 20
 # Between an ASCII letter and an ASCII sign or digit, apostrophes aside.
@@ -76,7 +76,7 @@ class WordEncoder:
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids and their number for words that should have one end mark each, or None if they don't."""
-        ids = np.array(self._library.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
+        ids = np.array(self._library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.int32)
         sizes = np.diff(np.flatnonzero(self._ends[ids]), prepend=-1)
         return (ids, sizes) if len(sizes) == len(words) else None
 
@@ -131,7 +131,7 @@ class WordEncoder:
         if b"" not in self._place:  # white space at the ends of a text gives empty words
             self._add([b""], np.empty(0, np.int32), np.zeros(1, np.int64))
         coded = split.flatten().cast(pa.binary()).dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         places = np.fromiter(map(self._place.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(places < 0).tolist()
         if new:
