@@ -68,5 +68,5 @@ def clamp_page_size(size: int) -> int:
 
 
 def words(text: Column) -> Column:
-    """Lower-case words of letters and digits of any script; everything else separates words."""
-    return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
+    """Lower-case words of letters, their marks and digits of any script; everything else separates words."""
+    return F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+")

@@ -25,7 +25,7 @@ _VALUES = ", ".join(f"({i}, '{t}')" for i, t in enumerate(TERMS, 1))
 
 _HITS = f"""terms(q_idx, term) AS (VALUES {_VALUES}),
 tok AS (
-  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word FROM documents),
 found AS (
   SELECT q_idx, term, id, doc_id, count(*) AS tf FROM tok JOIN terms ON word = term GROUP BY ALL),
 uniq AS (
@@ -220,7 +220,7 @@ _LEDGER_SQL = f"WITH {_HEALTH} SELECT {_LEDGER_OUT} FROM ledger"
 _ACCENTS = [("für", 1, "für"), ("la Réeux", 2, "la"), ("la Réeux", 2, "réeux"), ("ñ", 3, "ñ")]
 _ACCENTED_HITS = f"""terms(term, q_idx, w) AS (VALUES {", ".join(map(str, _ACCENTS))}),
 tok AS (
-  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM documents),
+  SELECT doc_id, md5(text) AS id, unnest(string_split_regex(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+')) AS word FROM documents),
 found AS (
   SELECT q_idx, term, id, doc_id, count(*) AS tf FROM tok JOIN terms ON word = w GROUP BY ALL),
 uniq AS (

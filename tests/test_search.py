@@ -129,3 +129,12 @@ def test_first_seen_is_idempotent(spark):
     once = dedupe_first_seen(df, "k", ["pos"])
     assert sorted(map(tuple, once.collect())) == [("a", 2), ("b", 1)]
     assert sorted(map(tuple, dedupe_first_seen(once, "k", ["pos"]).collect())) == [("a", 2), ("b", 1)]
+
+
+def test_marks_belong_to_words(spark):
+    """Vowel signs and accents that are characters of their own do not cut a word."""
+    hindi, accented = "\u0939\u093f\u0928\u094d\u0926\u0940", "cafe\u0301s"
+    rows = [(1, "a", f"x {hindi}, y"), (2, "b", f"{accented}!"), (3, "c", "cafe s \u0939 \u0928")]
+    posts = spark.createDataFrame(rows, "doc_id bigint, id string, text string")
+    hits = search.keyword_search(posts, [hindi, accented, "cafe"], 10).collect()
+    assert sorted((r["query"], r["id"], r["tf"]) for r in hits) == sorted([(hindi, "a", 1), (accented, "b", 1), ("cafe", "c", 1)])
