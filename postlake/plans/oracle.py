@@ -353,6 +353,8 @@ SELECT doc_id, coalesce(id, 'unknown') AS failed_id FROM enriched WHERE {_FAILED
     "merge_sources": f"""WITH {_LINES}
 SELECT endpoint, src_idx, pos FROM norm WHERE endpoint <> ''
 QUALIFY row_number() OVER (PARTITION BY endpoint ORDER BY src_idx, pos) = 1""",
+    "load_sources": f"""WITH {_LINES}
+SELECT endpoint, min(src_idx) AS src_idx, true AS ok FROM norm WHERE endpoint <> '' AND src_idx <> 1 GROUP BY endpoint""",
     "classify_failure": f"""WITH log AS (
   SELECT CAST(400 + 100 * (event_id % 2) + CAST(json_extract_string(props, '$.k') AS INT) AS INT) AS status FROM events)
 SELECT status, {_KIND} AS failure_type, CAST(count(*) AS BIGINT) AS n FROM log GROUP BY status""",

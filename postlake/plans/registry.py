@@ -275,6 +275,16 @@ def merge_sources(spark: SparkSession, folder: str) -> DataFrame:
     return pool.merge_sources([lines.filter(F.col("src_idx") == i) for i in range(3)])
 
 
+def load_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """Endpoints of three list files, the second of which isn't there, by the files that could be read."""
+    path = shared_folder(spark, "sources")
+    lines = tables.endpoint_lines(spark, folder)
+    for i in (0, 2):
+        lines.filter(F.col("src_idx") == i).orderBy("pos").select("line").write.text(f"{path}/{i}")
+    listed, status = sources.load_sources(spark, [f"{path}/{i}" for i in range(3)])
+    return listed.join(status.select("src_idx", "ok"), "src_idx").select("endpoint", "src_idx", "ok")
+
+
 def classify_failure(spark: SparkSession, folder: str) -> DataFrame:
     return health.failure_kinds(tables.failure_log(spark, folder))
 
@@ -471,6 +481,7 @@ def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "load_sources": load_sources,
     "large_document_roundtrip": large_document_roundtrip,
     "stream_enrich_late": stream_enriched_late,
     "harvest_run_recaptured": harvest_run_recaptured,

@@ -1,4 +1,5 @@
 from postlake.sources.large_documents import read_large_posts, write_large_document  # noqa: F401
+from postlake.sources.lists import load_sources  # noqa: F401
 from postlake.sources.readers import (  # noqa: F401
     ingest_search_pages,
     latest_pages,

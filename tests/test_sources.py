@@ -131,3 +131,15 @@ def test_search_pages(spark):
     assert len(row) == 1 and row[0]["after"] == "tok" and row[0]["link"] == "u" and row[0]["permalink"] == ""
     assert row[0]["description"] == ("é😀" * 200)[:269]
     assert {r["page_no"]: r["after_token"] for r in page_headers(pages).collect()} == {0: "tok", 1: None, 2: None}
+
+
+def test_sources_that_fail(spark, tmp_path):
+    """A missing and a corrupt list among three leave the other's endpoints and two reasons."""
+    (tmp_path / "good").write_text(" h1:1 \n\nhttp://h2:2\nh1:1\n")
+    (tmp_path / "bad.gz").write_bytes(b"no zip at all" * 50)
+    paths = [str(tmp_path / name) for name in ("missing", "bad.gz", "good")]
+    listed, status = sources.load_sources(spark, paths)
+    assert sorted(map(tuple, listed.collect())) == [("http://h1:1", 2, 0), ("http://h2:2", 2, 2)]
+    told = {r["src_idx"]: (r["ok"], bool(r["reason"])) for r in status.collect()}
+    assert told == {0: (False, True), 1: (False, True), 2: (True, False)}
+    assert sources.load_sources(spark, paths[:2])[0].count() == 0
