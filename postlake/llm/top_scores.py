@@ -6,9 +6,11 @@ from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from postlake.llm.common import group_bounds, list_matrix, stored, whole_groups
 
@@ -17,34 +19,70 @@ CELL_ROWS = 16384
 QUERY_ROWS = 1024
 _AT_ONCE = 2048
 _EXACT_IN_DOUBLES = float(1 << 53)
+# Sums of products whose sizes add up to less than this fit a long, also when the estimate is rounded.
+_FITS_LONG = float(1 << 62)
+_LOWEST, _HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
 def scaled(embedding: Column, factor: int = 1024) -> Column:
-    """Components as whole numbers ``floor(factor * x)``; null for unusable vectors.
+    """Components as ``floor(factor * x)``, whole numbers of any size held in doubles; null for unusable vectors.
 
-    Those are vectors with null or non-finite components, and with components so large that a score might
-    not fit a long (for 64 dimensions, whole numbers beyond 379 million).
+    Those are vectors with components that are null or, times ``factor``, not finite.
     """
-    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * factor).cast("bigint"))
-    most = F.floor(F.sqrt(F.lit(float((1 << 63) - 1)) / F.size(embedding))) - 1
-    fits = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double") * factor) < most), F.lit(False))
-    return F.when(F.forall(embedding, fits), whole)
+
+    def whole(x: Column) -> Column:
+        # From 2^53 on every double is a whole number, and it need not fit the long that floor() gives.
+        value = x.cast("double") * factor
+        return F.when(F.abs(value) < _EXACT_IN_DOUBLES, F.floor(value).cast("double")).otherwise(value)
+
+    finite = lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double") * factor) < float("inf")), F.lit(False))
+    return F.when(F.forall(embedding, finite), F.transform(embedding, whole))
+
+
+def _wide_product(a: np.ndarray, b: np.ndarray, least: int = _LOWEST) -> int:
+    """Inner product of whole numbers of any size, brought into the range from ``least`` to the highest long."""
+    return min(max(sum(int(x) * int(y) for x, y in zip(a, b, strict=True)), least), _HIGHEST)
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """``a @ b.T`` of whole numbers, by doubles where they are exact, else by 64-bit integers."""
+    """``a @ b.T`` of whole numbers: by doubles where they are exact, else by 64-bit integers where they are.
+
+    Pairs of large vectors whose product may exceed both are computed without bound and brought into the range of
+    longs but the lowest.
+    """
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    most = float(np.abs(a.astype(np.float64)).max()) * float(np.abs(b.astype(np.float64)).max()) * a.shape[1]
-    if most < _EXACT_IN_DOUBLES:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    a, b = a.astype(np.float64), b.astype(np.float64)
+    most_a, most_b = np.abs(a).max(axis=1), np.abs(b).max(axis=1)
+    if most_a.max() * most_b.max() * a.shape[1] < _EXACT_IN_DOUBLES:
+        return (a @ b.T).astype(np.int64)
+    # Components that no long holds are left to the pairs below: theirs are risky but with all-zero vectors.
+    as_long = lambda x: np.where(np.abs(x) < _FITS_LONG, x, 0).astype(np.int64)
+    scores = as_long(a) @ as_long(b).T
+    with np.errstate(over="ignore"):
+        risky = most_a[:, None] * most_b[None] * a.shape[1] >= _FITS_LONG
+    for i, j in zip(*np.nonzero(risky), strict=True):
+        scores[i, j] = _wide_product(a[i], b[j], -_HIGHEST)
+    return scores
+
+
+@F.pandas_udf(LongType())
+def _wide_score(a: pd.Series, b: pd.Series) -> pd.Series:
+    pairs = zip(a, b, strict=True)
+    return pd.Series([None if x is None or y is None else _wide_product(x, y) for x, y in pairs], dtype="Int64")
 
 
 def _score(a: str, b: str) -> Column:
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("bigint"), lambda total, x: total + x
+    """Exact inner product, of large vectors brought into the range of longs."""
+    # At least 1, so that zeros beside them do not let components pass that no long holds.
+    largest = lambda v: F.greatest(F.array_max(F.transform(v, F.abs)), F.lit(1.0))
+    fits = largest(a) * largest(b) * F.size(a) < _FITS_LONG
+    narrow = F.aggregate(
+        F.zip_with(a, b, lambda x, y: x.cast("bigint") * y.cast("bigint")),
+        F.lit(0).cast("bigint"), lambda total, x: total + x,
     )
+    # Only pairs that may not fit are sent to Python.
+    return F.when(fits, narrow).otherwise(_wide_score(F.when(~fits, F.col(a)), F.when(~fits, F.col(b))))
 
 
 def _local(batches: Iterator[pa.RecordBatch], k: int | None) -> Iterator[pa.RecordBatch]:
@@ -58,7 +96,7 @@ def _local(batches: Iterator[pa.RecordBatch], k: int | None) -> Iterator[pa.Reco
             if not len(queries) or not len(rows):
                 continue
             width = len(group.column("values")[0])
-            values = list_matrix(group.column("values"), width, np.int64)
+            values = list_matrix(group.column("values"), width, np.float64)
             uid, vec = group.column("uid").to_numpy(), group.column("vec")
             own = vec.fill_null(-1).to_numpy()
             cut = group.column("cut").to_numpy()[queries]
@@ -97,8 +135,9 @@ def top_scores(
     Third phase: rows that did not come from every slice get their exact score, and the best ``k`` stay.
 
     Queries and rows meet in blocks and cells of bounded size, so no task holds all of either. Vectors
-    that are null or hold null, non-finite or huge components (see :func:`scaled`) take no part, and
-    vectors of other lengths do not meet. Rows with the query's own id are left out; null ids can be found, after all others in
+    that are null or hold null or non-finite components (see :func:`scaled`) take no part, and
+    vectors of other lengths do not meet. Components may be of any size; a score beyond the range of longs counts
+    as the nearest long. Rows with the query's own id are left out; null ids can be found, after all others in
     ties, but do not ask; repeated rows are found as often as they are there; other columns are ignored.
     """
     usable = vectors.select("vec_id", scaled(F.col("embedding"), factor).alias("whole"), queries.alias("asks"))
@@ -142,16 +181,21 @@ def top_scores(
     both = gathered.join(vector, "uid").join(ask, "query")
     looked_up = both.select("query", "uid", "vec_id", _score("asked", "whole").alias("total"))
     safe = looked_up.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == k)
-    lowest = F.lit(-(1 << 63)).cast("bigint")
-    # Division cuts towards zero: whole part scores below the exact share stay below this one.
-    share = F.expr("total div _parts")
+    lowest = F.lit(_LOWEST).cast("bigint")
+    # Division cuts towards zero: whole part scores below the exact share stay below this one. Scores below all
+    # longs tie with the lowest, so all rows may then be among the best.
+    share = F.when(F.col("total") > lowest, F.expr("total div _parts"))
     cuts = everyone.drop("cut").join(safe.select(F.col("query").alias("uid"), "total"), "uid", "left")
     cuts = stored(cuts.select("uid", F.coalesce(share, lowest).alias("cut")), "cut-offs")
-    entries = lists(cuts, None).groupBy("query", "uid").agg(F.sum("score").alias("_seen"), F.count("*").alias("_slices"))
+    # Parts at the end of the range may have been brought into it, and their sum may leave it.
+    sure = F.max(F.abs("score")) < _HIGHEST
+    seen = F.when(sure, F.try_sum("score")).alias("_seen")
+    entries = lists(cuts, None).groupBy("query", "uid").agg(seen, F.count("*").alias("_slices"))
     entries = stored(entries, "entries")
     found = entries.join(vector, "uid").join(ask, "query").select(
         "query", "query_id", "uid", "vec_id",
-        F.when(F.col("_slices") == parts, F.col("_seen")).otherwise(_score("asked", "whole")).alias("total"),
+        F.when((F.col("_slices") == parts) & F.col("_seen").isNotNull(), F.col("_seen"))
+        .otherwise(_score("asked", "whole")).alias("total"),
     )
     best = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", F.col("total").alias("score"))

@@ -97,13 +97,15 @@ def loop_top(rows, k, asks, factor=1024):
     whole = [
         (i, [math.floor(factor * x) for x in v])
         for i, v in rows
-        if v and all(x is not None and math.isfinite(x) and abs(factor * x) < 3.0e9 / len(v) ** 0.5 for x in v)
+        if v and all(x is not None and math.isfinite(x) for x in v)
     ]
     out = []
     for q, v in whole:
         if q is None or not asks(q):
             continue
-        scored = [(-sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in whole if i != q and len(w) == len(v)]
+        in_longs = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+        products = [(sum(x * y for x, y in zip(v, w, strict=True)), i) for i, w in whole if i != q and len(w) == len(v)]
+        scored = [(-in_longs(s), i) for s, i in products]
         scored.sort(key=lambda x: (x[0], x[1] is None, x[1] or 0))
         out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scored[:k], 1)]
     return out
@@ -131,6 +133,21 @@ def test_top_scores_of_awkward_vectors(spark, monkeypatch, slices):
     assert order(tuple(r) for r in got.collect()) == order(loop_top(rows, 4, asks))
 
 
+@pytest.mark.parametrize("size, slices", [(1e6, 2), (1e9, 1), (1e15, 3), (1e20, 2), (1e30, 3)])
+def test_large_components_take_part(spark, monkeypatch, size, slices):
+    """Large vectors among ordinary ones lead and end lists, cancel out, leave the longs on both sides and tie."""
+    monkeypatch.setattr("postlake.llm.top_scores.CELL_ROWS", 20)
+    draw = np.random.default_rng(11)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.standard_normal((60, 4)))]
+    rows += [(60, [size, 0.0, 0.0, 0.0]), (61, [-size, 0.0, 0.0, 1.0]), (62, [size, -size, 1.0, 0.0])]
+    rows += [(63, [size, size, size, -size]), (64, [0.0, 0.0, 0.0, size]), (65, [0.0, 0.0, 0.0, 0.0])]
+    rows += [(70 + i, [-size] * 4) for i in range(6)] + [(80 + i, [size] * 4) for i in range(6)]
+    frame = spark.createDataFrame([(i, v, 1, "n", 0) for i, v in rows], SCHEMA)
+    rows = [(i, [x for x in v]) for i, v in frame.select("vec_id", "embedding").collect()]
+    got = top_scores(frame, F.col("vec_id") % 5 == 0, 8, slices)
+    assert order(tuple(r) for r in got.collect()) == order(loop_top(rows, 8, lambda q: q % 5 == 0))
+
+
 def test_large_products_stay_exact():
     a = np.array([[1 << 31, 3]], np.int64)
     assert inner_products(a, a).tolist() == [[(1 << 62) + 9]]
