@@ -72,17 +72,12 @@ def _wide_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else _wide_product(x, y) for x, y in pairs], dtype="Int64")
 
 
-def _score(a: str, b: str) -> Column:
-    """Exact inner product, of large vectors brought into the range of longs."""
-    # At least 1, so that zeros beside them do not let components pass that no long holds.
-    largest = lambda v: F.greatest(F.array_max(F.transform(v, F.abs)), F.lit(1.0))
-    fits = largest(a) * largest(b) * F.size(a) < _FITS_LONG
-    narrow = F.aggregate(
-        F.zip_with(a, b, lambda x, y: x.cast("bigint") * y.cast("bigint")),
-        F.lit(0).cast("bigint"), lambda total, x: total + x,
-    )
-    # Only pairs that may not fit are sent to Python.
-    return F.when(fits, narrow).otherwise(_wide_score(F.when(~fits, F.col(a)), F.when(~fits, F.col(b))))
+def _score(a: str, b: str, most_a: str, most_b: str) -> Column:
+    """Exact inner product of vectors with their largest components, brought into the range of longs."""
+    fits = F.col(most_a) * F.col(most_b) * F.size(a) < _EXACT_IN_DOUBLES
+    narrow = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    # Only pairs that doubles may not hold are sent to Python.
+    return F.when(fits, narrow.cast("bigint")).otherwise(_wide_score(F.when(~fits, F.col(a)), F.when(~fits, F.col(b))))
 
 
 def _local(batches: Iterator[pa.RecordBatch], k: int | None) -> Iterator[pa.RecordBatch]:
@@ -144,7 +139,11 @@ def top_scores(
     usable = usable.filter(F.col("whole").isNotNull() & (F.size("whole") > 0))
     asks = F.coalesce("asks", F.lit(False)) & F.col("vec_id").isNotNull()
     rows = stored(
-        usable.select("vec_id", "whole", asks.alias("asks"), F.monotonically_increasing_id().alias("uid")), "vectors"
+        usable.select(
+            "vec_id", "whole", F.array_max(F.transform("whole", F.abs)).alias("most"), asks.alias("asks"),
+            F.monotonically_increasing_id().alias("uid"),
+        ),
+        "vectors",
     )
     count, asking = rows.agg(F.count("*"), F.count_if("asks")).first()
     cells, blocks = max(1, ceil(count / CELL_ROWS)), max(1, ceil(asking / QUERY_ROWS))
@@ -171,15 +170,16 @@ def top_scores(
         schema = "query bigint, uid bigint, slice bigint, score bigint"
         return dealt.mapInArrow(lambda batches: _local(batches, best), schema)
 
-    vector = rows.select("uid", "vec_id", "whole")
-    ask = rows.filter("asks").selectExpr("uid AS query", "vec_id AS query_id", "whole AS asked")
+    vector = rows.select("uid", "vec_id", "whole", "most")
+    ask = rows.filter("asks").selectExpr("uid AS query", "vec_id AS query_id", "whole AS asked", "most AS most_asked")
+    score = _score("asked", "whole", "most_asked", "most")
     ranked = Window.partitionBy("query").orderBy(F.desc("total"), F.asc_nulls_last("vec_id"), "uid")
 
     parts = F.least(F.lit(slices), F.size("whole"))
     everyone = rows.filter("asks").select("uid", parts.alias("_parts"), F.lit(0).cast("bigint").alias("cut"))
     gathered = lists(everyone, k).select("query", "uid").distinct()
     both = gathered.join(vector, "uid").join(ask, "query")
-    looked_up = both.select("query", "uid", "vec_id", _score("asked", "whole").alias("total"))
+    looked_up = both.select("query", "uid", "vec_id", score.alias("total"))
     safe = looked_up.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") == k)
     lowest = F.lit(_LOWEST).cast("bigint")
     # Division cuts towards zero: whole part scores below the exact share stay below this one. Scores below all
