@@ -195,7 +195,7 @@ def top_scores(
     found = entries.join(vector, "uid").join(ask, "query").select(
         "query", "query_id", "uid", "vec_id",
         F.when((F.col("_slices") == parts) & F.col("_seen").isNotNull(), F.col("_seen"))
-        .otherwise(_score("asked", "whole")).alias("total"),
+        .otherwise(score).alias("total"),
     )
     best = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", F.col("total").alias("score"))
