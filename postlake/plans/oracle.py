@@ -186,6 +186,25 @@ states AS (
     CASE WHEN NOT dead AND cur_streak > 0 AND ready > now THEN epoch_us(ready) END AS ready_at_us
   FROM state0)"""
 
+_CHANGES = f"""WITH {_HEALTH},
+steps AS (
+  SELECT *, count(*) FILTER (NOT ok) OVER (PARTITION BY endpoint, island ORDER BY ts, event_id) AS streak,
+    bool_or(NOT ok AND {_KIND} = 'dead') OVER (PARTITION BY endpoint ORDER BY ts, event_id) AS final
+  FROM islands),
+told AS (
+  SELECT *, final OR max(streak) OVER w >= 3 AS dead, lag(streak) OVER w AS previous, lead(ts) OVER w AS next
+  FROM steps WINDOW w AS (PARTITION BY endpoint ORDER BY ts, event_id)),
+instants AS (
+  SELECT *, bool_or(streak > 0 OR previous IS NULL OR previous > 0) OVER (PARTITION BY endpoint, ts) AS changed,
+    NOT dead AND streak > 0 AS cooling, ts + to_days(CAST(least(streak, 6) AS INT)) AS ready
+  FROM told QUALIFY next IS NULL OR next > ts),
+changes AS (
+  SELECT endpoint, ts AS moment, CASE WHEN dead THEN 'dead' WHEN cooling THEN 'cooldown' ELSE 'good' END AS state,
+    CAST(streak AS BIGINT) AS failures, CASE WHEN cooling THEN epoch_us(ready) END AS ready_at_us
+  FROM instants WHERE changed
+  UNION ALL SELECT endpoint, ready, 'good', streak, NULL FROM instants WHERE cooling AND (next IS NULL OR next > ready))
+SELECT endpoint, epoch_us(moment) AS at_us, state, failures, ready_at_us FROM changes"""
+
 _LINES = """lines0 AS (
   SELECT event_id AS pos, event_id % 3 AS src_idx,
     CASE WHEN event_id % 17 = 0 THEN '   '
@@ -365,6 +384,9 @@ FROM log GROUP BY endpoint""",
     "failure_streaks": f"WITH {_HEALTH} SELECT endpoint, max_streak, cur_streak FROM streaks",
     "health_ledger": _LEDGER_SQL,
     "pool_state": _STATES_OUT,
+    "state_changes": _CHANGES,
+    "states_replayed": _STATES_OUT,
+    "stream_state_changes": f"{_CHANGES} WHERE moment <= (SELECT max(ts) FROM log)",
     "pool_stats": f"""WITH {_HEALTH}
 SELECT CAST(count(*) FILTER (state = 'good') AS BIGINT) AS good,
   CAST(count(*) FILTER (state = 'cooldown') AS BIGINT) AS cooldown,

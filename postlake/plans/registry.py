@@ -13,6 +13,8 @@ from postlake import sources
 from postlake.functions import normalize_endpoint
 from postlake.operators import enrichment, harvest, health, pool, posts, search
 from postlake.operators.ranking import dedupe_first_seen
+from postlake.operators.state_changes import state_changes as changes_of
+from postlake.operators.state_changes import states_at
 from postlake.plans import tables
 from postlake.session import shared_folder
 from postlake.sources.readers import page_headers
@@ -20,6 +22,7 @@ from postlake.plans import run
 from postlake.streaming import (
     drain_to_parquet, history_so_far, stream_endpoint_history, stream_enrich, stream_enrich_late, stream_health_ledger,
     stream_pool_state,
+    stream_state_changes,
 )
 from postlake.streaming import stream_dedup_posts as dedup_stream
 
@@ -313,6 +316,20 @@ def pool_stats(spark: SparkSession, folder: str) -> DataFrame:
     return health.pool_stats(health.pool_state(tables.request_log(spark, folder), **RULES))
 
 
+def _changes(df: DataFrame) -> DataFrame:
+    return df.select("endpoint", _micros("at"), "state", "failures", _micros("ready_at"))
+
+
+def state_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return _changes(changes_of(tables.request_log(spark, folder), **RULES))
+
+
+def states_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """The states at the end of the log, from the changes up to then."""
+    log = tables.request_log(spark, folder)
+    return _states(states_at(changes_of(log, **RULES), log.agg(F.max("ts")).scalar()))
+
+
 def _good(spark: SparkSession, folder: str) -> DataFrame:
     passed = health.first_n_passing(tables.request_log(spark, folder), CHECKS).filter("ok")
     return dedupe_first_seen(passed.select("endpoint", F.col("event_id").alias("pos")), "endpoint", ["pos"])
@@ -447,6 +464,13 @@ def stream_states(spark: SparkSession, folder: str) -> DataFrame:
     return _states(stream_pool_state(stream, work, width, **RULES))
 
 
+def stream_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Slices in order and no delay, so that the clock stands at the newest request."""
+    work = shared_folder(spark, "stream-changes")
+    stream, _ = _as_stream(tables.request_log(spark, folder), "ts", f"{work}/in")
+    return _changes(stream_state_changes(stream, work, timedelta(0), **RULES))
+
+
 def stream_enriched(spark: SparkSession, folder: str) -> DataFrame:
     work = shared_folder(spark, "stream-enrich")
     _details(spark, folder).select("permalink", "body", "n_comments").write.parquet(f"{work}/details")
@@ -527,6 +551,8 @@ QUERIES: dict[str, Query] = {
     "failure_streaks": failure_streaks,
     "health_ledger": health_ledger,
     "pool_state": pool_state,
+    "state_changes": state_changes,
+    "states_replayed": states_replayed,
     "pool_stats": pool_stats,
     "refresh_pool": refresh_pool,
     "upsert_ledger": upsert_ledger,
@@ -539,5 +565,6 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_posts": stream_dedup_posts,
     "stream_health_ledger": stream_ledger,
     "stream_pool_state": stream_states,
+    "stream_state_changes": stream_changes,
     "stream_enrich": stream_enriched,
 }

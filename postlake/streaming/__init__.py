@@ -5,5 +5,6 @@ from postlake.streaming.health import (  # noqa: F401
     stream_endpoint_history,
     stream_health_ledger,
     stream_pool_state,
+    stream_state_changes,
 )
 from postlake.streaming.running import drain, drain_to_parquet  # noqa: F401

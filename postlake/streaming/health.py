@@ -7,6 +7,9 @@ batch after a failure gives the same tables; the version before those two is rem
 watermark come too late to be placed in a streak. They are kept in a ``late`` table and counted when
 the history is read: numbers that do not depend on order are exact, and so are current streaks unless
 a success came late; endpoints with such rows are flagged.
+
+With rules given, each batch also writes what changed up to its watermark: the watermark is the clock by which
+cool-downs end, so an endpoint recovers in the first batch whose watermark passes that moment, without any request.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import classify_failure
 from postlake.operators.health import combine_segments, endpoint_segments, ledger_of, states_of
+from postlake.operators.state_changes import state_changes
 from postlake.streaming.running import drain, remove
 
 _LOG_FIELDS = ("endpoint", "ts", "event_id", "ok", "status")
@@ -33,8 +37,12 @@ def _with_settled(history: DataFrame | None, rows: DataFrame) -> DataFrame:
     return combine_segments(segments if history is None else history.unionByName(segments))
 
 
-def stream_endpoint_history(log: DataFrame, folder: str, delay: timedelta) -> None:
-    """Fold the request outcomes at hand into the history in ``folder``."""
+def stream_endpoint_history(log: DataFrame, folder: str, delay: timedelta, rules: dict | None = None) -> None:
+    """Fold the request outcomes at hand into the history in ``folder``.
+
+    With ``rules`` (those of ``pool_state``, maybe none of them) each batch writes the changes of states too; a folder
+    has them from its first batch on or never.
+    """
     slack = delay // timedelta(microseconds=1)
 
     def fold(batch: DataFrame, number: int) -> None:
@@ -53,7 +61,12 @@ def stream_endpoint_history(log: DataFrame, folder: str, delay: timedelta) -> No
             waiting = rows.filter(~upto(before))
             if number:
                 waiting = read("pending").unionByName(waiting)
-            write(_with_settled(history, waiting.filter(upto(mark))), "history")
+            settled = waiting.filter(upto(mark))
+            write(_with_settled(history, settled), "history")
+            if rules is not None:
+                moment = lambda micros: F.timestamp_micros(F.lit(micros))
+                known = {"history": history, "after": moment(before)} if number else {}
+                write(state_changes(settled, **rules, upto=moment(mark), **known), "changes")
             write(waiting.filter(~upto(mark)), "pending")
             write(spark.range(1).select(F.lit(mark).cast("bigint").alias("mark")), "mark")
         finally:
@@ -114,6 +127,16 @@ def stream_health_ledger(log: DataFrame, folder: str, delay: timedelta) -> DataF
     return _flagged(ledger_of(history), history)
 
 
+def stream_state_changes(log: DataFrame, folder: str, delay: timedelta, **rules) -> DataFrame:
+    """The changes of states up to the watermark so far; ``rules`` as in ``pool_state``.
+
+    Replayed with ``states_at`` they give ``pool_state`` for any moment up to the watermark, but for rows that
+    came behind it: what they would have changed is not told again.
+    """
+    stream_endpoint_history(log, folder, delay, rules)
+    return log.sparkSession.read.parquet(f"{folder}/changes").drop("batch")
+
+
 def stream_pool_state(
     log: DataFrame, folder: str, delay: timedelta, as_of: Column | None = None, **rules
 ) -> DataFrame:

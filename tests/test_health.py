@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from postlake.functions import classify_failure
 from postlake.operators import health
+from postlake.operators.state_changes import state_changes, states_at
 
 pytestmark = pytest.mark.usefixtures("many_partitions")
 START = datetime(2024, 1, 1)
@@ -105,6 +106,45 @@ def test_states(logged, base, dead_after):
         assert counts[state] == sum(s[0] == state for s in want.values())
 
 
+def loop_changes(rows, base, dead_after):
+    """Endpoint by endpoint and instant by instant, with the end of a cool-down where nothing came before it."""
+    out, logs = [], {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2])):
+        logs.setdefault(r[0], []).append(r)
+    for endpoint, log in logs.items():
+        streak, dead, seen = 0, False, False
+        moments = sorted({r[1] for r in log})
+        for here, after in zip(moments, [*moments[1:], None]):
+            told = not seen
+            for _, _, _, ok, status in (r for r in log if r[1] == here):
+                told |= streak > 0 or not ok
+                streak = 0 if ok else streak + 1
+                dead |= streak >= dead_after or (not ok and KINDS[status] == "dead")
+            seen, ready = True, here + timedelta(seconds=base * min(streak, 6))
+            cooling = not dead and ready > here
+            state = "dead" if dead else "cooldown" if cooling else "good"
+            if told:
+                out.append((endpoint, here, state, streak, ready if cooling else None))
+            if cooling and (after is None or after > ready):
+                out.append((endpoint, ready, "good", streak, None))
+    return out
+
+
+@pytest.mark.parametrize("base, dead_after", [(3, 7), (0, 5), (40, 1000)])
+def test_state_changes(spark, logged, base, dead_after):
+    rows = logged[0]
+    rows = [*rows, (None, START, -1, False, 500), ("hot", None, -2, False, 404)]
+    log = spark.createDataFrame(rows, LOG)
+    changes = state_changes(log, base, dead_after=dead_after, time_slice=timedelta(seconds=50)).cache()
+    order = lambda found: sorted(found, key=lambda r: (r[0], r[1]))
+    want = loop_changes([r for r in rows if r[0] and r[1]], base, dead_after)
+    assert order(map(tuple, changes.collect())) == order(want)
+    for seconds in (0, 1, 99, 100, 431, 745, 900, 5000):
+        as_of = F.lit(START + timedelta(seconds=seconds))
+        states = health.pool_state(log.filter("endpoint IS NOT NULL"), as_of, base, dead_after=dead_after)
+        assert sorted(map(tuple, states_at(changes, as_of).collect())) == sorted(map(tuple, states.collect()))
+
+
 def test_combining_is_associative(logged):
     _, log = logged
     segments = health.endpoint_segments(log).cache()

@@ -6,6 +6,7 @@ import pytest
 from test_health import LOG, START, request_log
 
 from postlake.operators import enrichment, health
+from postlake.operators.state_changes import state_changes
 from postlake.streaming import (
     drain_to_parquet,
     history_so_far,
@@ -15,6 +16,7 @@ from postlake.streaming import (
     stream_enrich_late,
     stream_health_ledger,
     stream_pool_state,
+    stream_state_changes,
 )
 
 pytestmark = pytest.mark.usefixtures("many_partitions")
@@ -58,6 +60,24 @@ def test_health_over_restarts(spark, tmp_path, slices):
     assert 0 < last.filter("batch = 3").count() < 800
 
 
+@pytest.mark.parametrize("base", [7, 200])
+def test_changes_by_the_clock(spark, tmp_path, slices, base):
+    """Over restarts, the changes are those of the batch run up to the watermark, recoveries without requests too."""
+    inbox, work, delay = str(tmp_path / "in"), str(tmp_path / "work"), timedelta(seconds=90)
+    rules = {"cooldown_base": base, "dead_after": 4}
+    rows = []
+    for i, part in enumerate([*slices, [("late clock", START + timedelta(hours=2), 10_000, True, 200)]]):
+        feed(spark, inbox, part, LOG)
+        rows += part
+        if i != 1:  # the second and third file come in two micro-batches of one start
+            changes = stream_state_changes(source(spark, inbox, LOG), work, delay, **rules)
+            mark = max(r[1] for r in rows) - delay
+            want = state_changes(spark.createDataFrame(rows, LOG), **rules)
+            assert same(changes, want.filter(want["at"] <= mark))
+    assert changes.filter("at > timestamp'2024-01-01 00:03:20' AND state = 'good' AND failures > 0").count() > 0
+    assert spark.read.parquet(f"{work}/late").count() == 0
+
+
 def test_late_rows_are_set_aside(spark, tmp_path):
     inbox, work = str(tmp_path / "in"), str(tmp_path / "work")
     feed(spark, inbox, [("a", START + timedelta(hours=1), 1, True, 200)], LOG)
