@@ -28,9 +28,8 @@ def fisher_yates(rows: int, seed: int, bucket: int) -> np.ndarray:
 
 
 def _bucket(buckets: int, seed: int) -> Column:
-    """Uniform over the rows: ids are hashed, and the text where there is no id."""
-    named = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))
-    return F.pmod(F.xxhash64(F.lit(seed), named), F.lit(buckets))
+    """Uniform over the distinct pairs of id and text, so that an id that is repeated with many texts scatters."""
+    return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(buckets))
 
 
 def write_shards(
@@ -39,11 +38,12 @@ def write_shards(
     """All rows of ``docs``, whole and shuffled, in folders ``shard=0`` to ``shard=<shards - 1>``.
 
     A file row is ``(slot, row)`` with ``row`` the struct of the document's columns, so no name clashes.
-    First pass: rows scatter into buckets of some ``bucket_bytes`` by a seeded hash of the id. Second
+    First pass: rows scatter into buckets of some ``bucket_bytes`` by a seeded hash of id and text. Second
     pass: each bucket is put in a canonical order, shuffled by Fisher-Yates with a seed of its own, and
     written. Buckets follow each other, and shard ``s`` takes the rows from ``s * n / shards`` on, so
     counts differ by one at most (law ``rows``); slots are gapless from 0. The same seed and rows give
-    the same shards. Rows without an id scatter by their text. Null and empty texts take part, equal
+    the same shards. Rows without an id, or with one that many rows share, scatter by their text; rows equal in
+    both meet in one bucket. Null and empty texts take part, equal
     texts and repeated rows are rows like others, and an empty table writes no rows.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from postlake.llm.packing import Capacity, best_fit, pack, sequences
 from postlake.llm.queries import QUERIES, WORD_TOKENIZER
-from postlake.llm.sharding import fisher_yates, sharded
+from postlake.llm.sharding import _bucket, fisher_yates, sharded
 from postlake.llm.token_files import read_tokens, write_tokens
 from postlake.llm.tokens import WordEncoder, vocabulary
 from postlake.session import shared_folder
@@ -120,6 +120,17 @@ def test_sharding_query(spark):
     assert {(r.doc_id, r.size, r.text_crc32, r.law, r.grown_shard) for r in rows} == want
 
 
+def test_a_repeated_id_scatters(spark):
+    """Rows of one id, or of none, with texts of their own spread over all buckets."""
+    rows = [(7 if i % 3 else None, f"text {i} " + "x" * 90) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = docs.groupBy(_bucket(30, 42).alias("bucket")).count().collect()
+    assert len(found) == 30 and max(r["count"] for r in found) < 60
+    out = sharded(docs, 4, bucket_bytes=2000).collect()
+    check_shards([(r.shard, r.slot) for r in out], 4, len(rows))
+    assert sorted(map(str, ((r.row.doc_id, r.row.text) for r in out))) == sorted(map(str, rows))
+
+
 def test_shards_keep_rows_and_repeat(spark):
     rows = [*AWKWARD, *[(1000 + i, "same", i) for i in range(500)]]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, slot bigint")
