@@ -418,6 +418,8 @@ SELECT DISTINCT coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw
 WHERE coalesce(nullif(id, ''), permalink, '') <> ''""",
     "stream_health_ledger": _LEDGER_SQL,
     "stream_pool_state": _STATES_OUT,
+    "stream_kept_ledger": _LEDGER_SQL,
+    "stream_kept_states": _STATES_OUT,
     **dict.fromkeys(("stream_enrich", "stream_enrich_late"), f"""WITH {_ENRICHED},
 keyed AS (SELECT doc_id, coalesce(nullif(id, ''), permalink, '') AS key FROM posts_raw),
 kept AS (

@@ -21,7 +21,7 @@ from postlake.sources.readers import page_headers
 from postlake.plans import run
 from postlake.streaming import (
     drain_to_parquet, history_so_far, stream_endpoint_history, stream_enrich, stream_enrich_late, stream_health_ledger,
-    stream_pool_state,
+    stream_kept_ledger, stream_kept_states, stream_pool_state,
     stream_state_changes,
 )
 from postlake.streaming import stream_dedup_posts as dedup_stream
@@ -494,6 +494,25 @@ def stream_enriched_late(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "body", "n_comments", "has_details")
 
 
+def _arriving(spark: SparkSession, folder: str, work: str) -> DataFrame:
+    """The request log as a stream in which every third request comes up to three days late, by its id."""
+    log = tables.request_log(spark, folder)
+    seconds = F.when(F.col("event_id") % 3 == 0, F.pmod(F.xxhash64("event_id"), F.lit(3 * 86_400))).otherwise(0)
+    stream, _ = _as_stream(log.withColumn("at", F.timestamp_add("SECOND", seconds, F.col("ts"))), "at", f"{work}/in")
+    return stream
+
+
+def kept_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger kept in place, exact though a third of the requests comes late."""
+    work = shared_folder(spark, "kept-ledger")
+    return _ledger(stream_kept_ledger(_arriving(spark, folder, work), work))
+
+
+def kept_states(spark: SparkSession, folder: str) -> DataFrame:
+    work = shared_folder(spark, "kept-states")
+    return _states(stream_kept_states(_arriving(spark, folder, work), work, **RULES))
+
+
 def stream_late_ledger(spark: SparkSession, folder: str) -> DataFrame:
     """Time slices out of order and no delay, so that half of the rows come behind the watermark."""
     work = shared_folder(spark, "stream-late")
@@ -565,6 +584,8 @@ QUERIES: dict[str, Query] = {
     "stream_dedup_posts": stream_dedup_posts,
     "stream_health_ledger": stream_ledger,
     "stream_pool_state": stream_states,
+    "stream_kept_ledger": kept_ledger,
+    "stream_kept_states": kept_states,
     "stream_state_changes": stream_changes,
     "stream_enrich": stream_enriched,
 }

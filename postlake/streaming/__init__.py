@@ -7,4 +7,5 @@ from postlake.streaming.health import (  # noqa: F401
     stream_pool_state,
     stream_state_changes,
 )
+from postlake.streaming.ledger import kept_history, stream_kept_ledger, stream_kept_states, update_ledger  # noqa: F401
 from postlake.streaming.running import drain, drain_to_parquet  # noqa: F401
