@@ -111,12 +111,14 @@ def _with_state(pieces: DataFrame) -> DataFrame:
     in_split = Window.partitionBy(*_SPLIT).orderBy("nr")
     before = in_split.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
-    sizes = pieces.groupBy("file").agg(
-        (F.sum(F.col("n_bytes") + 1) > F.max("file_bytes")).alias("_open_end"), F.max(F.struct("block", "nr")).alias("_last")
+    # One row per split goes to its pieces, on the key that they are shuffled by anyway: a file or a document may be the whole input.
+    sizes = pieces.groupBy(*_SPLIT).agg(
+        F.sum(F.col("n_bytes") + 1).alias("_bytes"), F.max("file_bytes").alias("_size"), F.max("nr").alias("_last")
     )
-    known = pieces.join(sizes, "file")
-    at_end = (F.col("block") == F.col("_last.block")) & (F.col("nr") == F.col("_last.nr"))
-    known = known.withColumn("closed", ~(at_end & F.col("_open_end"))).drop("_open_end", "_last")
+    of_file = Window.partitionBy("file")
+    open_end = (F.col("block") == F.max("block").over(of_file)) & (F.sum("_bytes").over(of_file) > F.max("_size").over(of_file))
+    known = pieces.join(sizes.select(*_SPLIT, F.when(open_end, F.col("_last")).alias("_open")).hint("merge"), _SPLIT)
+    known = known.withColumn("closed", ~F.col("nr").eqNullSafe(F.col("_open"))).drop("_open")
     known = known.withColumn("_odd", F.coalesce(F.sum("quotes").over(before), zero) % 2)
 
     def run(first: int) -> Column:
@@ -136,7 +138,7 @@ def _with_state(pieces: DataFrame) -> DataFrame:
     splits = splits.withColumn("_starts", F.coalesce(F.sum("_quotes").over(over), zero) % 2)
     own = F.when(F.col("_starts") == 0, F.col("_run0")).otherwise(F.col("_run1"))
     splits = splits.withColumn("_base", F.coalesce(F.sum(own).over(over), zero)).select(*_SPLIT, "_starts", "_base")
-    joined = known.join(splits, _SPLIT)
+    joined = known.join(splits.hint("merge"), _SPLIT)
     pick = lambda name: F.when(F.col("_starts") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1"))
     joined = joined.withColumn("inside", (F.col("_odd") + F.col("_starts")) % 2 == 1)
     effect = F.when(F.col("inside"), F.col("within")).otherwise(F.col("out"))
@@ -152,7 +154,7 @@ def _post_texts(spark: SparkSession, path: str | list[str], whole: bool) -> Data
     """``(doc, text)`` of every post of the documents at ``path``."""
     pieces = _stored(_with_state(_pieces(spark, path, whole)), "document-states")
     place = F.struct("file", "block", "nr")
-    first = F.min_by(F.ltrim(F.regexp_replace("text", r"^[\s\x{feff}]+", "")), place).alias("_first")
+    first = F.min_by(F.substring(F.ltrim(F.regexp_replace("text", r"^[\s\x{feff}]+", "")), 1, 1), place).alias("_first")
     opened = F.when(
         F.contains("text", F.lit('"posts"')) & (F.col("least") <= 1) & ~F.coalesce(F.col("depth") > 2, F.lit(False)),
         _opened_at(F.col("text"), F.col("inside"), F.col("depth")),
@@ -161,12 +163,13 @@ def _post_texts(spark: SparkSession, path: str | list[str], whole: bool) -> Data
     docs = marked.groupBy("doc").agg(
         first, F.min(F.when(F.col("_open").isNotNull(), place)).alias("_from"), F.max_by("after", place).alias("_final"),
     )
-    listed = F.substring("_first", 1, 1) == "["
+    listed = F.col("_first") == "["
     docs = docs.select("doc", "_from", "_final", F.when(listed, 1).otherwise(2).alias("_level"))
-    known = marked.join(docs, "doc")
+    splits = pieces.select(*_SPLIT).distinct().join(docs, "doc")
     later = F.col("_from").isNotNull() & (place > F.col("_from"))
-    ends = known.filter((F.col("_level") == 2) & later & (F.col("least") <= 1)).groupBy("doc").agg(F.min(place).alias("_until"))
-    known = known.join(ends, "doc", "left")
+    low = pieces.filter(F.col("least") <= 1).join(splits, _SPLIT).filter((F.col("_level") == 2) & later)
+    splits = splits.join(low.groupBy("doc").agg(F.min(place).alias("_until")), "doc", "left")
+    known = marked.join(splits.hint("merge"), _SPLIT)
     broken = F.raise_error(F.concat(F.lit("not a whole JSON document: "), F.col("doc")))
     held = F.when(F.col("_final") != 0, broken).otherwise(
         (F.col("_level") == 1) | (F.coalesce(place >= F.col("_from"), F.lit(False)) & F.coalesce(place < F.col("_until"), F.lit(True)))
@@ -180,7 +183,7 @@ def _post_texts(spark: SparkSession, path: str | list[str], whole: bool) -> Data
     over = Window.partitionBy("doc").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     splits = counted.groupBy(*_SPLIT).agg(F.sum("_done").alias("_sum"))
     splits = splits.select(*_SPLIT, F.coalesce(F.sum("_sum").over(over), F.lit(0)).alias("_offset"))
-    named = counted.join(splits, _SPLIT).withColumn("post", F.col("_offset") + F.col("_earlier"))
+    named = counted.join(splits.hint("merge"), _SPLIT).withColumn("post", F.col("_offset") + F.col("_earlier"))
     text = F.when(place == F.col("_from"), F.expr("substring(text, CAST(_open AS INT) + 1)")).otherwise(F.col("text"))
     own = F.struct(*_PLACE, F.concat(text, F.when(F.col("closed"), "}").otherwise("")).alias("text"), "_done")
     whole_posts = named.groupBy("doc", "post").agg(F.array_sort(F.collect_list(own)).alias("_pieces"))

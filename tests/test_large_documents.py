@@ -2,13 +2,14 @@
 
 import json
 import random
+import re
 from pathlib import Path
 
 import pytest
 from test_sources import post
 
 from postlake import sources
-from postlake.sources.large_documents import read_large_posts, write_large_document
+from postlake.sources.large_documents import _pieces, _post_texts, _with_state, read_large_posts, write_large_document
 
 
 @pytest.fixture
@@ -105,3 +106,22 @@ def test_one_document_from_many_files(spark, splits, tmp_path, many_partitions,
     assert {r["title"] for r in back.collect()} == {r["title"] for r in rows}
     write_large_document(posts, out, ["score"])
     assert json.loads("".join(p.read_text() for p in sorted(Path(out).glob("part-*")))) == document["posts"]
+
+
+def test_no_task_gets_a_whole_document(spark, tmp_path, capsys):
+    """Text is shuffled to its split or its post, never by file or document only, which may be the whole input."""
+    for i in range(3):
+        (tmp_path / f"{i}.json").write_text(json.dumps([post(i)]))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = [_with_state(_pieces(spark, str(tmp_path), False)), _post_texts(spark, str(tmp_path), False)]
+        capsys.readouterr()
+        for frame in frames:
+            frame.explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = re.findall(r"Exchange *\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\((.*?), \d+\)", capsys.readouterr().out)
+    keys = [re.findall(r"(\w+)#", by) for columns, by in found if re.search(r"\b(text|_pieces)#|collect_list", columns) or "buf#" in columns]
+    assert ["doc", "file", "block"] in keys
+    assert all(by not in (["doc"], ["file"]) for by in keys)
