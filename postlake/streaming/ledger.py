@@ -38,6 +38,8 @@ _FIELDS = [f.split()[0] for f in _OUTCOME.split(", ")]
 _VALUES = [f.split()[0] for f in _SEGMENT.split(", ")]
 # The row of a version that stands for the whole table.
 _WHOLE = -1
+# Rows of a cached partition; there are no fewer partitions than cores.
+_ROWS = 100_000
 
 
 def _micros(time_slice: timedelta) -> int:
@@ -48,6 +50,14 @@ def _segments(rows: DataFrame, time_slice: timedelta) -> DataFrame:
     return endpoint_segments(rows, time_slice).withColumn("seq", F.coalesce("seq", F.lit(UNDATED)))
 
 
+def _cached(frame: DataFrame, rows: int) -> DataFrame:
+    """``frame`` cached in as many partitions as its batch of ``rows`` needs.
+
+    A cached shuffle keeps all its partitions, however small, and every later shuffle has a file for each pair.
+    """
+    return frame.coalesce(max(frame.sparkSession.sparkContext.defaultParallelism, -(-rows // _ROWS))).persist()
+
+
 def _with_bucket(segments: DataFrame, buckets: int) -> DataFrame:
     return segments.withColumn("bucket", F.pmod(F.hash("endpoint"), F.lit(buckets)))
 
@@ -137,7 +147,8 @@ def update_ledger(
     if before and (before[_WHOLE]["buckets"], before[_WHOLE]["slice_micros"]) != settings:
         raise ValueError(f"{folder} has other buckets or time slices")
     rows = batch.select(*[F.col(f).cast(t) for f, t in (c.split() for c in _OUTCOME.split(", "))]).persist()
-    fresh = _with_bucket(_segments(rows, time_slice), buckets).persist()
+    n_rows = rows.count()
+    fresh = _cached(_with_bucket(_segments(rows, time_slice), buckets), n_rows)
     placed = None
     try:
         _keep(rows, folder, number, time_slice)
@@ -145,9 +156,11 @@ def update_ledger(
         touched = sorted(r["bucket"] for r in found)
         full = [b for b in touched if b in before and len(before[b]["live"]) >= deltas]
         if touched:
+            changed = fresh
+        if any(b in before for b in touched):
             low, high = min(r["low"] for r in found), max(r["high"] for r in found)
             old = _latest(_stored(spark, folder, before, touched).filter(F.col("seq").between(low, high)))
-            placed = fresh.alias("new").join(old.alias("old"), _same_key("new", "old"), "left").persist()
+            placed = _cached(fresh.alias("new").join(old.alias("old"), _same_key("new", "old"), "left"), n_rows)
             in_order = F.col("old.n").isNull() | F.coalesce(F.col("new.first_ts") > F.col("old.last_ts"), F.lit(False))
             changed = placed.filter(in_order).select(*_appended())
             again = _reopened(rows, placed.filter(~in_order).select("new.endpoint", "new.seq"), folder, number, time_slice)
@@ -156,6 +169,7 @@ def update_ledger(
             if full:
                 marked = changed.withColumn("batch", F.lit(number).cast("bigint"))
                 changed = _latest(_stored(spark, folder, before, full).unionByName(marked))
+        if touched:
             (
                 changed.select(*_VALUES, "bucket").repartition("bucket").sortWithinPartitions("bucket", "endpoint", "seq")
                 .write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/segments/batch={number}")
@@ -177,13 +191,18 @@ def update_ledger(
         remove(spark, f"{folder}/versions/batch={number - 2}")
 
 
-def kept_history(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame:
-    """One segment per endpoint as of batch ``number``, the last one when not given."""
+def _deltas(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame:
+    """All deltas that count as of batch ``number``, the last one when not given."""
     if number is None:
         versions = spark.read.schema(f"{_VERSION}, batch bigint").parquet(f"{folder}/versions")
         number = versions.agg(F.max("batch")).first()[0]
     version = _version(spark, folder, number)
-    return combine_segments(_latest(_stored(spark, folder, version, list(version))).drop("bucket"))
+    return _stored(spark, folder, version, list(version))
+
+
+def kept_history(spark: SparkSession, folder: str, number: int | None = None) -> DataFrame:
+    """One segment per endpoint as of batch ``number``, the last one when not given."""
+    return combine_segments(_latest(_deltas(spark, folder, number)).drop("bucket"))
 
 
 def stream_kept_ledger(log: DataFrame, folder: str, **layout) -> DataFrame:
@@ -195,6 +214,7 @@ def stream_kept_ledger(log: DataFrame, folder: str, **layout) -> DataFrame:
 def stream_kept_states(log: DataFrame, folder: str, as_of: Column | None = None, layout: dict | None = None, **rules) -> DataFrame:
     """States at ``as_of`` (the newest request when not given); ``rules`` as in ``pool_state``."""
     drain(log, lambda batch, number: update_ledger(batch, folder, number, **(layout or {})), folder)
-    history = kept_history(log.sparkSession, folder)
-    moment = history.agg(F.max("last_ts")).scalar() if as_of is None else as_of
-    return states_of(history, moment, **rules)
+    deltas = _deltas(log.sparkSession, folder)
+    # A segment only grows, so deltas that later ones replace hold no later time.
+    moment = deltas.agg(F.max("last_ts")).scalar() if as_of is None else as_of
+    return states_of(combine_segments(_latest(deltas).drop("bucket")), moment, **rules)

@@ -144,3 +144,25 @@ def test_streams_over_restarts(spark, tmp_path):
             assert same(stream_kept_ledger(source(spark, inbox, LOG), work, **LAYOUT), health.health_ledger(log))
     states = stream_kept_states(source(spark, inbox, LOG), work, layout=LAYOUT, **rules)
     assert same(states, health.pool_state(spark.createDataFrame(rows, LOG), **rules))
+
+
+def test_small_batches_take_few_tasks(spark, tmp_path):
+    """A batch of few rows runs few tasks, however many partitions a shuffle has."""
+    folder, rows = str(tmp_path), sorted(request_log(13, 300), key=lambda r: r[1])
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "64")
+    spark.conf.set(names[1], "true")
+    try:
+        for number in range(2):
+            context.setJobGroup(f"batch-{number}", "fold")
+            update_ledger(spark.createDataFrame(rows[number * 150 : (number + 1) * 150], LOG), folder, number, **LAYOUT)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in zip(names, before, strict=True):
+            spark.conf.set(name, value)
+    stages = {i for job in tracker.getJobIdsForGroup("batch-1") for i in tracker.getJobInfo(job).stageIds}
+    sizes = [i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i is not None]
+    assert sizes and max(sizes) < 64
+    assert agrees(spark, folder, rows)
