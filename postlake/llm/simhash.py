@@ -9,7 +9,7 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlake.llm.common import (
@@ -260,19 +260,18 @@ def without_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3) ->
 
     It is the row with the smallest ``doc_id``, one with an id if there is any, and of rows that share it the
     one whose text has the smallest hash. Rows are told apart by id and text, so rows with the same id
-    and other texts stand for themselves. Only what goes is looked up in ``docs``: of repeated rows, which
-    are known from counts, one stays, whichever columns differ besides.
+    and other texts stand for themselves. Of repeated rows one stays, whichever columns differ besides. They are
+    cut to one in each input partition first; then ``docs`` is shuffled once, whatever the number of rows that go.
     """
     key = digest_of([F.col("doc_id"), F.col("text")])
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", key.alias("key"))
     found = near_duplicates(docs.select(place.alias("doc_id"), "text"), words, radius)
-    gone = F.col("doc_id") != F.col("component_id")
-    counted = found.groupBy(F.col("doc_id.key").alias("_key")).agg(F.max(gone).alias("_gone"), F.count("*").alias("_rows"))
-    changed = stored(counted.filter("_gone OR _rows > 1").select("_key", "_gone"), "copies")
+    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.key").alias("_key"))
+    gone = stored(gone.distinct(), "copies")
     keyed = docs.select(F.struct("*").alias("row"), key.alias("_key"))
-    plain = keyed.join(changed, "_key", "left_anti").select("row.*")
-    repeated = keyed.join(changed.filter("NOT _gone").select("_key"), "_key")
-    return plain.unionByName(repeated.groupBy("_key").agg(F.first("row").alias("row")).select("row.*"))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    single = keyed.withColumn("_nth", nth).filter("_nth = 1")
+    return single.join(gone.hint("merge"), "_key", "left_anti").select("row.*")
 
 
 def hexadecimal(fingerprint: Column) -> Column:

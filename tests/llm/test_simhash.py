@@ -149,3 +149,19 @@ def test_groups_of_the_tables(spark):
     rows = docs.select("doc_id", "text").collect()
     want = set(loop_components([r.doc_id for r in rows], [loop_fingerprint(r.text) for r in rows]))
     assert sorted(r.doc_id for r in without_near_duplicates(docs).collect()) == sorted(want)
+
+
+def test_texts_are_shuffled_once(spark, capsys):
+    """The rows that stay are found with one shuffle of the texts, whichever size Spark expects of those that go."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in ("-1", before):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            found = without_near_duplicates(docs)
+            capsys.readouterr()
+            found.explain("formatted")
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        shuffled = re.findall(r"Exchange *\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+        assert sum("row#" in columns for columns in shuffled) == 1
