@@ -91,7 +91,7 @@ def stream_enrich_late(
         if number:
             fresh = fresh.join(earlier(tried).select("_post_key"), "_post_key", "left_anti")
             new = new.join(earlier(known).select("permalink"), "permalink", "left_anti")
-        new.write.mode("overwrite").parquet(f"{known}/batch={number}")
+        new.write.mode("overwrite").option("compression", "zstd").parquet(f"{known}/batch={number}")
         new = spark.read.schema(new.schema).parquet(f"{known}/batch={number}")
         every = new.unionByName(earlier(known).select(*new.columns)) if number else new
         done = enrich_posts(fresh.unionByName(keyed.filter("_post_key = ''")), every)
@@ -100,7 +100,7 @@ def stream_enrich_late(
             again = enrich_posts(waiting.select(*keyed.columns), new)
             done = done.unionByName(again)
         waits = present(F.col("permalink")) & ~F.col("has_details")
-        done.withColumn("waits", waits).write.mode("overwrite").parquet(f"{tried}/batch={number}")
+        done.withColumn("waits", waits).write.mode("overwrite").option("compression", "zstd").parquet(f"{tried}/batch={number}")
 
     drain(both, fold, folder)
     every = posts.sparkSession.read.parquet(tried)
