@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +25,17 @@ _LITERAL = f"<{_SPACE}>"
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _OTHERS = rf"(?![^\x00-\x7f{_LETTERS}])"
 _CHUNK = re.compile(rf"\n| *[{_LETTERS}]++{_OTHERS}| *[\x00-\x09\x0b-\x1f!-@\[-`{{-\x7f]++{_OTHERS}| *[^ \n]+| +")
-_NODES_KEPT = 400_000
-_AT_ONCE = 1 << 16
+_AT_ONCE = 1 << 21
 _LONG = 48
-_TRACED = 24
 _NEVER = 1 << 60
+# The agendas of chunks of like sizes run together, up to a number; those of a few, or of longer chunks, one by one.
+_SIZES = (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 13, 15, 18, 22, 27, 34, 41, 49, 58, 69, 82, 97, 113, 129)
+_COLUMNS = 1 << 14
+_FEW = 48
+# An entry of their agendas is a rank and, in its lowest bits, a place.
+_BITS = 7
+_ABSENT = (1 << 31) - 1
+_GONE = -1
 _SLOTS = 1 << 16
 _FULL = (1 << 64) - 1
 # Odd multipliers that spread ranks, places and documents.
@@ -80,53 +86,41 @@ class _AllDraws:
         return (self[key] for key in range(4))
 
 
-class _Trace:
-    """Skips chosen candidates and records all that come up."""
-
-    def __init__(self, skipped: frozenset[int]) -> None:
-        self._skipped, self._asked, self.codes = skipped, {}, []
-
-    def __getitem__(self, slot: int) -> bool:
-        again = self._asked[slot] = self._asked.get(slot, -1) + 1
-        code = slot + again * _SLOTS
-        self.codes.append(code)
-        return code in self._skipped
-
-
-class _Lists:
-    """Short integer lists, one behind the other."""
-
-    def __init__(self, kind: type) -> None:
-        self._flat, self._used, self._count = np.empty(1 << 12, kind), 0, 0
-        self._starts, self._sizes = np.empty(1 << 10, np.int64), np.empty(1 << 10, np.int64)
-
-    def append(self, values: list[int] | tuple[int, ...]) -> None:
-        end = self._used + len(values)
-        if end > len(self._flat):
-            self._flat = np.concatenate([self._flat, np.empty(max(end, len(self._flat)), self._flat.dtype)])
-        if self._count == len(self._starts):
-            self._starts, self._sizes = (np.concatenate([x, np.empty_like(x)]) for x in (self._starts, self._sizes))
-        self._flat[self._used : end] = values
-        self._starts[self._count], self._sizes[self._count] = self._used, len(values)
-        self._used, self._count = end, self._count + 1
-
-    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The values of the lists ``which``, one behind the other, their sizes, and where each list begins."""
-        sizes = self._sizes[which]
-        begins = np.cumsum(sizes) - sizes
-        at = np.arange(int(sizes.sum())) + np.repeat(self._starts[which] - begins, sizes)
-        return self._flat[at], sizes, begins
-
-
-class _Made(dict):
-    """A dict that makes what it lacks."""
-
-    def __init__(self, make) -> None:
-        self._make = make
-
-    def __missing__(self, key):
-        value = self[key] = self._make(key)
-        return value
+class _Pairs:
+    """The ranks of adjacent symbols that make a piece, as agenda entries for place 0, by open addressing."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int]) -> None:
+        bits = (4 * len(pairs)).bit_length()
+        self._shift, self._last = np.uint64(64 - bits), (1 << bits) - 1
+        self._keys, self._ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, _ABSENT, np.int32)
+        both = np.array([*pairs], np.int64).reshape(-1, 2)
+        keys, ranks = both[:, 0] << 32 | both[:, 1], np.fromiter(pairs.values(), np.int32, len(pairs)) << _BITS
+        slots = self._slots(keys)
+        while len(keys):
+            free = self._keys[slots] < 0
+            self._keys[slots[free]] = keys[free]
+            placed = self._keys[slots] == keys
+            self._ranks[slots[placed]] = ranks[placed]
+            keys, ranks, slots = keys[~placed], ranks[~placed], (slots[~placed] + 1) & self._last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(_STEP)) >> self._shift).view(np.int64)
+
+    def entries(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The entry of each pair; ``_ABSENT`` if it makes no piece."""
+        keys = left.astype(np.int64) << 32 | right
+        slots = self._slots(keys)
+        found = self._keys[slots]
+        out = self._ranks[slots]
+        which = np.flatnonzero((found != keys) & (found >= 0))
+        slots = slots[which]
+        while len(which):
+            slots = (slots + 1) & self._last
+            found = self._keys[slots]
+            out[which] = self._ranks[slots]
+            on = (found != keys[which]) & (found >= 0)
+            which, slots = which[on], slots[on]
+        return out
 
 
 class PieceCodec:
@@ -137,11 +131,8 @@ class PieceCodec:
     in the chunk says so, and stays out unless a neighbour changes. Without it the ids are those of the
     sentencepiece library.
 
-    What a chunk becomes depends on the candidates that are skipped only. Each chunk is a tree: its root
-    has the candidates that come up when none is skipped, and their ids; skipping the k-th of them leads
-    to a child with the candidates that come up after that. Occurrences walk down the trees together, each
-    with its own draws, so the agenda runs once per set of skips and not per occurrence. Chunks of many
-    signs, in which some candidate is nearly always skipped, run the agenda each time.
+    Every occurrence of a chunk runs its agenda with draws of its own. Those of like sizes run together: in each
+    round the best candidate of each is merged or skipped. Long chunks, and sizes with few, run one by one.
     """
 
     def __init__(self, path: str, seed: int, dropout: float) -> None:
@@ -166,39 +157,38 @@ class PieceCodec:
         self._raw = np.frombuffer(b"".join(raw), np.uint8)
         self._seed, self._drops = int(_mixed(np.array([seed % (1 << 64)], np.uint64))[0]), dropout > 0
         self._skips = _AllDraws(dropout)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._roots: dict[str, int] = _Made(lambda chunk: self._add(chunk, frozenset(), None))
-        self._children: dict[int, int] = _Made(self._child)
-        self._nodes: list[tuple[str, frozenset[int]]] = []
-        self._codes, self._pieces = _Lists(np.uint32), _Lists(np.int32)
-
-    def _add(self, chunk: str, skipped: frozenset[int], last: int | None) -> int:
-        """A node: the candidates that come up after ``last`` when those of ``skipped`` are, and the ids."""
-        trace = _Trace(skipped)
-        self._pieces.append(self._segment(chunk, trace))
-        self._codes.append(trace.codes if last is None else trace.codes[trace.codes.index(last) + 1 :])
-        self._nodes.append((chunk, skipped))
-        return len(self._nodes) - 1
-
-    def _child(self, edge: int) -> int:
-        chunk, skipped = self._nodes[edge >> 32]
-        code = edge & 0xFFFFFFFF
-        return self._add(chunk, skipped | {code}, code)
+        # Symbols have their ranks as numbers, then come signs that are only part of pieces, then one number for all else.
+        parts = sorted(set("".join(self.ids)) - self.ids.keys())
+        self._numbers = symbols = self.rank | {c: len(order) + n for n, c in enumerate(parts)}
+        self._unknown = len(symbols)
+        self._ids = np.array(order, np.int32)
+        self._signs = np.full(0x110000, self._unknown, np.int32)
+        for symbol, n in symbols.items():
+            if len(symbol) == 1:
+                self._signs[ord(symbol)] = n
+        self._signs[ord(" ")], self._signs[ord(_SPACE)] = symbols.get(_SPACE, self._unknown), self._unknown
+        self._pairs = _Pairs({
+            (symbols[piece[:i]], symbols[piece[i:]]): n
+            for piece, n in self.rank.items()
+            for i in range(1, len(piece))
+            if piece[:i] in symbols and piece[i:] in symbols
+        })
 
     def segment(self, chunk: str, key: int) -> tuple[int, ...]:
         """Ids of one occurrence of a chunk, with the draws of ``key``."""
         return self._segment(chunk, self._skips[key])
 
-    def _segment(self, chunk: str, skips: _Draws | _Trace) -> tuple[int, ...]:
+    def _merged(self, chunk: str, skips: _Draws) -> list[str]:
         if _SPACE in chunk:
             symbols = [_LITERAL if c == _SPACE else _SPACE if c == " " else c for c in chunk]
         else:
             symbols = list(chunk.replace(" ", _SPACE))
         merge = self._merge_long if len(symbols) > _LONG else self._merge_short
+        return merge(symbols, skips)
+
+    def _segment(self, chunk: str, skips: _Draws) -> tuple[int, ...]:
         out: list[int] = []
-        for symbol in merge(symbols, skips):
+        for symbol in self._merged(chunk, skips):
             known = self.ids.get(symbol)
             if known is not None:
                 out.append(known)
@@ -206,7 +196,7 @@ class PieceCodec:
                 out.extend(self.byte[b] for b in (_SPACE if symbol == _LITERAL else symbol).encode())
         return tuple(out)
 
-    def _merge_short(self, symbols: list[str], skips: _Draws | _Trace) -> list[str]:
+    def _merge_short(self, symbols: list[str], skips: _Draws) -> list[str]:
         """The agenda of a short chunk as a list of the ranks of adjacent pairs."""
         rank, places = self.rank.get, list(range(len(symbols)))
         agenda = [rank(a + b, _NEVER) for a, b in zip(symbols, symbols[1:], strict=False)]
@@ -227,7 +217,7 @@ class PieceCodec:
                 agenda[at - 1] = rank(symbols[at - 1] + pair, _NEVER)
         return symbols
 
-    def _merge_long(self, symbols: list[str], skips: _Draws | _Trace) -> list[str]:
+    def _merge_long(self, symbols: list[str], skips: _Draws) -> list[str]:
         """The agenda of a long chunk as a heap."""
         count, rank = len(symbols), self.rank
         after, before = list(range(1, count + 1)), list(range(-1, count - 1))
@@ -273,10 +263,9 @@ class PieceCodec:
         split = [self.occurrences(t, k) for t, k in zip(texts, keys, strict=True)]
         chunks = list(chain.from_iterable(c for c, _ in split))
         draws = np.concatenate([*(d for _, d in split), np.empty(0, np.uint64)])
-        parts = [
-            self._encode_chunks(chunks[i : i + _AT_ONCE], draws[i : i + _AT_ONCE])
-            for i in range(0, len(chunks), _AT_ONCE)
-        ]
+        signs = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        cuts = np.flatnonzero(np.diff(signs // _AT_ONCE, prepend=0)).tolist()
+        parts = [self._encode_chunks(chunks[a:b], draws[a:b]) for a, b in pairwise([0, *cuts, len(chunks)]) if a < b]
         ids = np.concatenate([*(p for p, _ in parts), np.empty(0, np.int32)])
         ends = np.concatenate([[0], np.cumsum(np.concatenate([*(n for _, n in parts), np.empty(0, np.int64)]))])
         borders = ends[np.cumsum([0, *(len(c) for c, _ in split)])]
@@ -284,35 +273,105 @@ class PieceCodec:
 
     def _encode_chunks(self, chunks: list[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks, one behind the other, and how many each has."""
-        if len(self._nodes) > _NODES_KEPT:
-            self._forget()
-        each: list[tuple[int, tuple[int, ...]]] = []
-        if self._drops:
-            sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-            long = np.flatnonzero(sizes > _TRACED).tolist()
-            each = [(i, self.segment(chunks[i], int(draws[i]))) for i in long]
-            for i in long:
-                chunks[i] = ""  # no chunk is empty; its node has no ids
-        nodes = np.fromiter(map(self._roots.__getitem__, chunks), np.int64, len(chunks))
-        going = np.arange(len(chunks)) if self._drops else np.empty(0, np.int64)
-        while len(going):
-            codes, sizes, _ = self._codes.take(nodes[going])
-            hashed = codes.astype(np.uint64)
-            hashed *= np.uint64(_STEP)
-            hashed += np.repeat(draws[going], sizes)
-            hit = np.flatnonzero(_mixed(hashed) < np.uint64(self._skips.least))
-            who = np.searchsorted(np.cumsum(sizes), hit, side="right")
-            first = np.append(True, who[1:] != who[:-1])[: len(who)]
-            going, skipped = going[who[first]], codes[hit[first]]
-            edges = (nodes[going] << 32 | skipped).tolist()
-            nodes[going] = np.fromiter(map(self._children.__getitem__, edges), np.int64, len(edges))
-        ids, sizes, begins = self._pieces.take(nodes)
-        if each:
-            where = np.array([i for i, _ in each])
-            more = np.fromiter(map(len, (x for _, x in each)), np.int64, len(each))
-            ids = np.insert(ids, np.repeat(begins[where], more), np.fromiter(chain.from_iterable(x for _, x in each), np.int32))
-            sizes[where] = more
-        return ids, sizes
+        signs = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        symbols = np.append(self._signs[signs], np.full(_SIZES[-1], self._unknown, np.int32))
+        after, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+        order = np.argsort(sizes, kind="stable")
+        cuts = np.searchsorted(sizes[order], _SIZES)
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if high - low < _FEW:
+                self._merge_each(order[low:high], chunks, draws, starts, symbols)
+                continue
+            for i in range(low, high, _COLUMNS):
+                which = order[i : min(i + _COLUMNS, high)]
+                self._merge_together(starts[which], sizes[which], draws[which], symbols, after, before)
+        self._merge_each(order[cuts[-1] :], chunks, draws, starts, symbols)
+        return self._written(symbols[: len(signs)], signs, ends)
+
+    def _merge_each(
+        self, which: np.ndarray, chunks: list[str], draws: np.ndarray, starts: np.ndarray, symbols: np.ndarray
+    ) -> None:
+        """The agendas of some chunks one by one, written into ``symbols``."""
+        for i in which.tolist():
+            at = int(starts[i])
+            symbols[at : at + len(chunks[i])] = _GONE
+            for symbol in self._merged(chunks[i], self._skips[int(draws[i])]):
+                symbols[at] = self._numbers.get(symbol, self._unknown)
+                at += 1 if symbol == _LITERAL else len(symbol)
+
+    def _merge_together(
+        self, starts: np.ndarray, sizes: np.ndarray, draws: np.ndarray,
+        symbols: np.ndarray, after: np.ndarray, before: np.ndarray,
+    ) -> None:
+        """The agendas of chunks of like sizes, a column each, a candidate of each in a round.
+
+        ``symbols`` holds at each symbol's first sign its number, elsewhere ``_GONE``; ``after`` and ``before`` hold
+        there where its neighbours begin.
+        """
+        width, ends = int(sizes.max()), starts + sizes
+        places = np.arange(width - 1, dtype=np.int32)[:, None]
+        at = starts + places
+        agenda = np.full((width, len(starts)), _ABSENT, np.int32)  # the last place never has a right neighbour
+        agenda[:-1] = self._pairs.entries(symbols[at.ravel()], symbols[at.ravel() + 1]).reshape(at.shape) | places
+        agenda[:-1][places >= sizes - 1] = _ABSENT
+        asked = np.empty((3 * width, len(starts)), np.uint16)  # each of up to width - 1 merges adds two candidates
+        for step in range(3 * width):
+            best = agenda.min(axis=0)
+            going = np.flatnonzero(best != _ABSENT)
+            if not len(going):
+                break
+            if len(going) < len(best):
+                best, starts, ends, draws = best[going], starts[going], ends[going], draws[going]
+                agenda = agenda.take(going, axis=1)
+                asked[:step, : len(going)] = asked[:step].take(going, axis=1)
+                asked = asked[:, : len(going)]
+            count, flat = len(best), agenda.reshape(-1)
+            rank, place = best >> _BITS, (best & ((1 << _BITS) - 1)).astype(np.int64)
+            columns = np.arange(count)
+            flat[place * count + columns] = _ABSENT
+            if self._drops:
+                slots = rank.astype(np.uint16) * np.uint16(_RANK) + place.astype(np.uint16) * np.uint16(_PLACE)
+                codes = slots.astype(np.uint64)
+                again = np.flatnonzero((asked[:step] == slots).any(axis=0))
+                if len(again):
+                    codes[again] += (asked[:step, again] == slots[again]).sum(axis=0, dtype=np.uint64) * np.uint64(_SLOTS)
+                asked[step] = slots
+                codes *= np.uint64(_STEP)
+                codes += draws
+                columns = np.flatnonzero(_mixed(codes) >= np.uint64(self._skips.least))
+                rank, place = rank[columns], place[columns]
+            begins = starts[columns]
+            here = begins + place
+            gone = after[here]
+            right = after[gone]
+            symbols[here], symbols[gone] = rank, _GONE
+            after[here], before[right] = right, here
+            flat[(gone - begins) * count + columns] = _ABSENT
+            followed, led = np.flatnonzero(right < ends[columns]), np.flatnonzero(place)
+            first = np.concatenate([here[followed], before[here[led]]])
+            second = np.concatenate([right[followed], here[led]])
+            columns = np.concatenate([columns[followed], columns[led]])
+            place = first - starts[columns]
+            flat[place * count + columns] = self._pairs.entries(symbols[first], symbols[second]) | place.astype(np.int32)
+
+    def _written(self, symbols: np.ndarray, signs: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the symbols that are left, with bytes for unknown signs, and how many lie before each of ``ends``."""
+        left = np.flatnonzero(symbols != _GONE)
+        symbols, borders = symbols[left], np.searchsorted(left, ends)
+        odd = symbols >= len(self._ids)
+        ids = self._ids[np.where(odd, 0, symbols)]
+        if odd.any():
+            kinds, which = np.unique(signs[left[odd]], return_inverse=True)
+            spelled = [[self.byte[b] for b in chr(c).replace(" ", _SPACE).encode()] for c in kinds.tolist()]
+            more = np.ones(len(ids), np.int64)
+            more[odd] = np.array([len(x) for x in spelled])[which]
+            ids = np.repeat(ids, more)
+            ids[np.repeat(odd, more)] = [*chain.from_iterable(spelled[i] for i in which.tolist())]
+            borders = np.append(0, np.cumsum(more))[borders]
+        return ids, np.diff(borders, prepend=0)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids, without the space that encoding puts first."""

@@ -1,8 +1,10 @@
 """Pieces against the sentencepiece library, and exact round trips with dropout."""
 
+import random
 import zlib
 
 import numpy as np
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,3 +117,47 @@ def test_every_occurrence_has_its_own_draws():
     inside = codec.encode(chunk[1:] + chunk * (total - 1), 7)
     assert 0.08 * total < len(inside) - total < 0.12 * total
     assert len({tuple(codec.encode("internationalisation", key)) for key in range(200)}) > 20
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+def test_agendas_run_together_as_one_by_one(monkeypatch, dropout):
+    """Chunks of every size, also in small parts, get the ids of their own agendas."""
+    pick = random.Random(3)
+    kana = "".join(map(chr, range(0x3041, 0x3097))) + "漢字日本語的是不了ab1."
+    texts = ["".join(pick.choices(kana, k=k)) for k in range(1, 160) for _ in range(2)] + [
+        " ".join(pick.choices(["a", "the", "mississippi" * 3, "x▁y", "▁", "<▁>", "😀", "\t", "12345.67,", "=-" * 20, "\n\n"], k=200))
+        for _ in range(20)
+    ]
+    keys = [pick.randrange(-(2**63), 2**63) for _ in texts]
+    codec = PieceCodec(PATH, 42, dropout)
+    want = []
+    for text, key in zip(texts, keys, strict=True):
+        chunks, draws = codec.occurrences(text, key)
+        want.append([i for c, d in zip(chunks, draws.tolist(), strict=True) for i in codec.segment(c, d)])
+    for at_once in (1 << 21, 3000):
+        monkeypatch.setattr("postlake.llm.piece_codec._AT_ONCE", at_once)
+        ids, sizes = codec.encode_all(texts, keys)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == want
+
+
+def test_candidates_of_one_slot_draw_apart(monkeypatch):
+    """All candidates of a chunk in one slot: the second to ask it has a draw of its own, as one by one."""
+    for name in ("_RANK", "_PLACE"):
+        monkeypatch.setattr(f"postlake.llm.piece_codec.{name}", 0)
+    codec = PieceCodec(PATH, 42, 0.3)
+    text = "internationalisation of unbelievable mississippi " * 100
+    chunks, draws = codec.occurrences(text, 5)
+    want = [i for c, d in zip(chunks, draws.tolist(), strict=True) for i in codec.segment(c, d)]
+    assert codec.encode(text, 5).tolist() == want
+
+
+def test_few_agendas_run_in_python(monkeypatch):
+    """New words cost no Python agenda each: of 20,000 made-up ones, only sizes with few chunks run one by one."""
+    pick = random.Random(4)
+    text = " ".join("".join(pick.choices("abcdefghijklmnoprstuvwyz", k=pick.randint(3, 12))) for _ in range(20_000))
+    codec, runs = PieceCodec(PATH, 42, 0.1), []
+    for name in ("_merge_short", "_merge_long"):
+        run = getattr(codec, name)
+        monkeypatch.setattr(codec, name, lambda symbols, skips, run=run: runs.append(1) or run(symbols, skips))
+    assert codec.decode(codec.encode(text, 1)) == text.encode()
+    assert len(runs) < 200
