@@ -263,24 +263,26 @@ class PieceCodec:
         split = [self.occurrences(t, k) for t, k in zip(texts, keys, strict=True)]
         chunks = list(chain.from_iterable(c for c, _ in split))
         draws = np.concatenate([*(d for _, d in split), np.empty(0, np.uint64)])
-        signs = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
-        cuts = np.flatnonzero(np.diff(signs // _AT_ONCE, prepend=0)).tolist()
-        parts = [self._encode_chunks(chunks[a:b], draws[a:b]) for a, b in pairwise([0, *cuts, len(chunks)]) if a < b]
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        cuts = [0, *np.flatnonzero(np.diff(np.cumsum(sizes) // _AT_ONCE, prepend=0)).tolist(), len(chunks)]
+        parts = [self._encode_chunks(chunks[a:b], sizes[a:b], draws[a:b]) for a, b in pairwise(cuts) if a < b]
         ids = np.concatenate([*(p for p, _ in parts), np.empty(0, np.int32)])
         ends = np.concatenate([[0], np.cumsum(np.concatenate([*(n for _, n in parts), np.empty(0, np.int64)]))])
         borders = ends[np.cumsum([0, *(len(c) for c, _ in split)])]
         return ids, np.diff(borders)
 
-    def _encode_chunks(self, chunks: list[str], draws: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_chunks(
+        self, chunks: list[str], sizes: np.ndarray, draws: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks, one behind the other, and how many each has."""
         signs = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
-        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
         ends = np.cumsum(sizes)
         starts = ends - sizes
         symbols = np.append(self._signs[signs], np.full(_SIZES[-1], self._unknown, np.int32))
         after, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
-        order = np.argsort(sizes, kind="stable")
-        cuts = np.searchsorted(sizes[order], _SIZES)
+        limited = np.minimum(sizes, _SIZES[-1]).astype(np.uint16)
+        order = np.argsort(limited, kind="stable")
+        cuts = np.searchsorted(limited[order], np.array(_SIZES, np.uint16))
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
             if high - low < _FEW:
                 self._merge_each(order[low:high], chunks, draws, starts, symbols)
@@ -358,9 +360,10 @@ class PieceCodec:
             flat[place * count + columns] = self._pairs.entries(symbols[first], symbols[second]) | place.astype(np.int32)
 
     def _written(self, symbols: np.ndarray, signs: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the symbols that are left, with bytes for unknown signs, and how many lie before each of ``ends``."""
-        left = np.flatnonzero(symbols != _GONE)
-        symbols, borders = symbols[left], np.searchsorted(left, ends)
+        """Ids of the symbols that are left, with bytes for unknown signs, and how many each chunk has."""
+        present = symbols != _GONE
+        left, borders = np.flatnonzero(present), np.cumsum(present)[ends - 1]
+        symbols = symbols[left]
         odd = symbols >= len(self._ids)
         ids = self._ids[np.where(odd, 0, symbols)]
         if odd.any():

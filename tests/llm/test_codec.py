@@ -124,10 +124,9 @@ def test_agendas_run_together_as_one_by_one(monkeypatch, dropout):
     """Chunks of every size, also in small parts, get the ids of their own agendas."""
     pick = random.Random(3)
     kana = "".join(map(chr, range(0x3041, 0x3097))) + "漢字日本語的是不了ab1."
-    texts = ["".join(pick.choices(kana, k=k)) for k in range(1, 160) for _ in range(2)] + [
-        " ".join(pick.choices(["a", "the", "mississippi" * 3, "x▁y", "▁", "<▁>", "😀", "\t", "12345.67,", "=-" * 20, "\n\n"], k=200))
-        for _ in range(20)
-    ]
+    words = ["a", "the", "mississippi" * 3, "x▁y", "▁", "<▁>", "😀", "\t", "12345.67,", "=-" * 20, "\n\n"]
+    texts = ["".join(pick.choices(kana, k=k)) for k in range(1, 160) for _ in range(2)]
+    texts += [" ".join(pick.choices(words, k=200)) for _ in range(20)]
     keys = [pick.randrange(-(2**63), 2**63) for _ in texts]
     codec = PieceCodec(PATH, 42, dropout)
     want = []
