@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 # Run-time re-planning: size-checked broadcasts, coalesced shuffles and split hot partitions.
 ADAPTIVE = {
@@ -42,3 +47,29 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="postlake-")
         spark.conf.set(_CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer read, on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def importable_by_workers(spark: SparkSession) -> None:
+    """Let Python workers of this machine find the package; on a cluster it is installed or shipped with the job."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside drops its shuffle files when it ends, not when the driver happens to collect garbage."""
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)

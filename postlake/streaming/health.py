@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from postlake.functions import classify_failure
 from postlake.operators.health import combine_segments, endpoint_segments, ledger_of, states_of
 from postlake.operators.state_changes import state_changes
-from postlake.streaming.running import drain, remove
+from postlake.session import remove
+from postlake.streaming.running import drain
 
 _LOG_FIELDS = ("endpoint", "ts", "event_id", "ok", "status")
 _NO_MARK = -(10**15)

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlake.operators.health import SETTLED, SLICE, combine_segments, endpoint_segments, ledger_of, states_of
-from postlake.streaming.running import drain, remove
+from postlake.session import remove
+from postlake.streaming.running import drain
 
 BUCKETS = 256
 DELTAS = 8

@@ -27,12 +27,6 @@ def drain(stream: DataFrame, fold: Callable[[DataFrame, int], None], folder: str
     query.awaitTermination()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that is no longer read, on whatever file system it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def drain_to_parquet(stream: DataFrame, folder: str) -> DataFrame:
     """Write the stream's output for the data at hand to ``folder`` and return it as a table."""
     spark = stream.sparkSession

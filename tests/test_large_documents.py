@@ -9,6 +9,7 @@ import pytest
 from test_sources import post
 
 from postlake import sources
+from postlake.session import shared_folder
 from postlake.sources.large_documents import _pieces, _post_texts, _with_state, read_large_posts, write_large_document
 
 
@@ -125,3 +126,38 @@ def test_no_task_gets_a_whole_document(spark, tmp_path, capsys):
     keys = [re.findall(r"(\w+)#", by) for columns, by in found if re.search(r"\b(text|_pieces)#|collect_list", columns) or "buf#" in columns]
     assert ["doc", "file", "block"] in keys
     assert all(by not in (["doc"], ["file"]) for by in keys)
+
+
+def test_documents_of_many_chunks_in_a_split(spark, tmp_path):
+    """Lists that look like posts lie before and behind the posts, in the same chunk and in later ones."""
+    rng = random.Random(5)
+    posts = [awkward(rng, i) | {"title": rng.choice('ab"}]\\') * rng.randint(0, 30_000)} for i in range(150)]
+    other = [{"id": "no post", "posts": [{"id": "no post", "title": "}]" * 20_000}]} for _ in range(40)]
+    documents = {
+        "long": {"metadata": {"a": other}, "posts": posts, "after": other}, "short": {"posts": posts[:3], "after": other},
+        "bare": posts, "none": {"metadata": {"a": other}, "posts": [], "after": other},
+    }
+    for name, document in documents.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(document))
+    assert _pieces(spark, str(tmp_path), False).filter("file LIKE '%long.json'").count() > 3
+    want = rows_of(sources.read_posts(spark, str(tmp_path)))
+    assert len(want) == 303
+    assert rows_of(read_large_posts(spark, str(tmp_path))) == want
+
+
+def test_texts_are_kept_once(spark, tmp_path):
+    """Behind a round trip the disk holds the document and its posts; only what chunks cut off is left to be shuffled."""
+    from test_sources import sources_schema
+
+    kept = Path(shared_folder(spark, "x")).parent
+    before = set(kept.iterdir()) if kept.exists() else set()
+    rows = [post(i) | {"title": "title " * 1000} for i in range(500)]
+    out = str(tmp_path / "out")
+    write_large_document(spark.createDataFrame(rows, sources_schema()), out, ["score"])
+    texts = _post_texts(spark, out, True)
+    assert texts.count() == 500
+    folders = [f for f in kept.iterdir() if f not in before]
+    with_text = [f.name for f in folders if {"text", "_json"} & set(spark.read.parquet(str(f)).columns)]
+    assert [name.rsplit("-", 1)[0] for name in with_text] == ["document-parts"]
+    parts = spark.read.parquet(str(next(f for f in folders if f.name in with_text)))
+    assert parts.filter("lone").count() > 450
